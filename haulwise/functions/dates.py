@@ -3,8 +3,8 @@
 Free-form dates are read month-first; when the first number cannot be a
 month the day-first reading is used. Accepted layouts (after trimming and
 mapping '/' to '-'): ``yyyy-M-d``, ``M-d-yyyy`` / ``d-M-yyyy``, ``yyyyMMdd``,
-each optionally followed by ``[T ]H:mm[:ss[.f]]`` and a ``Z`` / ``+hh:mm`` /
-``+hhmm`` offset. Anything else, and impossible dates or times, give NULL.
+each optionally followed by ``[T ]H:mm[:ss[.f]]``, which may carry a ``Z`` /
+``+hh:mm`` / ``+hhmm`` offset. Anything else, and impossible dates or times, give NULL.
 
 ``parse_stamp`` returns one struct per value; callers that need several
 outputs from the same text put the struct in a column once and read its
@@ -13,15 +13,18 @@ fields, so the regex work is done once per value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulwise.functions.text import strip_text
 
-DATE_RE = r"(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4}|\d{8})"
-TIME_RE = r"(?:[T ](\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,6}))?)?)?"
-ZONE_RE = r" ?(Z|[+-]\d{2}:?\d{2})?"
-STAMP_RE = "^" + DATE_RE + TIME_RE + ZONE_RE + "$"
+DATE_RE = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4}|\d{8})$"
+# what may follow the date: [T ]H:mm[:ss[.ffffff]] then [ ]Z / +hh:mm / +hhmm
+REST_RE = r"^[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)? ?(?:Z|[+-]\d{2}:?\d{2})?$"
+LEAD_RE = r"^[0-9-]+"
+CLOCK_RE = r"^[T ](\d{1,2}):(\d{2})(?::(\d{2}))?"
+FRAC_RE = r"\.(\d{1,6})"
+ZONE_RE = r"(Z|[+-]\d{2}:?\d{2})$"
 
 MDY_RE = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
 COMPACT_RE = r"^(\d{4})(\d{2})(\d{2})$"
@@ -31,27 +34,61 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_stamp(c) -> Column:
-    """Free-form text -> struct<day: date, ts: timestamp_ntz, frac, zone>.
+def _stamp_steps(c, put):
+    """Shared body of ``parse_stamp`` / ``with_stamp``.
 
-    ``ts`` is NULL whenever the text is not a valid date (and time).
+    ``put(name, column)`` returns a column standing for the value: the
+    column itself (one expression) or a helper-column reference (staged).
     """
-    t = F.translate(strip_text(_col(c)), "/", "-")
-    d = F.regexp_extract(t, STAMP_RE, 1)
+    t = put("t", F.translate(strip_text(_col(c)), "/", "-"))
+    d = put("d", F.regexp_extract(t, LEAD_RE, 0))
+    rest = put("r", F.substring(t, F.length(d) + 1, 100000))
+    has_rest = rest != ""
+    ok = d.rlike(DATE_RE) & (~has_rest | rest.rlike(REST_RE)) & ~d.startswith("0000")
     month_first = F.regexp_replace(F.regexp_replace(d, MDY_RE, "$3-$1-$2"), COMPACT_RE, "$1-$2-$3")
     day_first = F.when(d.rlike(MDY_RE), F.regexp_replace(d, MDY_RE, "$3-$2-$1"))
-    day = F.when(t.rlike(STAMP_RE) & ~d.startswith("0000"),
-                 F.coalesce(month_first.try_cast("date"), day_first.try_cast("date")))
+    day = put("day", F.when(ok, F.coalesce(month_first.try_cast("date"), day_first.try_cast("date"))))
 
-    def part(i, default):
-        g = F.regexp_extract(t, STAMP_RE, i)
+    def clock(i, default):
+        g = F.regexp_extract(rest, CLOCK_RE, i)
         return F.when(g == "", F.lit(default)).otherwise(g)
 
-    clock = F.concat(F.lpad(part(2, "0"), 2, "0"), F.lit(":"), part(3, "00"), F.lit(":"), part(4, "00"))
-    ts = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), clock).try_cast("timestamp_ntz")
+    hms = F.concat(F.lpad(clock(1, "0"), 2, "0"), F.lit(":"), clock(2, "00"), F.lit(":"), clock(3, "00"))
+    ts = F.when(~has_rest, day.cast("timestamp_ntz")).otherwise(
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), hms).try_cast("timestamp_ntz"))
     return F.struct(day.alias("day"), ts.alias("ts"),
-                    F.regexp_extract(t, STAMP_RE, 5).alias("frac"),
-                    F.regexp_extract(t, STAMP_RE, 6).alias("zone"))
+                    F.when(has_rest, F.regexp_extract(rest, FRAC_RE, 1)).otherwise("").alias("frac"),
+                    F.when(has_rest, F.regexp_extract(rest, ZONE_RE, 1)).otherwise("").alias("zone"))
+
+
+def parse_stamp(c) -> Column:
+    """Free-form text -> struct<day: date, ts: timestamp_ntz, frac, zone>.
+
+    ``ts`` is NULL whenever the text is not a valid date (and time). The
+    date token is the leading run of digits and '-'; the time / offset
+    regexes only run when something follows it. As one expression, shared
+    pieces may be evaluated more than once; ``with_stamp`` avoids that.
+    """
+    return _stamp_steps(c, lambda name, col: col)
+
+
+def with_stamp(df: DataFrame, src: str, out: str) -> DataFrame:
+    """Add ``out`` = ``parse_stamp(src)``, each intermediate computed once.
+
+    Intermediates are helper columns in successive projections; the
+    optimizer keeps them apart because each is read more than once.
+    """
+    state = {"df": df}
+    helpers = []
+
+    def put(name, col):
+        h = f"_{out}_{name}"
+        helpers.append(h)
+        state["df"] = state["df"].withColumn(h, col)
+        return F.col(h)
+
+    struct = _stamp_steps(src, put)
+    return state["df"].withColumn(out, struct).drop(*helpers)
 
 
 def stamp_date(stamp: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import CONTRACTS
 from haulwise.functions import standardize_category, to_number, to_usd
-from haulwise.functions.dates import parse_stamp, stamp_date, stamp_iso, stamp_iso_date
+from haulwise.functions.dates import parse_stamp, stamp_date, stamp_iso, stamp_iso_date, with_stamp
 
 
 def with_optional_columns(df: DataFrame, source: str) -> DataFrame:
@@ -30,9 +30,8 @@ def is_on_time(late):
 def transform_orders(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "orders")
     # each date text is parsed once into a helper struct column
-    p = df.withColumns({"_od": parse_stamp("order_date"), "_pd": parse_stamp("promised_delivery_date"),
-                        "_ad": parse_stamp("actual_delivery_date"),
-                        })
+    p = with_stamp(with_stamp(with_stamp(df, "order_date", "_od"), "promised_delivery_date", "_pd"),
+                   "actual_delivery_date", "_ad")
     late = days_late(stamp_date(F.col("_ad")), stamp_date(F.col("_pd")))
     return (p.withColumns({
         "order_date": stamp_iso_date(F.col("_od")),
@@ -46,7 +45,7 @@ def transform_orders(df: DataFrame) -> DataFrame:
 
 def transform_delivery_events(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "delivery_events")
-    p = df.withColumns({"_ts": parse_stamp("event_timestamp"), "_min": to_number("delivery_duration_minutes")})
+    p = with_stamp(df, "event_timestamp", "_ts").withColumn("_min", to_number("delivery_duration_minutes"))
     minutes = F.col("_min")
     return p.withColumns({
         "event_timestamp": stamp_iso(F.col("_ts")),
@@ -59,27 +58,24 @@ def transform_delivery_events(df: DataFrame) -> DataFrame:
 
 def transform_partner_payments(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "partner_payments")
-    return df.withColumns({
-        "payment_date": stamp_iso_date(parse_stamp("payment_date")),
+    return with_stamp(df, "payment_date", "_pay").withColumns({
+        "payment_date": stamp_iso_date(F.col("_pay")),
         "payment_status": standardize_category("payment_status"),
         "amount_usd": to_usd("amount", "currency"),
-    })
+    }).drop("_pay")
 
 
 def transform_warehouse_inventory(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "warehouse_inventory")
-    p = df.withColumns({"_q": to_number("quantity_on_hand"), "_l": to_number("reorder_level")})
+    p = with_stamp(df, "last_updated", "_lu").withColumns(
+        {"_q": to_number("quantity_on_hand"), "_l": to_number("reorder_level")})
     qty, lvl = F.col("_q"), F.col("_l")
     return p.withColumns({
         "quantity_on_hand": qty,
         "reorder_level": lvl,
-        "last_updated": standardize_timestamp_text("last_updated"),
+        "last_updated": stamp_iso(F.col("_lu")),
         "needs_reorder": F.coalesce(qty < lvl, F.lit(False)),
-    }).drop("_q", "_l")
-
-
-def standardize_timestamp_text(c: str):
-    return stamp_iso(parse_stamp(c))
+    }).drop("_q", "_l", "_lu")
 
 
 TRANSFORMS = {

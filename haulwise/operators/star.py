@@ -93,7 +93,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, key_col: str | None,
     target; both shuffle on ``key`` and share the exchanges.
     """
     cols = target.columns
-    stamp = F.lit(as_of).cast("timestamp_ntz")
+    stamp = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     src_cols = [c for c in source.columns if c in cols and c != key]
     upd = [c for c in update_cols if c in src_cols]
     s = source.select(key, *[F.col(c).alias(f"_s_{c}") for c in upd]).withColumn("_s_hit", F.lit(True))

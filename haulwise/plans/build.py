@@ -95,9 +95,9 @@ class Batch:
     # ------------------------------------------------------------ load
     @cached_property
     def dim_warehouse(self) -> DataFrame:
-        t = self.transformed
-        return star.load_dim_warehouse(star.empty(self.spark, star.DIM_WAREHOUSE),
-                                       star.warehouse_members(t["orders"], t["warehouse_inventory"]), self.as_of)
+        # orders when present, else inventory (never their union)
+        members = star.warehouse_members(self.transformed["orders"], None)
+        return star.load_dim_warehouse(star.empty(self.spark, star.DIM_WAREHOUSE), members, self.as_of)
 
     @cached_property
     def dim_partner(self) -> DataFrame:

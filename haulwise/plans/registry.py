@@ -48,3 +48,399 @@ def q_monthly_order_trend(spark, sf_dir):
 @query("executive_kpis")
 def q_executive_kpis(spark, sf_dir):
     return marts.executive_kpis(Batch(spark, sf_dir).fact)
+
+
+# ----------------------------------------------------------------- helpers
+from pyspark.sql import functions as F  # noqa: E402
+
+from haulwise.contracts import CONTRACTS  # noqa: E402
+from haulwise.functions import na_to_null, standardize_category, to_number, to_usd  # noqa: E402
+from haulwise.functions.dates import stamp_iso, stamp_iso_date, with_stamp  # noqa: E402
+from haulwise.operators import quality as dq  # noqa: E402
+from haulwise.operators import star  # noqa: E402
+from haulwise.operators import validation as val  # noqa: E402
+from haulwise.plans.build import AS_OF, SOURCES, TwoBatchLoad  # noqa: E402
+
+
+def _split(b: Batch, source: str):
+    return val.split_nulls(b.raw(source), CONTRACTS[source])
+
+
+# ------------------------------------------------------------------ ingest
+@query("lineage_tags")
+def q_lineage_tags(spark, sf_dir):
+    """Orders feed with the three lineage columns."""
+    return Batch(spark, sf_dir).raw("orders")
+
+
+@query("na_normalize")
+def q_na_normalize(spark, sf_dir):
+    """NA tokens -> NULL over every column of the orders feed."""
+    raw = Batch(spark, sf_dir).raw("orders")
+    return raw.select("_row_seq", *[na_to_null(c).alias(c) for c in CONTRACTS["orders"].columns])
+
+
+@query("stage_row_counts")
+def q_stage_row_counts(spark, sf_dir):
+    """Rows per source at extract, after validation and after transform."""
+    b = Batch(spark, sf_dir)
+    parts = []
+    for s in SOURCES:
+        ext = b.raw(s).agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("source"), F.lit("extracted").alias("stage"), "n")
+        vld = b.valid(s).agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("source"), F.lit("validated").alias("stage"), "n")
+        parts += [ext, vld]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("n", "row_count")
+
+
+# ---------------------------------------------------------------- validate
+@query("null_check_valid")
+def q_null_check_valid(spark, sf_dir):
+    return _split(Batch(spark, sf_dir), "orders")[0]
+
+
+@query("null_check_invalid")
+def q_null_check_invalid(spark, sf_dir):
+    return _split(Batch(spark, sf_dir), "orders")[1]
+
+
+def _null_reasons(b: Batch, source: str):
+    contract = CONTRACTS[source]
+    invalid = _split(b, source)[1]
+    reason = val.null_reason_text(val.batch_null_columns(invalid, contract))
+    return val.with_null_reasons(invalid, contract, reason)
+
+
+@query("null_reason")
+def q_null_reason(spark, sf_dir):
+    """Per-row offending columns and the batch-level reason (orders)."""
+    r = _null_reasons(Batch(spark, sf_dir), "orders")
+    return r.select("_row_seq", "order_id", "_null_columns", "_quarantine_reason")
+
+
+@query("quarantine_rows")
+def q_quarantine_rows(spark, sf_dir):
+    """What the quarantine sink writes for the orders batch."""
+    b = Batch(spark, sf_dir)
+    return _null_reasons(b, "orders").drop("_null_columns").withColumn(
+        "_quarantined_at", F.lit(b.as_of.isoformat()))
+
+
+@query("missing_column_quarantine")
+def q_missing_column_quarantine(spark, sf_dir):
+    """A feed without 'status' and 'order_value': the whole batch is quarantined."""
+    raw = Batch(spark, sf_dir).raw("orders").drop("status", "order_value")
+    out = val.validate_source(raw, "orders")
+    assert out["valid"] is None
+    return out["invalid"]
+
+
+@query("dedupe_first")
+def q_dedupe_first(spark, sf_dir):
+    return Batch(spark, sf_dir).valid("orders")
+
+
+@query("duplicate_report")
+def q_duplicate_report(spark, sf_dir):
+    return Batch(spark, sf_dir).validated["orders"]["duplicates"]
+
+
+@query("validate_summary")
+def q_validate_summary(spark, sf_dir):
+    """Per source: rows in, NULL-quarantined, duplicate rows, rows kept."""
+    b = Batch(spark, sf_dir)
+    parts = []
+    for s in SOURCES:
+        raw = b.raw(s)
+        key = CONTRACTS[s].unique_key
+        bad = val.null_mask(CONTRACTS[s])
+        counts = raw.agg(F.count(F.lit(1)).alias("original_count"), F.count_if(bad).alias("null_rows"))
+        kept = b.valid(s).agg(F.count(F.lit(1)).alias("kept_count"))
+        dups = val.duplicate_members(raw.where(~bad), key).agg(F.count(F.lit(1)).alias("duplicate_rows"))
+        parts.append(counts.unionByName(kept, allowMissingColumns=True).unionByName(dups, allowMissingColumns=True)
+                     .agg(*[F.max(c).alias(c) for c in ("original_count", "null_rows", "kept_count", "duplicate_rows")])
+                     .select(F.lit(s).alias("source"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------- standardize
+@query("standardize_dates")
+def q_standardize_dates(spark, sf_dir):
+    v = Batch(spark, sf_dir).valid("orders")
+    cols = ["order_date", "promised_delivery_date", "actual_delivery_date"]
+    for i, c in enumerate(cols):
+        v = with_stamp(v, c, f"_s{i}")
+    return v.select("_row_seq", "order_id", *[F.col(c).alias(f"{c}_raw") for c in cols],
+                    *[stamp_iso_date(F.col(f"_s{i}")).alias(c) for i, c in enumerate(cols)])
+
+
+@query("standardize_timestamps")
+def q_standardize_timestamps(spark, sf_dir):
+    v = with_stamp(Batch(spark, sf_dir).valid("delivery_events"), "event_timestamp", "_s")
+    return v.select("_row_seq", "event_id", F.col("event_timestamp").alias("event_timestamp_raw"),
+                    stamp_iso(F.col("_s")).alias("event_timestamp"))
+
+
+@query("currency_to_usd")
+def q_currency_to_usd(spark, sf_dir):
+    v = Batch(spark, sf_dir).valid("orders")
+    return v.select("_row_seq", "order_id", "order_value", "currency",
+                    to_usd("order_value", "currency").alias("order_value_usd"))
+
+
+@query("standardize_status")
+def q_standardize_status(spark, sf_dir):
+    v = Batch(spark, sf_dir).valid("orders")
+    return v.select("_row_seq", "order_id", F.col("status").alias("status_raw"),
+                    standardize_category("status").alias("status"))
+
+
+@query("days_late")
+def q_days_late(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["orders"]
+    return t.select("order_id", "promised_delivery_date", "actual_delivery_date", "days_late")
+
+
+@query("is_on_time")
+def q_is_on_time(spark, sf_dir):
+    return Batch(spark, sf_dir).transformed["orders"].select("order_id", "days_late", "is_on_time")
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    v = Batch(spark, sf_dir).valid("warehouse_inventory")
+    return v.select("_row_seq", "inventory_id", F.col("quantity_on_hand").alias("quantity_raw"),
+                    to_number("quantity_on_hand").alias("quantity_on_hand"),
+                    to_number("reorder_level").alias("reorder_level"))
+
+
+@query("needs_reorder")
+def q_needs_reorder(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["warehouse_inventory"]
+    return t.select("inventory_id", "quantity_on_hand", "reorder_level", "needs_reorder")
+
+
+@query("transform_orders")
+def q_transform_orders(spark, sf_dir):
+    return Batch(spark, sf_dir).transformed["orders"]
+
+
+@query("transform_delivery_events")
+def q_transform_delivery_events(spark, sf_dir):
+    return Batch(spark, sf_dir).transformed["delivery_events"]
+
+
+@query("transform_partner_payments")
+def q_transform_partner_payments(spark, sf_dir):
+    return Batch(spark, sf_dir).transformed["partner_payments"].drop("_row_seq")
+
+
+@query("transform_warehouse_inventory")
+def q_transform_warehouse_inventory(spark, sf_dir):
+    return Batch(spark, sf_dir).transformed["warehouse_inventory"]
+
+
+# -------------------------------------------------------------------- load
+@query("dim_warehouse")
+def q_dim_warehouse(spark, sf_dir):
+    return Batch(spark, sf_dir).dim_warehouse
+
+
+@query("dim_partner")
+def q_dim_partner(spark, sf_dir):
+    return Batch(spark, sf_dir).dim_partner
+
+
+@query("dim_route")
+def q_dim_route(spark, sf_dir):
+    return Batch(spark, sf_dir).dim_route
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return Batch(spark, sf_dir).dim_date
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    """(dimension, natural id, surrogate key) for the three keyed dimensions."""
+    b = Batch(spark, sf_dir)
+    return (b.dim_warehouse.select(F.lit("warehouse").alias("dimension"), F.col("warehouse_id").alias("natural_id"),
+                                   F.col("warehouse_key").alias("surrogate_key"))
+            .unionByName(b.dim_partner.select(F.lit("partner").alias("dimension"), F.col("partner_id").alias("natural_id"),
+                                              F.col("partner_key").alias("surrogate_key")))
+            .unionByName(b.dim_route.select(F.lit("route").alias("dimension"), F.col("route_id").alias("natural_id"),
+                                            F.col("route_key").alias("surrogate_key"))))
+
+
+@query("fact_key_lookup")
+def q_fact_key_lookup(spark, sf_dir):
+    return Batch(spark, sf_dir).fact_rows.select("order_id", "warehouse_key", "partner_key", "route_key")
+
+
+@query("fact_date_keys")
+def q_fact_date_keys(spark, sf_dir):
+    return Batch(spark, sf_dir).fact_rows.select("order_id", "order_date_key", "promised_date_key", "actual_date_key")
+
+
+@query("fk_violations")
+def q_fk_violations(spark, sf_dir):
+    """Foreign keys without a dimension row, against a calendar from 1996."""
+    b = Batch(spark, sf_dir)
+    cal = star.calendar(spark, "1996-01-01", "2002-12-31")
+    return star.fk_violations(b.fact, b.dim_warehouse, b.dim_partner, b.dim_route, cal)
+
+
+@query("fact_deliveries")
+def q_fact_deliveries(spark, sf_dir):
+    return Batch(spark, sf_dir).fact
+
+
+@query("watermark_read")
+def q_watermark_read(spark, sf_dir):
+    """The fact watermark state after the first batch."""
+    return TwoBatchLoad(spark, sf_dir).load1["state"]
+
+
+@query("incremental_filter")
+def q_incremental_filter(spark, sf_dir):
+    """Second-batch orders strictly after the first batch's watermark."""
+    return TwoBatchLoad(spark, sf_dir).load2["slice"].select("order_id", "order_date")
+
+
+@query("watermark_advance")
+def q_watermark_advance(spark, sf_dir):
+    return TwoBatchLoad(spark, sf_dir).load2["state"]
+
+
+@query("upsert_scd1")
+def q_upsert_scd1(spark, sf_dir):
+    """dim_warehouse after the second batch (attributes overwritten)."""
+    return TwoBatchLoad(spark, sf_dir).load2["dim_warehouse"]
+
+
+@query("upsert_fact")
+def q_upsert_fact(spark, sf_dir):
+    """The fact table after the second batch."""
+    return TwoBatchLoad(spark, sf_dir).load2["fact"]
+
+
+@query("load_second_batch")
+def q_load_second_batch(spark, sf_dir):
+    """Row count and maximum key of every table after the second batch."""
+    l2 = TwoBatchLoad(spark, sf_dir).load2
+    specs = [("dim_warehouse", "warehouse_key"), ("dim_partner", "partner_key"),
+             ("dim_route", "route_key"), ("fact", "delivery_key")]
+    out = None
+    for name, key in specs:
+        part = l2[name].agg(F.count(F.lit(1)).alias("row_count"), F.max(key).cast("long").alias("max_key")) \
+            .select(F.lit(name).alias("table_name"), "row_count", "max_key")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ----------------------------------------------------------------- quality
+def _single_rule(df, dataset, rule):
+    return dq.Validator([rule]).report(df, dataset).drop("rule_order")
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    b = Batch(spark, sf_dir)
+    return _single_rule(b.raw("orders"), "orders_raw",
+                        dq.Rule("warehouse_id_not_null", "Warehouse ID must not be null", mask=dq.not_null("warehouse_id")))
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    b = Batch(spark, sf_dir)
+    return _single_rule(b.raw("orders"), "orders_raw",
+                        dq.Rule("order_id_unique", "Order ID must be unique", violations=dq.unique_values("order_id")))
+
+
+@query("dq_between")
+def q_dq_between(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["warehouse_inventory"]
+    return _single_rule(t, "warehouse_inventory",
+                        dq.Rule("quantity_between", "Quantity must be within 0..150",
+                                mask=dq.between("quantity_on_hand", 0, 150)))
+
+
+@query("dq_non_negative")
+def q_dq_non_negative(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["orders"]
+    return _single_rule(t, "orders", dq.Rule("order_value_positive", "Order value must be non-negative",
+                                             mask=dq.non_negative("order_value_usd")))
+
+
+@query("dq_in_set")
+def q_dq_in_set(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["orders"]
+    return _single_rule(t, "orders", dq.Rule("status_valid", "Status must be a valid value",
+                                             mask=dq.in_set("status", dq.ORDER_STATUSES)))
+
+
+@query("dq_referential")
+def q_dq_referential(spark, sf_dir):
+    """Delivery events whose order id is not a known order."""
+    b = Batch(spark, sf_dir)
+    rule = dq.Rule("order_id_exists", "Event order must exist",
+                   violations=dq.referential_integrity("order_id", b.transformed["orders"], "order_id"))
+    return _single_rule(b.transformed["delivery_events"], "delivery_events", rule)
+
+
+@query("dq_custom")
+def q_dq_custom(spark, sf_dir):
+    t = Batch(spark, sf_dir).transformed["warehouse_inventory"]
+    return _single_rule(t, "warehouse_inventory", dq.Rule(
+        "reorder_level_positive", "Reorder level must be positive",
+        mask=lambda df: F.col("reorder_level") <= 0))
+
+
+def _suite(b: Batch, source: str):
+    return dq.VALIDATORS[source]().report(b.transformed[source], source)
+
+
+@query("dq_orders")
+def q_dq_orders(spark, sf_dir):
+    return _suite(Batch(spark, sf_dir), "orders").drop("rule_order")
+
+
+@query("dq_delivery_events")
+def q_dq_delivery_events(spark, sf_dir):
+    return _suite(Batch(spark, sf_dir), "delivery_events").drop("rule_order")
+
+
+@query("dq_inventory")
+def q_dq_inventory(spark, sf_dir):
+    return _suite(Batch(spark, sf_dir), "warehouse_inventory").drop("rule_order")
+
+
+def _dq_report(b: Batch):
+    out = None
+    for s in ("orders", "warehouse_inventory", "delivery_events"):
+        r = _suite(b, s)
+        out = r if out is None else out.unionByName(r)
+    return out.drop("rule_order")
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    return _dq_report(Batch(spark, sf_dir))
+
+
+@query("orphan_warehouse_keys")
+def q_orphan_warehouse_keys(spark, sf_dir):
+    b = Batch(spark, sf_dir)
+    return dq.orphan_count(b.fact, b.dim_warehouse)
+
+
+@query("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    b = Batch(spark, sf_dir)
+    return dq.quality_summary(_dq_report(b), dq.orphan_count(b.fact, b.dim_warehouse))

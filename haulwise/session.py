@@ -17,6 +17,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Standardization projections generate large methods; HotSpot skips JIT
+    # compilation of methods over 8000 bytecodes by default, which leaves
+    # them interpreted and several times slower.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
