@@ -4,11 +4,13 @@ Free-form dates are read month-first; when the first number cannot be a
 month the day-first reading is used. Accepted layouts (after trimming and
 mapping '/' to '-'): ``yyyy-M-d``, ``M-d-yyyy`` / ``d-M-yyyy``, ``yyyyMMdd``,
 each optionally followed by ``[T ]H:mm[:ss[.f]]``, which may carry a ``Z`` /
-``+hh:mm`` / ``+hhmm`` offset. Anything else, and impossible dates or times, give NULL.
+``+hh:mm`` / ``+hhmm`` offset. Anything else, and impossible dates or times,
+give NULL.
 
-``parse_stamp`` returns one struct per value; callers that need several
-outputs from the same text put the struct in a column once and read its
-fields, so the regex work is done once per value.
+The date token is the leading run of digits and '-'; the rest is validated
+by one range-checked regex, so no timestamp has to be built to know a time
+is valid. ``with_date`` / ``with_timestamp_text`` add the result as a column
+and keep each intermediate in its own projection, so it is computed once.
 """
 
 from __future__ import annotations
@@ -19,13 +21,10 @@ from pyspark.sql import functions as F
 from haulwise.functions.text import strip_text
 
 DATE_RE = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4}|\d{8})$"
-# what may follow the date: [T ]H:mm[:ss[.ffffff]] then [ ]Z / +hh:mm / +hhmm
-REST_RE = r"^[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)? ?(?:Z|[+-]\d{2}:?\d{2})?$"
 LEAD_RE = r"^[0-9-]+"
-CLOCK_RE = r"^[T ](\d{1,2}):(\d{2})(?::(\d{2}))?"
-FRAC_RE = r"\.(\d{1,6})"
-ZONE_RE = r"(Z|[+-]\d{2}:?\d{2})$"
-
+# what may follow the date: groups 1 hour, 2 minute, 3 second, 4 fraction, 5 offset
+REST_RE = (r"^[T ]([01]?\d|2[0-3]):([0-5]\d)(?::([0-5]\d)(?:\.(\d{1,6}))?)?"
+           r" ?(Z|[+-](?:[01]\d|2[0-3]):?[0-5]\d)?$")
 MDY_RE = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
 COMPACT_RE = r"^(\d{4})(\d{2})(\d{2})$"
 
@@ -34,96 +33,82 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _stamp_steps(c, put):
-    """Shared body of ``parse_stamp`` / ``with_stamp``.
-
-    ``put(name, column)`` returns a column standing for the value: the
-    column itself (one expression) or a helper-column reference (staged).
-    """
-    t = put("t", F.translate(strip_text(_col(c)), "/", "-"))
-    d = put("d", F.regexp_extract(t, LEAD_RE, 0))
-    rest = put("r", F.substring(t, F.length(d) + 1, 100000))
-    has_rest = rest != ""
-    ok = d.rlike(DATE_RE) & (~has_rest | rest.rlike(REST_RE)) & ~d.startswith("0000")
-    month_first = F.regexp_replace(F.regexp_replace(d, MDY_RE, "$3-$1-$2"), COMPACT_RE, "$1-$2-$3")
-    day_first = F.when(d.rlike(MDY_RE), F.regexp_replace(d, MDY_RE, "$3-$2-$1"))
-    day = put("day", F.when(ok, F.coalesce(month_first.try_cast("date"), day_first.try_cast("date"))))
-
-    def clock(i, default):
-        g = F.regexp_extract(rest, CLOCK_RE, i)
-        return F.when(g == "", F.lit(default)).otherwise(g)
-
-    hms = F.concat(F.lpad(clock(1, "0"), 2, "0"), F.lit(":"), clock(2, "00"), F.lit(":"), clock(3, "00"))
-    ts = F.when(~has_rest, day.cast("timestamp_ntz")).otherwise(
-        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), hms).try_cast("timestamp_ntz"))
-    return F.struct(day.alias("day"), ts.alias("ts"),
-                    F.when(has_rest, F.regexp_extract(rest, FRAC_RE, 1)).otherwise("").alias("frac"),
-                    F.when(has_rest, F.regexp_extract(rest, ZONE_RE, 1)).otherwise("").alias("zone"))
+def _date_steps(c):
+    """(date, rest) columns for text ``c`` as single expressions."""
+    t = F.translate(strip_text(_col(c)), "/", "-")
+    d = F.regexp_extract(t, LEAD_RE, 0)
+    rest = F.substring(t, F.length(d) + 1, 100000)
+    return _date_steps_from(d, rest), rest
 
 
-def parse_stamp(c) -> Column:
-    """Free-form text -> struct<day: date, ts: timestamp_ntz, frac, zone>.
-
-    ``ts`` is NULL whenever the text is not a valid date (and time). The
-    date token is the leading run of digits and '-'; the time / offset
-    regexes only run when something follows it. As one expression, shared
-    pieces may be evaluated more than once; ``with_stamp`` avoids that.
-    """
-    return _stamp_steps(c, lambda name, col: col)
+def _iso(day: Column, rest: Column) -> Column:
+    def g(i):
+        return F.regexp_extract(rest, REST_RE, i)
 
+    hh = F.lpad(F.coalesce(F.nullif(g(1), F.lit("")), F.lit("0")), 2, "0")
+    mm = F.coalesce(F.nullif(g(2), F.lit("")), F.lit("00"))
+    ss = F.coalesce(F.nullif(g(3), F.lit("")), F.lit("00"))
+    frac6 = F.rpad(g(4), 6, "0")
+    frac_txt = F.when((g(4) != "") & (frac6 != "000000"), F.concat(F.lit("."), frac6)).otherwise("")
+    zone = g(5)
+    z = F.regexp_replace(zone, ":", "")
+    zone_txt = (F.when(zone == "", F.lit(""))
+                .when((zone == "Z") | (F.substring(z, 2, 4) == "0000"), F.lit("+00:00"))
+                .otherwise(F.concat(F.substring(z, 1, 3), F.lit(":"), F.substring(z, 4, 2))))
+    return F.when(day.isNotNull(), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), hh, F.lit(":"), mm,
+                                            F.lit(":"), ss, frac_txt, zone_txt))
 
-def with_stamp(df: DataFrame, src: str, out: str) -> DataFrame:
-    """Add ``out`` = ``parse_stamp(src)``, each intermediate computed once.
 
-    Intermediates are helper columns in successive projections; the
-    optimizer keeps them apart because each is read more than once.
-    """
-    state = {"df": df}
-    helpers = []
+def parse_date(c) -> Column:
+    """Free-form text -> DATE (NULL when blank or unparseable)."""
+    return _date_steps(c)[0]
 
-    def put(name, col):
-        h = f"_{out}_{name}"
-        helpers.append(h)
-        state["df"] = state["df"].withColumn(h, col)
-        return F.col(h)
 
-    struct = _stamp_steps(src, put)
-    return state["df"].withColumn(out, struct).drop(*helpers)
+def standardize_date(c) -> Column:
+    """Free-form text -> ``yyyy-MM-dd`` text."""
+    return F.date_format(parse_date(c), "yyyy-MM-dd")
 
 
-def stamp_date(stamp: Column) -> Column:
-    """DATE of a parsed stamp (NULL when the text was not valid)."""
-    return F.when(stamp["ts"].isNotNull(), stamp["day"])
+def standardize_timestamp(c) -> Column:
+    """Free-form text -> ISO-8601 text (seconds always, microseconds when
+    non-zero, offset as +hh:mm when given)."""
+    day, rest = _date_steps(c)
+    return _iso(day, rest)
 
 
-def stamp_iso_date(stamp: Column) -> Column:
-    return F.date_format(stamp_date(stamp), "yyyy-MM-dd")
+def _staged(df: DataFrame, mapping: dict[str, str], final) -> DataFrame:
+    """Shared staging: one projection per step for all columns at once."""
+    names = {out: (f"_{out}_t", f"_{out}_d", f"_{out}_r") for out in mapping.values()}
+    df = df.withColumns({names[o][0]: F.translate(strip_text(F.col(s)), "/", "-") for s, o in mapping.items()})
+    df = df.withColumns({names[o][1]: F.regexp_extract(F.col(names[o][0]), LEAD_RE, 0) for o in mapping.values()})
+    df = df.withColumns({names[o][2]: F.substring(F.col(names[o][0]), F.length(F.col(names[o][1])) + 1, 100000)
+                         for o in mapping.values()})
+    helpers = [h for o in mapping.values() for h in names[o]]
+    return final(df, names).drop(*helpers)
 
 
-def stamp_iso(stamp: Column) -> Column:
-    """ISO-8601 text: seconds always, microseconds when non-zero, offset as +hh:mm."""
-    frac, zone, ts = stamp["frac"], stamp["zone"], stamp["ts"]
-    frac6 = F.rpad(frac, 6, "0")
-    frac_txt = F.when((frac != "") & (frac6 != "000000"), F.concat(F.lit("."), frac6)).otherwise("")
-    z = F.regexp_replace(zone, ":", "")
-    zone_txt = (
-        F.when(zone == "", F.lit(""))
-        .when((zone == "Z") | (F.substring(z, 2, 4) == "0000"), F.lit("+00:00"))
-        .otherwise(F.concat(F.substring(z, 1, 3), F.lit(":"), F.substring(z, 4, 2)))
-    )
-    return F.when(ts.isNotNull(), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), frac_txt, zone_txt))
+def _date_steps_from(d: Column, rest: Column) -> Column:
+    ok = d.rlike(DATE_RE) & ((rest == "") | rest.rlike(REST_RE)) & ~d.startswith("0000")
+    month_first = F.regexp_replace(F.regexp_replace(d, MDY_RE, "$3-$1-$2"), COMPACT_RE, "$1-$2-$3")
+    day_first = F.when(d.rlike(MDY_RE), F.regexp_replace(d, MDY_RE, "$3-$2-$1"))
+    return F.when(ok, F.coalesce(month_first.try_cast("date"), day_first.try_cast("date")))
 
 
-def parse_date(c) -> Column:
-    """Free-form text -> DATE (NULL when blank or unparseable)."""
-    return stamp_date(parse_stamp(c))
+def with_dates(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Add a DATE column per ``{source text column: output column}``."""
+    def final(d, names):
+        return d.withColumns({o: _date_steps_from(F.col(names[o][1]), F.col(names[o][2])) for o in mapping.values()})
+    return _staged(df, mapping, final)
 
 
-def standardize_date(c) -> Column:
-    """Free-form text -> ``yyyy-MM-dd`` text."""
-    return stamp_iso_date(parse_stamp(c))
+def with_date(df: DataFrame, src: str, out: str) -> DataFrame:
+    return with_dates(df, {src: out})
 
 
-def standardize_timestamp(c) -> Column:
-    """Free-form text -> ISO-8601 text, keeping fraction and offset if present."""
-    return stamp_iso(parse_stamp(c))
+def with_timestamp_text(df: DataFrame, src: str, out: str) -> DataFrame:
+    """Add ISO-8601 text column ``out`` standardized from ``src``."""
+    def final(d, names):
+        _, dcol, rcol = names[out]
+        d = d.withColumn(f"_{out}_day", _date_steps_from(F.col(dcol), F.col(rcol)))
+        return d.withColumn(out, _iso(F.col(f"_{out}_day"), F.col(rcol))).drop(f"_{out}_day")
+    return _staged(df, {src: out}, final)

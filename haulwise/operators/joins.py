@@ -1,7 +1,15 @@
-"""Join helpers: a broadcast only behind a proven row bound."""
+"""Join helpers: a broadcast only behind a proven row bound.
+
+A bound is proven either by counting (``limit(max + 1).count()``, which reads
+at most max + 1 rows) or by construction: an operator that has already
+established that a DataFrame is small records it with ``mark_bounded`` so
+later joins do not count again.
+"""
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +17,37 @@ from pyspark.sql import functions as F
 # to the planner (sort-merge / shuffled hash, AQE skew splitting).
 BROADCAST_MAX_ROWS = 2_000_000
 
+_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
-def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def mark_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Record that ``df`` is known to hold at most ``max_rows`` rows."""
+    _BOUNDS[df] = max_rows
+    return df
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS, small_is_bounded: bool | None = None) -> DataFrame:
+def known_bound(df: DataFrame) -> int | None:
+    return _BOUNDS.get(df)
+
+
+def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
+    known = known_bound(df)
+    if known is not None and known <= max_rows:
+        return True
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if ok:
+        mark_bounded(df, max_rows)
+    return ok
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", cols: list[str] | None = None,
+                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join a lookup table, broadcasting it only when its size is proven.
 
-    ``small_is_bounded`` lets a caller pass an already established bound (for
-    instance a fixed-size calendar) and skip the check.
+    ``cols`` projects the lookup side after its bound is checked (the bound
+    of a table holds for any projection of it).
     """
-    ok = bounded_rows(small, max_rows) if small_is_bounded is None else small_is_bounded
-    return big.join(F.broadcast(small) if ok else small, on=on, how=how)
+    ok = bounded_rows(small, max_rows)
+    side = small.select(*cols) if cols else small
+    return big.join(F.broadcast(side) if ok else side, on=on, how=how)

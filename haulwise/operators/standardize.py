@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import CONTRACTS
 from haulwise.functions import standardize_category, to_number, to_usd
-from haulwise.functions.dates import parse_stamp, stamp_date, stamp_iso, stamp_iso_date, with_stamp
+from haulwise.functions.dates import with_date, with_dates, with_timestamp_text
 
 
 def with_optional_columns(df: DataFrame, source: str) -> DataFrame:
@@ -27,28 +27,31 @@ def is_on_time(late):
     return late <= 0
 
 
+def _iso_date(c: str):
+    return F.date_format(F.col(c), "yyyy-MM-dd")
+
+
 def transform_orders(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "orders")
-    # each date text is parsed once into a helper struct column
-    p = with_stamp(with_stamp(with_stamp(df, "order_date", "_od"), "promised_delivery_date", "_pd"),
-                   "actual_delivery_date", "_ad")
-    late = days_late(stamp_date(F.col("_ad")), stamp_date(F.col("_pd")))
+    # each date text is parsed once into a helper DATE column
+    p = with_dates(df, {"order_date": "_od", "promised_delivery_date": "_pd", "actual_delivery_date": "_ad"})
     return (p.withColumns({
-        "order_date": stamp_iso_date(F.col("_od")),
-        "promised_delivery_date": stamp_iso_date(F.col("_pd")),
-        "actual_delivery_date": stamp_iso_date(F.col("_ad")),
+        "order_date": _iso_date("_od"),
+        "promised_delivery_date": _iso_date("_pd"),
+        "actual_delivery_date": _iso_date("_ad"),
         "status": standardize_category("status"),
         "order_value_usd": to_usd("order_value", "currency"),
-        "days_late": late,
+        "days_late": days_late(F.col("_ad"), F.col("_pd")),
     }).withColumn("is_on_time", is_on_time(F.col("days_late"))).drop("_od", "_pd", "_ad"))
 
 
 def transform_delivery_events(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "delivery_events")
-    p = with_stamp(df, "event_timestamp", "_ts").withColumn("_min", to_number("delivery_duration_minutes"))
+    p = (with_timestamp_text(df, "event_timestamp", "_ts")
+         .withColumn("_min", to_number("delivery_duration_minutes")))
     minutes = F.col("_min")
     return p.withColumns({
-        "event_timestamp": stamp_iso(F.col("_ts")),
+        "event_timestamp": F.col("_ts"),
         "event_type": standardize_category("event_type"),
         # flag computed before negatives are nulled: NULL counts as valid
         "is_valid_duration": F.coalesce(minutes >= 0, F.lit(True)),
@@ -58,8 +61,8 @@ def transform_delivery_events(df: DataFrame) -> DataFrame:
 
 def transform_partner_payments(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "partner_payments")
-    return with_stamp(df, "payment_date", "_pay").withColumns({
-        "payment_date": stamp_iso_date(F.col("_pay")),
+    return with_date(df, "payment_date", "_pay").withColumns({
+        "payment_date": _iso_date("_pay"),
         "payment_status": standardize_category("payment_status"),
         "amount_usd": to_usd("amount", "currency"),
     }).drop("_pay")
@@ -67,13 +70,13 @@ def transform_partner_payments(df: DataFrame) -> DataFrame:
 
 def transform_warehouse_inventory(df: DataFrame) -> DataFrame:
     df = with_optional_columns(df, "warehouse_inventory")
-    p = with_stamp(df, "last_updated", "_lu").withColumns(
+    p = with_timestamp_text(df, "last_updated", "_lu").withColumns(
         {"_q": to_number("quantity_on_hand"), "_l": to_number("reorder_level")})
     qty, lvl = F.col("_q"), F.col("_l")
     return p.withColumns({
         "quantity_on_hand": qty,
         "reorder_level": lvl,
-        "last_updated": stamp_iso(F.col("_lu")),
+        "last_updated": F.col("_lu"),
         "needs_reorder": F.coalesce(qty < lvl, F.lit(False)),
     }).drop("_q", "_l", "_lu")
 

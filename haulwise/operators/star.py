@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwise.contracts import FACT_TABLE, INITIAL_WATERMARK, PARTNER_TYPE, WAREHOUSE_REGIONS
-from haulwise.operators.joins import lookup_join
+from haulwise.operators.joins import known_bound, lookup_join, mark_bounded
 from haulwise.operators.keys import number_rows
 
 # ---------------------------------------------------------------- schemas
@@ -28,7 +28,7 @@ ETL_METADATA = "table_name string, last_watermark string, updated_at timestamp_n
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return mark_bounded(spark.createDataFrame([], schema), 0)
 
 
 def _suffix_number(id_col: str) -> Column:
@@ -81,14 +81,15 @@ def route_attributes(members: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ upsert
 def upsert(target: DataFrame, source: DataFrame, key: str, key_col: str | None,
            update_cols: list[str], as_of: dt.datetime, ts_cols: tuple[str, ...] = ("created_at", "updated_at"),
-           key_order: str | None = None) -> DataFrame:
+           key_order: str | None = None, base_key: int | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols`` as joins.
 
     * matched: target row, with ``update_cols`` (and ``updated_at``) from source;
     * new: source row, new surrogate key after the current maximum (in
       ``key_order`` order), ``created_at`` = ``updated_at`` = ``as_of``;
     * untouched target rows are kept as they are.
-    ``source`` must be unique on ``key``. The matched/untouched half is a left
+    ``source`` must be unique on ``key``. ``base_key`` is the target's current
+    maximum key when the caller knows it (0 for an empty target). The matched/untouched half is a left
     join of target to source, the new half a left-anti join of source to
     target; both shuffle on ``key`` and share the exchanges.
     """
@@ -105,29 +106,40 @@ def upsert(target: DataFrame, source: DataFrame, key: str, key_col: str | None,
             return F.when(F.col("_s_hit"), stamp).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    old = target.join(s, on=key, how="left").select(*[keep(c) for c in cols])
-    fresh = source.join(target.select(key), on=key, how="left_anti")
+    if known_bound(target) == 0:
+        # first load into an empty table: everything is new
+        old, fresh = target, source
+    else:
+        old = target.join(s, on=key, how="left").select(*[keep(c) for c in cols])
+        fresh = source.join(target.select(key), on=key, how="left_anti")
     fill = {c: stamp for c in ts_cols if c in cols}
     fill.update({c: F.lit(None).cast(target.schema[c].dataType)
                  for c in cols if c not in source.columns and c not in fill and c != key_col})
     fresh = fresh.withColumns(fill) if fill else fresh
     if key_col is not None:
-        base = target.agg(F.max(key_col)).first()[0] or 0
+        base = base_key if base_key is not None else (target.agg(F.max(key_col)).first()[0] or 0)
         fresh = number_rows(fresh, [key_order or key], key_col, start=int(base) + 1)
-    return old.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType) for c in cols]))
+    out = old.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType) for c in cols]))
+    tb, fb = known_bound(target), known_bound(fresh)
+    if tb is not None and fb is not None:
+        mark_bounded(out, tb + fb)
+    return out
 
 
-def load_dim_warehouse(target: DataFrame, members: DataFrame, as_of: dt.datetime) -> DataFrame:
+def load_dim_warehouse(target: DataFrame, members: DataFrame, as_of: dt.datetime,
+                       base_key: int | None = None) -> DataFrame:
     return upsert(target, warehouse_attributes(members), "warehouse_id", "warehouse_key",
-                  ["warehouse_name", "region"], as_of)
+                  ["warehouse_name", "region"], as_of, base_key=base_key)
 
 
-def load_dim_partner(target: DataFrame, members: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return upsert(target, partner_attributes(members), "partner_id", "partner_key", [], as_of)
+def load_dim_partner(target: DataFrame, members: DataFrame, as_of: dt.datetime,
+                     base_key: int | None = None) -> DataFrame:
+    return upsert(target, partner_attributes(members), "partner_id", "partner_key", [], as_of, base_key=base_key)
 
 
-def load_dim_route(target: DataFrame, members: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return upsert(target, route_attributes(members), "route_id", "route_key", [], as_of)
+def load_dim_route(target: DataFrame, members: DataFrame, as_of: dt.datetime,
+                   base_key: int | None = None) -> DataFrame:
+    return upsert(target, route_attributes(members), "route_id", "route_key", [], as_of, base_key=base_key)
 
 
 # ---------------------------------------------------------------- calendar
@@ -136,13 +148,13 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     d0 = dt.date.fromisoformat(start)
     n = (dt.date.fromisoformat(end) - d0).days + 1
     day = F.date_add(F.lit(d0), F.col("id").cast("int"))
-    return (spark.range(max(n, 0)).select(day.alias("full_date"))
+    return mark_bounded(spark.range(max(n, 0)).select(day.alias("full_date"))
             .select(F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_key"),
                     "full_date",
                     F.year("full_date").alias("year"), F.quarter("full_date").alias("quarter"),
                     F.month("full_date").alias("month"), F.dayofmonth("full_date").alias("day"),
                     F.weekday("full_date").alias("day_of_week"),
-                    (F.weekday("full_date") >= 5).alias("is_weekend")))
+                    (F.weekday("full_date") >= 5).alias("is_weekend")), max(n, 0))
 
 
 def calendar_range(as_of: dt.datetime, back_days: int = 730, ahead_days: int = 365) -> tuple[str, str]:
@@ -152,7 +164,9 @@ def calendar_range(as_of: dt.datetime, back_days: int = 730, ahead_days: int = 3
 
 def load_dim_date(target: DataFrame, days: DataFrame) -> DataFrame:
     """Insert-if-absent: existing dates are never touched."""
-    return target.unionByName(days.join(target.select("date_key"), "date_key", "left_anti"))
+    out = target.unionByName(days.join(target.select("date_key"), "date_key", "left_anti"))
+    tb, db = known_bound(target), known_bound(days)
+    return mark_bounded(out, tb + db) if tb is not None and db is not None else out
 
 
 # --------------------------------------------------------------- watermark
@@ -208,9 +222,9 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
     o = slice_df.select("order_id", "warehouse_id", "partner_id", "route_id", "order_date",
                         "promised_delivery_date", "actual_delivery_date", "order_value_usd",
                         "is_on_time", "days_late")
-    o = lookup_join(o, dim_w.select("warehouse_id", "warehouse_key"), "warehouse_id")
-    o = lookup_join(o, dim_p.select("partner_id", "partner_key"), "partner_id")
-    o = lookup_join(o, dim_r.select("route_id", "route_key"), "route_id")
+    o = lookup_join(o, dim_w, "warehouse_id", cols=["warehouse_id", "warehouse_key"])
+    o = lookup_join(o, dim_p, "partner_id", cols=["partner_id", "partner_key"])
+    o = lookup_join(o, dim_r, "route_id", cols=["route_id", "route_key"])
     return o.select(
         "order_id", "warehouse_key", "partner_key", "route_key",
         date_key("order_date").alias("order_date_key"),
@@ -226,10 +240,10 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
 FACT_UPDATE_COLS = ["is_on_time", "days_late", "delivery_duration_hours"]
 
 
-def load_fact(target: DataFrame, rows: DataFrame, as_of: dt.datetime) -> DataFrame:
+def load_fact(target: DataFrame, rows: DataFrame, as_of: dt.datetime, base_key: int | None = None) -> DataFrame:
     """Upsert fact rows by order_id: only the three delivery metrics update."""
     return upsert(target, rows, "order_id", "delivery_key", FACT_UPDATE_COLS, as_of,
-                  ts_cols=("created_at",))
+                  ts_cols=("created_at",), base_key=base_key)
 
 
 def fk_violations(fact: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: DataFrame,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import CONTRACTS
 from haulwise.operators import star
+from haulwise.operators.joins import known_bound, mark_bounded
 from haulwise.operators.standardize import transform_source
 from haulwise.operators.validation import validate_source
 from haulwise.sources.feeds import derive_feed
@@ -93,22 +94,32 @@ class Batch:
         return _Lazy(self.standardized)
 
     # ------------------------------------------------------------ load
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a (small) warehouse table once; later plans scan it."""
+        out = stage(self.spark, df, self.run_id, name)
+        bound = known_bound(df)
+        return mark_bounded(out, bound) if bound is not None else out
+
     @cached_property
     def dim_warehouse(self) -> DataFrame:
         # orders when present, else inventory (never their union)
         members = star.warehouse_members(self.transformed["orders"], None)
-        return star.load_dim_warehouse(star.empty(self.spark, star.DIM_WAREHOUSE), members, self.as_of)
+        return self._table("dim_warehouse", star.load_dim_warehouse(
+            star.empty(self.spark, star.DIM_WAREHOUSE), members, self.as_of, base_key=0))
 
     @cached_property
     def dim_partner(self) -> DataFrame:
-        t = self.transformed
-        return star.load_dim_partner(star.empty(self.spark, star.DIM_PARTNER),
-                                     star.partner_members(t["orders"], t["partner_payments"]), self.as_of)
+        # standardization does not touch partner_id: the validated payments
+        # feed gives the same members without staging the whole transform
+        members = star.partner_members(self.transformed["orders"], self.valid("partner_payments"))
+        return self._table("dim_partner", star.load_dim_partner(
+            star.empty(self.spark, star.DIM_PARTNER), members, self.as_of, base_key=0))
 
     @cached_property
     def dim_route(self) -> DataFrame:
-        return star.load_dim_route(star.empty(self.spark, star.DIM_ROUTE),
-                                   star.route_members(self.transformed["orders"]), self.as_of)
+        return self._table("dim_route", star.load_dim_route(
+            star.empty(self.spark, star.DIM_ROUTE), star.route_members(self.transformed["orders"]), self.as_of,
+            base_key=0))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -133,7 +144,7 @@ class Batch:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return star.load_fact(star.empty(self.spark, star.FACT), self.fact_rows, self.as_of)
+        return star.load_fact(star.empty(self.spark, star.FACT), self.fact_rows, self.as_of, base_key=0)
 
     @cached_property
     def payments_clean(self) -> DataFrame:
@@ -163,13 +174,15 @@ class TwoBatchLoad:
     def load1(self) -> dict[str, DataFrame]:
         b, sp, t = self.b, self.spark, self.b.transformed
         dim_w = star.load_dim_warehouse(star.empty(sp, star.DIM_WAREHOUSE),
-                                        star.warehouse_members(self.orders1, None), b.as_of)
+                                        star.warehouse_members(self.orders1, None), b.as_of, base_key=0)
         dim_p = star.load_dim_partner(star.empty(sp, star.DIM_PARTNER),
-                                      star.partner_members(self.orders1, t["partner_payments"]), b.as_of)
-        dim_r = star.load_dim_route(star.empty(sp, star.DIM_ROUTE), star.route_members(self.orders1), b.as_of)
+                                      star.partner_members(self.orders1, t["partner_payments"]), b.as_of,
+                                      base_key=0)
+        dim_r = star.load_dim_route(star.empty(sp, star.DIM_ROUTE), star.route_members(self.orders1), b.as_of,
+                                    base_key=0)
         state = star.initial_state(sp, b.as_of)
         sl = star.incremental_slice(self.orders1, star.read_watermark(state))
-        fact = star.load_fact(star.empty(sp, star.FACT), star.fact_rows(sl, dim_w, dim_p, dim_r), b.as_of)
+        fact = star.load_fact(star.empty(sp, star.FACT), star.fact_rows(sl, dim_w, dim_p, dim_r), b.as_of, base_key=0)
         mark = sl.agg(F.max("order_date")).first()[0]
         state = star.advance_watermark(state, mark, b.as_of)
         return {"dim_warehouse": dim_w, "dim_partner": dim_p, "dim_route": dim_r,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulwise.operators.joins import lookup_join
+from haulwise.operators.joins import known_bound, lookup_join, mark_bounded
 
 
 def round_half_up(x: Column, digits: int = 2) -> Column:
@@ -28,8 +28,8 @@ def mean(c: str) -> Column:
 
 def on_time_rate_by_warehouse(fact: DataFrame, dim_w: DataFrame) -> DataFrame:
     f = fact.where(F.col("is_on_time").isNotNull()).select("warehouse_key", "is_on_time", "days_late")
-    j = lookup_join(f, dim_w.select("warehouse_key", "warehouse_id", "warehouse_name", "region"),
-                    "warehouse_key", how="inner")
+    j = lookup_join(f, dim_w, "warehouse_key", how="inner",
+                    cols=["warehouse_key", "warehouse_id", "warehouse_name", "region"])
     on_time = F.sum(F.when(F.col("is_on_time"), 1).otherwise(0))
     return (j.groupBy("warehouse_id", "warehouse_name", "region")
             .agg(F.count(F.lit(1)).alias("total_deliveries"),
@@ -42,8 +42,8 @@ def on_time_rate_by_warehouse(fact: DataFrame, dim_w: DataFrame) -> DataFrame:
 def delivery_time_by_route(fact: DataFrame, dim_r: DataFrame, top: int = 20) -> DataFrame:
     f = fact.where(F.col("delivery_duration_hours").isNotNull()).select(
         "route_key", "delivery_duration_hours", "days_late")
-    j = lookup_join(f, dim_r.select("route_key", "route_id", "origin", "destination", "distance_km"),
-                    "route_key", how="inner")
+    j = lookup_join(f, dim_r, "route_key", how="inner",
+                    cols=["route_key", "route_id", "origin", "destination", "distance_km"])
     per_km = F.col("delivery_duration_hours").cast("double") / F.nullif(F.col("distance_km"), F.lit(0)).cast("double")
     return (j.withColumn("_per_km", per_km)
             .groupBy("route_id", "origin", "destination", "distance_km")
@@ -58,7 +58,7 @@ def delivery_time_by_route(fact: DataFrame, dim_r: DataFrame, top: int = 20) ->
 
 def partner_payment_reconciliation(fact: DataFrame, dim_p: DataFrame, payments_clean: DataFrame) -> DataFrame:
     f = fact.where(F.col("order_value_usd").isNotNull()).select("partner_key", "order_id", "order_value_usd")
-    orders = (lookup_join(f, dim_p.select("partner_key", "partner_id"), "partner_key", how="inner")
+    orders = (lookup_join(f, dim_p, "partner_key", how="inner", cols=["partner_key", "partner_id"])
               .groupBy("partner_id")
               .agg(F.sum("order_value_usd").alias("total_order_value"),
                    F.count_distinct("order_id").alias("order_count")))
@@ -81,8 +81,10 @@ def partner_payment_reconciliation(fact: DataFrame, dim_p: DataFrame, payments_c
 
 def monthly_order_trend(fact: DataFrame, dim_d: DataFrame) -> DataFrame:
     f = fact.select("order_date_key", "order_id", "order_value_usd")
-    j = lookup_join(f, dim_d.select(F.col("date_key").alias("order_date_key"), "year", "month", "full_date"),
-                    "order_date_key", how="inner")
+    d = dim_d.withColumnRenamed("date_key", "order_date_key")
+    if known_bound(dim_d) is not None:
+        mark_bounded(d, known_bound(dim_d))
+    j = lookup_join(f, d, "order_date_key", how="inner", cols=["order_date_key", "year", "month", "full_date"])
     monthly = (j.groupBy("year", "month", F.date_format("full_date", "yyyy-MM").alias("year_month"))
                .agg(F.count_distinct("order_id").alias("order_count"),
                     F.sum("order_value_usd").alias("total_value"),

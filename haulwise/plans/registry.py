@@ -55,7 +55,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from haulwise.contracts import CONTRACTS  # noqa: E402
 from haulwise.functions import na_to_null, standardize_category, to_number, to_usd  # noqa: E402
-from haulwise.functions.dates import stamp_iso, stamp_iso_date, with_stamp  # noqa: E402
+from haulwise.functions.dates import with_dates, with_timestamp_text  # noqa: E402
 from haulwise.operators import quality as dq  # noqa: E402
 from haulwise.operators import star  # noqa: E402
 from haulwise.operators import validation as val  # noqa: E402
@@ -173,17 +173,16 @@ def q_validate_summary(spark, sf_dir):
 def q_standardize_dates(spark, sf_dir):
     v = Batch(spark, sf_dir).valid("orders")
     cols = ["order_date", "promised_delivery_date", "actual_delivery_date"]
-    for i, c in enumerate(cols):
-        v = with_stamp(v, c, f"_s{i}")
+    v = with_dates(v, {c: f"_s{i}" for i, c in enumerate(cols)})
     return v.select("_row_seq", "order_id", *[F.col(c).alias(f"{c}_raw") for c in cols],
-                    *[stamp_iso_date(F.col(f"_s{i}")).alias(c) for i, c in enumerate(cols)])
+                    *[F.date_format(f"_s{i}", "yyyy-MM-dd").alias(c) for i, c in enumerate(cols)])
 
 
 @query("standardize_timestamps")
 def q_standardize_timestamps(spark, sf_dir):
-    v = with_stamp(Batch(spark, sf_dir).valid("delivery_events"), "event_timestamp", "_s")
+    v = with_timestamp_text(Batch(spark, sf_dir).valid("delivery_events"), "event_timestamp", "_s")
     return v.select("_row_seq", "event_id", F.col("event_timestamp").alias("event_timestamp_raw"),
-                    stamp_iso(F.col("_s")).alias("event_timestamp"))
+                    F.col("_s").alias("event_timestamp"))
 
 
 @query("currency_to_usd")
