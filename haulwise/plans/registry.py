@@ -443,3 +443,46 @@ def q_orphan_warehouse_keys(spark, sf_dir):
 def q_dq_summary(spark, sf_dir):
     b = Batch(spark, sf_dir)
     return dq.quality_summary(_dq_report(b), dq.orphan_count(b.fact, b.dim_warehouse))
+
+
+# ------------------------------------------------------------ landing CSV
+from haulwise.session import scratch_path  # noqa: E402
+from haulwise.sources import landing  # noqa: E402
+from haulwise.sources.stage import new_run_id  # noqa: E402
+
+
+def _write_landing_csv(spark, df, path: str) -> None:
+    """Write a feed the way an upstream system would: header, '""' escaping,
+    NULL as an empty field, whitespace kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+@query("landing_scan")
+def q_landing_scan(spark, sf_dir):
+    """Orders feed landed as CSV, scanned back all-string and staged."""
+    b = Batch(spark, sf_dir)
+    run = new_run_id()
+    path = scratch_path(spark, "landing", run, "orders.csv")
+    _write_landing_csv(spark, b.raw("orders").select(*CONTRACTS["orders"].columns), path)
+    df = landing.extract(spark, path, "orders", "orders.csv", b.ds, b.as_of, scratch_path(spark, "stage", run))
+    return df.drop("_row_seq")
+
+
+@query("malformed_rows")
+def q_malformed_rows(spark, sf_dir):
+    """Orders feed as raw CSV lines where every 13th order carries a surplus
+    field (dropped) and every 17th lacks its last field (padded with NULL)."""
+    b = Batch(spark, sf_dir)
+    cols = list(CONTRACTS["orders"].columns)
+    k = (F.col("_row_seq") / 2).cast("long")
+    full = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
+    short = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cols[:-1]])
+    line = (F.when(k % 13 == 0, F.concat(full, F.lit(",EXTRA")))
+            .when(k % 17 == 0, short).otherwise(full))
+    run = new_run_id()
+    path = scratch_path(spark, "landing", run, "orders_lines")
+    b.raw("orders").select(line.alias("value")).write.mode("overwrite").text(path)
+    df = landing.extract(spark, path, "orders", "orders.csv", b.ds, b.as_of, scratch_path(spark, "stage", run),
+                         columns=cols, header=False, multiline=False)
+    return df.drop("_row_seq")

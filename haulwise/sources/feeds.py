@@ -72,7 +72,7 @@ FROM {events}
 """
 
 PAYMENTS_RAW = """
-SELECT l_partkey, l_suppkey, concat('PAY_', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS payment_id,
+SELECT l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_returnflag, l_linestatus, concat('PAY_', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS payment_id,
   CASE WHEN l_orderkey % 109 = 0 THEN NULL ELSE concat('PARTNER_', lpad(CAST(l_suppkey % 25 + 1 AS STRING), 3, '0')) END AS partner_id,
   CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END AS amount,
   CASE l_returnflag WHEN 'A' THEN 'USD' WHEN 'N' THEN 'EUR' ELSE 'GBP' END AS currency,
@@ -82,6 +82,8 @@ SELECT l_partkey, l_suppkey, concat('PAY_', CAST(l_orderkey AS STRING), '_', CAS
 FROM {lineitem}
 """
 
+PAYMENT_ORDER = ("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus")
+
 FEED_SQL = {
     "orders": (ORDERS_RAW, ("orders",)),
     "warehouse_inventory": (INVENTORY_RAW, ("part",)),
@@ -119,7 +121,9 @@ def derive_feed(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     bound = {t: read_table(spark, sf_dir, t) for t in tables}
     df = spark.sql(render(sql, "spark"), **bound)
     if source == "partner_payments":
-        df = df.withColumn(ROW_SEQ, F.struct("l_partkey", "l_suppkey"))
+        # file order of the payments feed: lineitem's part, supplier, then
+        # the remaining columns that can tell two copies apart
+        df = df.withColumn(ROW_SEQ, F.struct(*PAYMENT_ORDER))
     cols = [ROW_SEQ, *CONTRACTS[source].columns]
     if source == "orders":
         cols = ["k", *cols]
