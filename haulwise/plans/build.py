@@ -100,10 +100,15 @@ class Batch:
         bound = known_bound(df)
         return mark_bounded(out, bound) if bound is not None else out
 
+    def _members(self, name: str, df: DataFrame) -> DataFrame:
+        """Distinct natural ids, written once: numbering them needs a size
+        check and a pass, and neither should recompute the feed."""
+        return stage(self.spark, df, self.run_id, f"{name}_members")
+
     @cached_property
     def dim_warehouse(self) -> DataFrame:
         # orders when present, else inventory (never their union)
-        members = star.warehouse_members(self.transformed["orders"], None)
+        members = self._members("warehouse", star.warehouse_members(self.transformed["orders"], None))
         return self._table("dim_warehouse", star.load_dim_warehouse(
             star.empty(self.spark, star.DIM_WAREHOUSE), members, self.as_of, base_key=0))
 
@@ -111,15 +116,16 @@ class Batch:
     def dim_partner(self) -> DataFrame:
         # standardization does not touch partner_id: the validated payments
         # feed gives the same members without staging the whole transform
-        members = star.partner_members(self.transformed["orders"], self.valid("partner_payments"))
+        members = self._members("partner", star.partner_members(self.transformed["orders"],
+                                                                self.valid("partner_payments")))
         return self._table("dim_partner", star.load_dim_partner(
             star.empty(self.spark, star.DIM_PARTNER), members, self.as_of, base_key=0))
 
     @cached_property
     def dim_route(self) -> DataFrame:
+        members = self._members("route", star.route_members(self.transformed["orders"]))
         return self._table("dim_route", star.load_dim_route(
-            star.empty(self.spark, star.DIM_ROUTE), star.route_members(self.transformed["orders"]), self.as_of,
-            base_key=0))
+            star.empty(self.spark, star.DIM_ROUTE), members, self.as_of, base_key=0))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -170,33 +176,41 @@ class TwoBatchLoad:
         df = transform_source(validate_source(raw2, "orders")["valid"], "orders")
         return stage(self.spark, df, self.b.run_id, "orders2_transformed")
 
-    @cached_property
-    def load1(self) -> dict[str, DataFrame]:
-        b, sp, t = self.b, self.spark, self.b.transformed
-        dim_w = star.load_dim_warehouse(star.empty(sp, star.DIM_WAREHOUSE),
-                                        star.warehouse_members(self.orders1, None), b.as_of, base_key=0)
-        dim_p = star.load_dim_partner(star.empty(sp, star.DIM_PARTNER),
-                                      star.partner_members(self.orders1, t["partner_payments"]), b.as_of,
-                                      base_key=0)
-        dim_r = star.load_dim_route(star.empty(sp, star.DIM_ROUTE), star.route_members(self.orders1), b.as_of,
-                                    base_key=0)
-        state = star.initial_state(sp, b.as_of)
-        sl = star.incremental_slice(self.orders1, star.read_watermark(state))
-        fact = star.load_fact(star.empty(sp, star.FACT), star.fact_rows(sl, dim_w, dim_p, dim_r), b.as_of, base_key=0)
+    def _payment_partners(self) -> DataFrame:
+        return self.b.valid("partner_payments").select("partner_id")
+
+    def _load(self, orders: DataFrame, prev: dict | None, as_of: dt.datetime, tag: str) -> dict[str, DataFrame]:
+        """One load: dims from the full batch, fact from the slice after the
+        watermark, state advanced after the fact. Tables of the previous
+        load are read from where they were written."""
+        b, sp = self.b, self.spark
+        members = {
+            "w": b._members(f"warehouse{tag}", star.warehouse_members(orders, None)),
+            "p": b._members(f"partner{tag}", star.partner_members(orders, self._payment_partners())),
+            "r": b._members(f"route{tag}", star.route_members(orders)),
+        }
+        if prev is None:
+            targets = {"dim_warehouse": star.empty(sp, star.DIM_WAREHOUSE), "dim_partner": star.empty(sp, star.DIM_PARTNER),
+                       "dim_route": star.empty(sp, star.DIM_ROUTE), "fact": star.empty(sp, star.FACT)}
+            state, base = star.initial_state(sp, as_of), 0
+        else:
+            targets, state, base = prev, prev["state"], None
+        dim_w = b._table(f"dim_warehouse{tag}", star.load_dim_warehouse(targets["dim_warehouse"], members["w"], as_of, base))
+        dim_p = b._table(f"dim_partner{tag}", star.load_dim_partner(targets["dim_partner"], members["p"], as_of, base))
+        dim_r = b._table(f"dim_route{tag}", star.load_dim_route(targets["dim_route"], members["r"], as_of, base))
+        sl = star.incremental_slice(orders, star.read_watermark(state))
+        fact = star.load_fact(targets["fact"], star.fact_rows(sl, dim_w, dim_p, dim_r), as_of, base)
         mark = sl.agg(F.max("order_date")).first()[0]
-        state = star.advance_watermark(state, mark, b.as_of)
+        state = star.advance_watermark(state, mark, as_of)
         return {"dim_warehouse": dim_w, "dim_partner": dim_p, "dim_route": dim_r,
                 "fact": fact, "state": state, "slice": sl}
 
+    @cached_property
+    def load1(self) -> dict[str, DataFrame]:
+        out = self._load(self.orders1, None, self.b.as_of, "1")
+        out["fact"] = stage(self.spark, out["fact"], self.b.run_id, "fact1")
+        return out
+
     @cached_property
     def load2(self) -> dict[str, DataFrame]:
-        l1, sp, t = self.load1, self.spark, self.b.transformed
-        dim_w = star.load_dim_warehouse(l1["dim_warehouse"], star.warehouse_members(self.orders2, None), AS_OF_2)
-        dim_p = star.load_dim_partner(l1["dim_partner"], star.partner_members(self.orders2, t["partner_payments"]), AS_OF_2)
-        dim_r = star.load_dim_route(l1["dim_route"], star.route_members(self.orders2), AS_OF_2)
-        sl = star.incremental_slice(self.orders2, star.read_watermark(l1["state"]))
-        fact = star.load_fact(l1["fact"], star.fact_rows(sl, dim_w, dim_p, dim_r), AS_OF_2)
-        mark = sl.agg(F.max("order_date")).first()[0]
-        state = star.advance_watermark(l1["state"], mark, AS_OF_2)
-        return {"dim_warehouse": dim_w, "dim_partner": dim_p, "dim_route": dim_r,
-                "fact": fact, "state": state, "slice": sl}
+        return self._load(self.orders2, self.load1, AS_OF_2, "2")
