@@ -486,3 +486,37 @@ def q_malformed_rows(spark, sf_dir):
     df = landing.extract(spark, path, "orders", "orders.csv", b.ds, b.as_of, scratch_path(spark, "stage", run),
                          columns=cols, header=False, multiline=False)
     return df.drop("_row_seq")
+
+
+# ------------------------------------------------------ end-to-end paths
+from haulwise.plans.job import run_batch  # noqa: E402
+from haulwise.streaming.landing_stream import process_landed  # noqa: E402
+
+
+@query("batch_job_fact")
+def q_batch_job_fact(spark, sf_dir):
+    """The whole daily job (validate, quarantine, standardize, load, quality)
+    into a fresh warehouse; returns the fact table it committed."""
+    b = Batch(spark, sf_dir)
+    root = scratch_path(spark, "warehouse", new_run_id())
+    feeds = {s: b.raw(s) for s in SOURCES}
+    res = run_batch(spark, feeds, root, b.ds, b.as_of)
+    return res.tables["fact_deliveries"]
+
+
+@query("streaming_ingest")
+def q_streaming_ingest(spark, sf_dir):
+    """Orders landed as CSV files, ingested once by a file-source stream
+    (AvailableNow) whose micro-batches are staged with lineage."""
+    b = Batch(spark, sf_dir)
+    run = new_run_id()
+    land = scratch_path(spark, "landing", run, "orders")
+    _write_landing_csv(spark, b.raw("orders").select(*CONTRACTS["orders"].columns), land)
+    sink = scratch_path(spark, "stream", run, "orders")
+
+    def on_batch(df, batch_id):
+        (df.drop("_row_seq").transform(lambda d: landing.with_lineage(d, "orders.csv", b.ds, b.as_of))
+         .write.mode("append").parquet(sink))
+
+    process_landed(spark, "orders", land, scratch_path(spark, "stream", run, "_checkpoint"), on_batch)
+    return spark.read.parquet(sink)

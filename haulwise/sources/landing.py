@@ -23,6 +23,8 @@ from haulwise.contracts import ROW_SEQ
 from haulwise.functions.text import na_to_null
 from haulwise.sources.lineage import with_lineage
 
+__all__ = ["extract", "field_count", "header_columns", "malformed_lines", "scan_feed", "with_lineage"]
+
 BAD = "_bad"
 QUOTED = r'"([^"]|"")*"'
 
