@@ -10,18 +10,17 @@ Wall-clock values are job arguments (``as_of``), never read inside plans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from haulwise.contracts import CONTRACTS, FACT_TABLE
 from haulwise.operators import quality as dq
 from haulwise.operators import star
 from haulwise.operators.standardize import transform_source
-from haulwise.operators.validation import (
-    batch_null_columns, null_reason_text, validate_source, with_null_reasons,
-)
+from haulwise.operators.validation import null_mask, null_reason_text, validate_source, with_null_reasons
 from haulwise.sources import landing, sinks
 from haulwise.sources.lineage import with_lineage
 from haulwise.sources.warehouse import WarehouseStore
@@ -80,26 +79,31 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
             raw = with_lineage(raw, CONTRACTS[source].file_name, ds, as_of)
         else:  # the run's date owns its partitions
             raw = raw.withColumn("_execution_date", F.lit(ds))
-        v = validate_source(raw, source)
-        counts = {"original": raw.count()}
-        if v["missing"]:
+        contract = CONTRACTS[source]
+        missing = [c for c in contract.required if c not in raw.columns]
+        if missing:
+            v = validate_source(raw, source)
             sinks.quarantine(v["invalid"], root, source, None, as_of, ds)
-            counts["quarantined"] = counts["original"]
-            res.counts[source] = counts
+            res.counts[source] = {"original": raw.count(), "quarantined": raw.count(), "kept": 0}
             continue
-        contract = CONTRACTS[source]
-        invalid = v["invalid"]
-        bad_cols = batch_null_columns(invalid, contract)
-        if bad_cols:
-            sinks.quarantine(with_null_reasons(invalid, contract, null_reason_text(bad_cols)).drop("_null_columns"),
-                             root, source, None, as_of, ds)
+        # batch counts and the null-column flags are observed while the
+        # validated stage is written: no extra pass over the feed
+        bad = null_mask(contract)
+        obs = Observation(f"validate_{source}_{uuid.uuid4().hex[:8]}")
+        raw = raw.observe(obs, F.count(F.lit(1)).alias("original"), F.count_if(bad).alias("null_rows"),
+                          *[F.max(bad & F.col(c).isNull()).alias(f"null_{c}") for c in contract.not_null])
+        v = validate_source(raw, source)
+        valid = _stage(v["valid"], root, "validated", source, ds)
+        m = obs.get
+        bad_cols = [c for c in contract.not_null if m.get(f"null_{c}")]
+        if m["null_rows"]:
+            sinks.quarantine(with_null_reasons(v["invalid"], contract, null_reason_text(bad_cols))
+                             .drop("_null_columns"), root, source, None, as_of, ds)
         if v["duplicates"] is not None:
             sinks.duplicate_report(v["duplicates"], root, source, ds)
-        valid = _stage(v["valid"], root, "validated", source, ds)
         t = _stage(transform_source(valid, source), root, "transformed", source, ds)
         res.transformed[source] = t
-        counts.update(kept=valid.count(), quarantined=invalid.count() if bad_cols else 0)
-        res.counts[source] = counts
+        res.counts[source] = {"original": m["original"], "quarantined": m["null_rows"], "kept": valid.count()}
 
     t = res.transformed
     orders = t.get("orders")
