@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.contracts import CONTRACTS
+from haulwise.contracts import CONTRACTS, INITIAL_WATERMARK
 from haulwise.operators import star
 from haulwise.operators.joins import known_bound, mark_bounded
 from haulwise.operators.standardize import transform_source
@@ -65,6 +65,7 @@ class Batch:
         self.calendar_range = calendar
         self.run_id = new_run_id()
         self._staged: dict[str, DataFrame] = {}
+        self._validated: dict[str, dict] = {}
 
     # ---------------------------------------------------------- ingest
     def raw(self, source: str) -> DataFrame:
@@ -74,9 +75,15 @@ class Batch:
             df = df.drop("k")
         return with_lineage(df, CONTRACTS[source].file_name, self.ds, self.as_of)
 
-    @cached_property
-    def validated(self) -> dict[str, dict]:
-        return {s: validate_source(self.raw(s), s) for s in SOURCES}
+    def validation(self, source: str) -> dict:
+        """Validation products of one feed (built on first use)."""
+        if source not in self._validated:
+            self._validated[source] = validate_source(self.raw(source), source)
+        return self._validated[source]
+
+    @property
+    def validated(self) -> "_Lazy":
+        return _Lazy(self.validation)
 
     def valid(self, source: str) -> DataFrame:
         return self.validated[source]["valid"]
@@ -116,8 +123,10 @@ class Batch:
     def dim_partner(self) -> DataFrame:
         # standardization does not touch partner_id: the validated payments
         # feed gives the same members without staging the whole transform
-        members = self._members("partner", star.partner_members(self.transformed["orders"],
-                                                                self.valid("partner_payments")))
+        payments = self._staged.get("partner_payments")
+        if payments is None:
+            payments = self.valid("partner_payments")
+        members = self._members("partner", star.partner_members(self.transformed["orders"], payments))
         return self._table("dim_partner", star.load_dim_partner(
             star.empty(self.spark, star.DIM_PARTNER), members, self.as_of, base_key=0))
 
@@ -138,7 +147,8 @@ class Batch:
 
     @cached_property
     def watermark(self) -> str | None:
-        return star.read_watermark(self.state)
+        # a first load starts from the seeded watermark; no need to read it
+        return INITIAL_WATERMARK
 
     @cached_property
     def fact_slice(self) -> DataFrame:
@@ -198,7 +208,7 @@ class TwoBatchLoad:
         dim_w = b._table(f"dim_warehouse{tag}", star.load_dim_warehouse(targets["dim_warehouse"], members["w"], as_of, base))
         dim_p = b._table(f"dim_partner{tag}", star.load_dim_partner(targets["dim_partner"], members["p"], as_of, base))
         dim_r = b._table(f"dim_route{tag}", star.load_dim_route(targets["dim_route"], members["r"], as_of, base))
-        sl = star.incremental_slice(orders, star.read_watermark(state))
+        sl = star.incremental_slice(orders, INITIAL_WATERMARK if prev is None else star.read_watermark(state))
         fact = star.load_fact(targets["fact"], star.fact_rows(sl, dim_w, dim_p, dim_r), as_of, base)
         mark = sl.agg(F.max("order_date")).first()[0]
         state = star.advance_watermark(state, mark, as_of)

@@ -36,7 +36,8 @@ def q_delivery_time_by_route(spark, sf_dir):
 @query("partner_payment_reconciliation")
 def q_partner_payment_reconciliation(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.partner_payment_reconciliation(b.fact, b.dim_partner, b.payments_clean)
+    payments = b.payments_clean  # staged first: the partner dimension reuses it
+    return marts.partner_payment_reconciliation(b.fact, b.dim_partner, payments)
 
 
 @query("monthly_order_trend")

@@ -21,4 +21,5 @@ def new_run_id() -> str:
 def stage(spark: SparkSession, df: DataFrame, run_id: str, name: str) -> DataFrame:
     path = scratch_path(spark, "stage", run_id, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer read to infer it
+    return spark.read.schema(df.schema).parquet(path)

@@ -54,7 +54,7 @@ class WarehouseStore:
         v = (self.version(table) or 0) + 1
         path = f"{self.root}/{table}/v={v}"
         df.write.mode("overwrite").parquet(path)
-        out = self.spark.read.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
         n = out.count()
         row = self.spark.createDataFrame([(table, v, at, n)], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/{COMMITS}")
