@@ -60,7 +60,7 @@ from haulwise.functions.dates import with_dates, with_timestamp_text  # noqa: E4
 from haulwise.operators import quality as dq  # noqa: E402
 from haulwise.operators import star  # noqa: E402
 from haulwise.operators import validation as val  # noqa: E402
-from haulwise.plans.build import AS_OF, SOURCES, TwoBatchLoad  # noqa: E402
+from haulwise.plans.build import SOURCES, TwoBatchLoad  # noqa: E402
 
 
 def _split(b: Batch, source: str):

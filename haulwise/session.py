@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,7 +63,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "haulwise", *parts])
-
-
-def tables_dir(sf_dir: str | None) -> str:
-    return sf_dir or os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
