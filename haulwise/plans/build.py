@@ -188,8 +188,12 @@ class TwoBatchLoad:
         df = transform_source(validate_source(raw2, "orders")["valid"], "orders")
         return stage(self.spark, df, self.b.run_id, "orders2_transformed")
 
+    @cached_property
     def _payment_partners(self) -> DataFrame:
-        return self.b.valid("partner_payments").select("partner_id")
+        """Distinct partners of the validated payments, written once: both
+        loads need them and the payments feed is the largest input."""
+        ids = self.b.valid("partner_payments").select("partner_id").where(F.col("partner_id").isNotNull()).distinct()
+        return stage(self.spark, ids, self.b.run_id, "payment_partners")
 
     def _load(self, orders: DataFrame, prev: dict | None, as_of: dt.datetime, tag: str) -> dict[str, DataFrame]:
         """One load: dims from the full batch, fact from the slice after the
@@ -198,7 +202,7 @@ class TwoBatchLoad:
         b, sp = self.b, self.spark
         members = {
             "w": star.warehouse_members(orders, None),
-            "p": b._members(f"partner{tag}", star.partner_members(orders, self._payment_partners())),
+            "p": b._members(f"partner{tag}", star.partner_members(orders, self._payment_partners)),
             "r": star.route_members(orders),
         }
         if prev is None:
