@@ -37,45 +37,52 @@ def _suffix_number(id_col: str) -> Column:
 
 
 # ------------------------------------------------------------ dim members
+def _bounded_by(out: DataFrame, *inputs: DataFrame) -> DataFrame:
+    """``out`` has at most as many rows as its inputs together (filters,
+    distinct, unions, lookups on unique keys): carry a known bound over."""
+    bounds = [known_bound(d) for d in inputs]
+    return mark_bounded(out, sum(bounds)) if all(b is not None for b in bounds) else out
+
+
 def warehouse_members(orders: DataFrame | None, inventory: DataFrame | None) -> DataFrame:
     """Distinct warehouse ids of orders if present, else of inventory."""
     src = orders if orders is not None else inventory
-    return src.select("warehouse_id").where(F.col("warehouse_id").isNotNull()).distinct()
+    return _bounded_by(src.select("warehouse_id").where(F.col("warehouse_id").isNotNull()).distinct(), src)
 
 
 def partner_members(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    return (orders.select("partner_id").union(payments.select("partner_id"))
-            .where(F.col("partner_id").isNotNull()).distinct())
+    return _bounded_by(orders.select("partner_id").union(payments.select("partner_id"))
+                       .where(F.col("partner_id").isNotNull()).distinct(), orders, payments)
 
 
 def route_members(orders: DataFrame) -> DataFrame:
-    return orders.select("route_id").where(F.col("route_id").isNotNull()).distinct()
+    return _bounded_by(orders.select("route_id").where(F.col("route_id").isNotNull()).distinct(), orders)
 
 
 # --------------------------------------------------------- dim attributes
 def warehouse_attributes(members: DataFrame) -> DataFrame:
     n = _suffix_number("warehouse_id")
     regions = F.array(*[F.lit(r) for r in WAREHOUSE_REGIONS])
-    return members.withColumns({
+    return _bounded_by(members.withColumns({
         "warehouse_name": F.concat(F.lit("Warehouse "), F.split_part(F.col("warehouse_id"), F.lit("_"), F.lit(2))),
         "region": F.element_at(regions, (F.pmod(n, F.lit(len(WAREHOUSE_REGIONS))) + 1).cast("int")),
-    })
+    }), members)
 
 
 def partner_attributes(members: DataFrame) -> DataFrame:
-    return members.withColumns({
+    return _bounded_by(members.withColumns({
         "partner_name": F.concat(F.lit("Partner "), F.split_part(F.col("partner_id"), F.lit("_"), F.lit(2))),
         "partner_type": F.lit(PARTNER_TYPE),
-    })
+    }), members)
 
 
 def route_attributes(members: DataFrame) -> DataFrame:
     n = _suffix_number("route_id")
-    return members.withColumns({
+    return _bounded_by(members.withColumns({
         "origin": F.concat(F.lit("City_"), F.pmod(n, F.lit(10)).cast("string")),
         "destination": F.concat(F.lit("City_"), F.pmod(n + 5, F.lit(10)).cast("string")),
         "distance_km": (F.lit(100) + F.pmod(n * 10, F.lit(500))).cast("int"),
-    })
+    }), members)
 
 
 # ------------------------------------------------------------------ upsert
@@ -190,7 +197,7 @@ def incremental_slice(orders: DataFrame, watermark: str | None, lookback_days: i
     bound = F.lit(watermark)
     if lookback_days:
         bound = F.date_format(F.date_sub(F.lit(watermark).cast("date"), lookback_days), "yyyy-MM-dd")
-    return orders.where(F.col("order_date") > bound)
+    return _bounded_by(orders.where(F.col("order_date") > bound), orders)
 
 
 def slice_max_date(slice_df: DataFrame) -> DataFrame:
@@ -219,13 +226,15 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
     Surrogate keys come from three left lookups (unmatched -> NULL key); each
     dimension is broadcast only when its row count is proven small.
     """
+    src = slice_df
     o = slice_df.select("order_id", "warehouse_id", "partner_id", "route_id", "order_date",
                         "promised_delivery_date", "actual_delivery_date", "order_value_usd",
                         "is_on_time", "days_late")
     o = lookup_join(o, dim_w, "warehouse_id", cols=["warehouse_id", "warehouse_key"])
     o = lookup_join(o, dim_p, "partner_id", cols=["partner_id", "partner_key"])
     o = lookup_join(o, dim_r, "route_id", cols=["route_id", "route_key"])
-    return o.select(
+    # dimensions are unique on their ids: the lookups never add rows
+    return _bounded_by(o.select(
         "order_id", "warehouse_key", "partner_key", "route_key",
         date_key("order_date").alias("order_date_key"),
         date_key("promised_delivery_date").alias("promised_date_key"),
@@ -234,7 +243,7 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
         "is_on_time",
         F.col("days_late").cast("int").alias("days_late"),
         (F.col("days_late") * 24).try_cast("decimal(10,2)").alias("delivery_duration_hours"),
-    )
+    ), src)
 
 
 FACT_UPDATE_COLS = ["is_on_time", "days_late", "delivery_duration_hours"]
