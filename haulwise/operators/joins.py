@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Lookup sides up to this many rows are broadcast; beyond it the join is left
-# to the planner (sort-merge / shuffled hash, AQE skew splitting).
-BROADCAST_MAX_ROWS = 2_000_000
+# to the planner (sort-merge / shuffled hash, AQE skew splitting). Lookups
+# project to a key and an id (a few narrow columns), so the bound keeps a
+# broadcast to some tens of MB, shipped once per executor.
+BROADCAST_MAX_ROWS = 500_000
 
 _BOUNDS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
