@@ -84,7 +84,8 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
         if missing:
             v = validate_source(raw, source)
             sinks.quarantine(v["invalid"], root, source, None, as_of, ds)
-            res.counts[source] = {"original": raw.count(), "quarantined": raw.count(), "kept": 0}
+            n = raw.count()
+            res.counts[source] = {"original": n, "quarantined": n, "kept": 0}
             continue
         # batch counts and the null-column flags are observed while the
         # validated stage is written: no extra pass over the feed
