@@ -66,14 +66,17 @@ class Batch:
         self.run_id = new_run_id()
         self._staged: dict[str, DataFrame] = {}
         self._validated: dict[str, dict] = {}
+        self._raw: dict[str, DataFrame] = {}
 
     # ---------------------------------------------------------- ingest
     def raw(self, source: str) -> DataFrame:
         """The landing feed with lineage (``k`` helper column dropped)."""
-        df = derive_feed(self.spark, self.sf_dir, source)
-        if "k" in df.columns:
-            df = df.drop("k")
-        return with_lineage(df, CONTRACTS[source].file_name, self.ds, self.as_of)
+        if source not in self._raw:
+            df = derive_feed(self.spark, self.sf_dir, source)
+            if "k" in df.columns:
+                df = df.drop("k")
+            self._raw[source] = with_lineage(df, CONTRACTS[source].file_name, self.ds, self.as_of)
+        return self._raw[source]
 
     def validation(self, source: str) -> dict:
         """Validation products of one feed (built on first use)."""
