@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import simhash
+from haulwise.llm import simhash, substrings
 from haulwise.llm.store import prepare
 
 
@@ -24,8 +24,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document after repeated 13-word windows are cut."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substrings.remove_repeats(docs, width=13)
+    return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
