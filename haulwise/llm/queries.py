@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import simhash, substrings
+from haulwise.llm import decontaminate, simhash, substrings
 from haulwise.llm.store import prepare
 
 
@@ -32,9 +32,23 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = decontaminate.contamination(docs, items, width=10)
+    n_hit = F.aggregate("_hits", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_decontamination": op3_decontamination,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.

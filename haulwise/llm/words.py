@@ -29,7 +29,7 @@ def _class_table(separators) -> np.ndarray:
 
 #: Words ``[^\x20\x09-\x0D]+``.
 SPACED = _class_table([0x20, *range(0x09, 0x0E)])
-#: Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of texts whose A-Z are lower-cased.
+#: Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased texts, told from the text as it is (A-Z count).
 ALNUM = _class_table([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 #: Bytes with A-Z lower-cased and nothing else changed.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
