@@ -1,4 +1,4 @@
-"""Benchmark decontamination by a prefix-filtered set join.
+r"""Benchmark decontamination by a prefix-filtered set join.
 
 An item's windows are its runs of ``width`` consecutive words (an item with
 fewer words, but some, is one window). A window's set is its word shingles

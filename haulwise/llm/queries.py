@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import decontaminate, simhash, substrings
+from haulwise.llm import bpe, decontaminate, simhash, substrings, token_counts
 from haulwise.llm.store import prepare
 
 
@@ -45,10 +46,37 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by byte_bpe_50k.json, and whether they pass 512."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                        F.col("_n_tokens").alias("n_tokens"), (F.col("_n_tokens") > 512).alias("over_limit"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by byte_bpe_50k.tiktoken, and its ids decoded again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    """``docs`` with n_tokens and the digests of ids and decoded bytes."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    back = bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    listed = F.array_join(F.col("_ids").cast("array<string>"), " ")
+    return back.select(*docs.columns, F.size("_ids").cast("long").alias("n_tokens"),
+                       F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("_decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
+    "op6_token_counts": op6_token_counts,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates by multi-index hashing.
+r"""SimHash near-duplicates by multi-index hashing.
 
 Fingerprints: lower-cased (A-Z) words ``[^\x20\x09-\x0D]+``, shingles of
 ``shingle`` words with repeats, XXH64 (seed 42) of each, majority vote per bit.

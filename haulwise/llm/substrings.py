@@ -1,4 +1,4 @@
-"""Substring dedup: Rabin-Karp hashes of every fixed-length word window.
+r"""Substring dedup: Rabin-Karp hashes of every fixed-length word window.
 
 A window (``width`` consecutive words ``[^\x20\x09-\x0D]+`` of one document) is
 repeated if the same word sequence starts in a document with a smaller id.

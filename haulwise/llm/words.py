@@ -1,4 +1,4 @@
-"""Vectorised word splitting and Rabin-Karp hashing over Arrow text columns.
+r"""Vectorised word splitting and Rabin-Karp hashing over Arrow text columns.
 
 Texts of a batch are one byte buffer with offsets. Word boundaries come from a
 256-entry class table, word hashes from one cumulative polynomial over the
