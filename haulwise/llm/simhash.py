@@ -105,7 +105,8 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
         F.col("a").bitwiseXOR(F.col("p.mask")).bitwiseAND(outside[F.col("p.j")]).alias("key"), "a")
     apart = F.col("a").bitwiseXOR(F.col("b"))
     free_part = apart.bitwiseAND(F.array(*[F.lit(m) for m in free])[F.col("t.j")])
-    return probing.alias("q").join(
+    # both sides hold many rows a fingerprint: a merge join, never a broadcast by the size of the fingerprint table
+    return probing.alias("q").hint("merge").join(
         table.alias("t"),
         (F.col("q.j") == F.col("t.j")) & (F.col("q.key") == F.col("t.key"))
         & (F.bit_count(apart) <= max_distance) & (free_part != 0) & (~F.col("same") | (F.col("a") < F.col("b"))),
