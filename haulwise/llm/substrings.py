@@ -163,7 +163,7 @@ def _merge(table: pa.Table, width: int) -> dict:
 
 
 def repeated_spans(docs: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text",
-                   chunk_bytes: int = 16 << 20, bucket_bytes: int = 16 << 20, least_buckets: int = 64) -> DataFrame:
+                   chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, least_buckets: int = 64) -> DataFrame:
     """Maximal removal intervals: doc_id (NO_ID for null), text_hash, and word positions starts / ends (exclusive)."""
     spark = docs.sparkSession
     prepare(spark)
