@@ -40,8 +40,8 @@ def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
 
 def encode_text(enc: tiktoken.Encoding, text: str) -> np.ndarray:
     """Token ids of one text."""
-    found = [enc.encode_to_numpy(p, disallowed_special=()) for p in parts(text, PART_CHARS)]
-    return np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
+    found = [np.array(enc.encode_ordinary(p), dtype=np.int32) for p in parts(text, PART_CHARS)]
+    return np.concatenate(found) if found else np.empty(0, np.int32)
 
 
 def _added(docs: DataFrame, kind: T.DataType, name: str) -> tuple[DataFrame, T.StructType]:
@@ -76,7 +76,7 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
         for batch in batches:
-            raw = [enc.decode_bytes(ids.as_py() or []) for ids in batch.column(at)]
+            raw = [enc.decode_bytes(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=schema.names)
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_decoded")

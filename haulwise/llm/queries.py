@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bpe, decontaminate, simhash, substrings, token_counts
+from haulwise.llm import bpe, decontaminate, language_id, simhash, substrings, token_counts, toxicity
 from haulwise.llm.store import prepare
 
 
@@ -71,12 +71,31 @@ def bpe_round_trip(docs: DataFrame) -> DataFrame:
                        F.sha2("_decoded", 256).alias("decoded_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs, labels.where(~language_id.held_out("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", language_id.held_out("doc_id").alias("held_out"),
+                                             F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.

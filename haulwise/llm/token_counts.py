@@ -32,7 +32,7 @@ from haulwise.llm.store import prepare
 
 BATCH_CHARS = 1 << 20
 PIECES_AT_ONCE = 200_000
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 1_000_000
 KEPT_CHARS = 64
 
 
@@ -90,6 +90,12 @@ class Counter:
                 del lengths[piece]
 
 
+@functools.lru_cache(maxsize=1)
+def counter(path: str) -> Counter:
+    """A worker's counter: what it has learnt serves its later tasks too."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` and the column _n_tokens."""
     prepare(docs.sparkSession)
@@ -98,9 +104,9 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFram
     schema = T.StructType([*plain.schema.fields, T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counts = counter(path).counts
         for batch in batches:
-            counts = pa.array(counter.counts(batch.column(at).to_pylist()), pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=schema.names)
+            lengths = pa.array(counts(batch.column(at).to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, lengths], names=schema.names)
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_n_tokens")

@@ -74,8 +74,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def _slices(word: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Byte ranges of about SLICE_BYTES that cut no word."""
+def word_slices(word: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about SLICE_BYTES that cut no run of word bytes."""
     a, n = 0, len(word)
     while a < n:
         b = a + SLICE_BYTES
@@ -104,7 +104,7 @@ def word_table(buf: np.ndarray, offsets: np.ndarray, classes: np.ndarray, lower:
     word = classes[buf]
     inner = offsets[1:-1]
     hs, starts, ends = [], [], []
-    for a, b in _slices(word):
+    for a, b in word_slices(word):
         w = word[a:b]
         before = np.empty(b - a, dtype=bool)
         before[0] = a > 0 and word[a - 1]
