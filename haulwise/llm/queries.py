@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bpe, chat, decontaminate, language_id, simhash, substrings, token_counts, toxicity
+from haulwise.llm import bpe, chat, decontaminate, language_id, simhash, substrings, token_counts, toxicity, vectors
 from haulwise.llm.store import prepare
 
 
@@ -59,6 +59,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(hostile)))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label at cosine 0.98."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by byte_bpe_50k.json, and whether they pass 512."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_chat_format": op4_chat_format,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_toxicity": op8_toxicity,
