@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bpe, chat, decontaminate, language_id, simhash, substrings, token_counts, toxicity, vectors
+from haulwise.llm import bpe, chat, decontaminate, language_id, license_scan, simhash, substrings, token_counts, toxicity, vectors
 from haulwise.llm.store import prepare
 
 
@@ -99,6 +99,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
 }
 
