@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwise.llm.boundaries import parts
@@ -80,3 +81,8 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=schema.names)
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_decoded")
+
+
+def ids_digest(ids_col: str) -> F.Column:
+    """SHA-256 of the decimal ids joined by one space."""
+    return F.sha2(F.array_join(F.col(ids_col).cast("array<string>"), " ").cast("binary"), 256)

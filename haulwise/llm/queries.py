@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwise.llm import bpe, chat, decontaminate, language_id, license_scan, simhash, substrings, token_counts, toxicity, vectors
-from haulwise.llm.store import prepare
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,18 +73,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by byte_bpe_50k.tiktoken, and its ids decoded again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe_round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-
-
-def bpe_round_trip(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_tokens and the digests of ids and decoded bytes."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    back = bpe.decode(ids, ranks, public_tokenizers.PATTERN)
-    listed = F.array_join(F.col("_ids").cast("array<string>"), " ")
-    return back.select(*docs.columns, F.size("_ids").cast("long").alias("n_tokens"),
-                       F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
-                       F.sha2("_decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    back = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return back.select("doc_id", F.size("_ids").cast("long").alias("n_tokens"),
+                       bpe.ids_digest("_ids").alias("ids_sha256"), F.sha2("_decoded", 256).alias("decoded_sha256"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

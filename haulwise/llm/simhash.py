@@ -138,12 +138,16 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_distance: int = 2,
     """``docs`` with the document of the smallest id of each component; of rows
     with that same id the one with the smallest text hash, once."""
     found = near_duplicates(docs, shingle, max_distance, id_col, text_col)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"),
-                     F.col("text_hash").alias("_hash"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                     F.col("text_hash").alias("hash"))
     best = materialize(found.groupBy("group").agg(F.min(order).alias("best"))
-                       .select("best._id", "best._hash"), "simhash-kept")
-    cols = [F.col(f"d.`{c}`") for c in docs.columns]
-    hit = docs.alias("d").join(
-        best.alias("k"), F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("k._id"))
-        & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("k._hash")), "left_semi")
-    return hit.select(*cols).dropDuplicates([id_col, text_col])
+                       .select(F.col("best.none").alias("_none"), F.col("best.id").alias("_id"),
+                               F.col("best.hash").alias("_hash")), "simhash-kept")
+    n = len(docs.columns)
+    plain = docs.toDF(*[f"c{i}" for i in range(n)])
+    own, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    keyed = plain.withColumns({"_none": own.isNull(), "_id": F.coalesce(own.cast("long"), F.lit(0)),
+                               "_hash": F.xxhash64(text)})
+    # repeated rows are dropped on the join's own keys: no second shuffle of the texts
+    hit = keyed.join(best, ["_none", "_id", "_hash"], "left_semi").dropDuplicates(["_none", "_id", "_hash"])
+    return hit.select(*plain.columns).toDF(*docs.columns)
