@@ -1,8 +1,9 @@
-"""Connected components by repeated contraction to the smallest neighbour.
+"""Connected components by repeated contraction to a neighbour.
 
-Every round maps each node to the smallest id in its closed neighbourhood,
-relabels the edges and drops the ones that became loops, so the graph shrinks
-geometrically. Round maps are written to the shared folder and composed
+Every round maps each node to the one of its closed neighbourhood that comes
+first in an order by hash, another in each round, relabels the edges and drops
+the ones that became loops. On average a share of the nodes goes in each round
+whatever the ids and the shape (a long chain too). Round maps are written to the shared folder and composed
 backwards at the end. Joins are many-to-one on node ids (AQE may split a hub),
 the minimum per node is combined before its shuffle, and nothing but the count
 of remaining edges reaches the driver.
@@ -28,9 +29,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while not pairs.isEmpty():
         k = len(maps)
         both = pairs.union(pairs.select("b", "a"))
+        place = lambda c: F.struct(F.xxhash64(F.lit(k), F.col(c)).alias("h"), F.col(c).alias("id"))
         step = materialize(
-            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-            .select("node", F.least("node", "low").alias("to")), f"{name}-map{k}")
+            both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("low"))
+            .select("node", F.least(place("node"), F.col("low"))["id"].alias("to")), f"{name}-map{k}")
         maps.append(step)
         left = step.select(F.col("node").alias("a"), F.col("to").alias("ta"))
         right = step.select(F.col("node").alias("b"), F.col("to").alias("tb"))
