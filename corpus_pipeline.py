@@ -28,15 +28,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the words of repeated 13-word windows; the rest is joined by one
     space. A document that loses everything stays, with an empty text."""
-    kept = substrings.remove_repeats(docs, width=13).select(*docs.columns)
-    return kept.withColumn("n_chars", F.length("text").cast("long"))
+    return substrings.keep_rest(docs, width=13).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a 10-word window of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontaminate.contamination(docs, items, width=10)
-    return found.where(F.size("_hits") == 0).select(*docs.columns)
+    return decontaminate.keep_clean(docs, items, width=10)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

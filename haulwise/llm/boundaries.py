@@ -14,7 +14,7 @@ from collections.abc import Iterator
 #: White space and the run after it; each match ends at a safe boundary.
 PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 _CUT = re.compile(r"(?<=[\S\x1c-\x1f])(?=[^\S\x1c-\x1f])")
-_WIDE = re.compile(r"[^\S\x1c-\x1f]{1024,}(?=[^\S\x1c-\x1f][\S\x1c-\x1f])")
+_WIDE = re.compile(r"[^\S\x1c-\x1f]{1024,}+")
 
 
 def parts(text: str, limit: int) -> Iterator[str]:
@@ -37,9 +37,8 @@ def parts(text: str, limit: int) -> Iterator[str]:
 def _split_wide(text: str) -> Iterator[str]:
     a = 0
     for run in _WIDE.finditer(text):
-        if run.start() > a:
-            yield text[a:run.start()]
-        yield run.group()
-        a = run.end()
+        last = run.end() - 1 if run.end() < len(text) else run.end()
+        yield from filter(None, (text[a:run.start()], text[run.start():last]))
+        a = last
     if a < len(text):
         yield text[a:]

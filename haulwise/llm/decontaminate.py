@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulwise.llm.store import materialize, prepare
+from haulwise.llm.store import materialize, prepare, renamed
 from haulwise.llm.words import ALNUM, LOWER, flat, rolling, row_groups, word_table
 
 SHINGLE = 3
@@ -205,3 +205,10 @@ def _scanner(prefixes, n: int, at: int):
                 names=[*(f"c{i}" for i in range(n)), "n_words", "hits", "items"])
 
     return run
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10, text_col: str = "text") -> DataFrame:
+    """``docs`` without those that hold a window of an item."""
+    plain, name = renamed(docs)
+    found = contamination(plain, items, width, text_col=name[text_col])
+    return found.where(F.size("_hits") == 0).select(*plain.columns).toDF(*docs.columns)

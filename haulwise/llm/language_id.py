@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulwise.llm.store import prepare
+from haulwise.llm.store import prepare, renamed
 from haulwise.llm.words import flat, row_groups, word_slices
 
 UNKNOWN = "und"
@@ -211,8 +211,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", t
     return predict(docs, *learn(rows, label_col, text_col), text_col)
 
 
-def keep_identified(docs: DataFrame, least_share: float = 0.35) -> DataFrame:
+def keep_identified(docs: DataFrame, least_share: float = 0.35, id_col: str = "doc_id", label_col: str = "lang",
+                    text_col: str = "text") -> DataFrame:
     """``docs`` without those that have no letter, no language, or no language
     with a share of at least ``least_share`` of their words."""
-    found = identify(docs)
-    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least_share)).select(*docs.columns)
+    plain, name = renamed(docs)
+    found = identify(plain, name[id_col], name[label_col], name[text_col])
+    kept = found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least_share))
+    return kept.select(*plain.columns).toDF(*docs.columns)

@@ -47,3 +47,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     with _released_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns c0, c1, ... and the new name of each old one, so
+    that columns an operator adds never clash with the caller's."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

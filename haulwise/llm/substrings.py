@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulwise.llm.store import materialize, prepare
+from haulwise.llm.store import materialize, prepare, renamed
 from haulwise.llm.words import SPACED, flat, rolling, row_groups, text_slices, word_table
 
 NO_ID = np.iinfo(np.int64).max
@@ -258,3 +258,9 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
     schema = T.StructType([*plain.schema.fields, T.StructField(f"c{n}", T.LongType()),
                            T.StructField(f"c{n + 1}", T.LongType())])
     return joined.mapInArrow(cut_rows, schema).toDF(*docs.columns, "_n_words", "_n_removed")
+
+
+def keep_rest(docs: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the texts that remove_repeats leaves; a document that loses all words stays, empty."""
+    plain, name = renamed(docs)
+    return remove_repeats(plain, width, name[id_col], name[text_col]).select(*plain.columns).toDF(*docs.columns)
