@@ -27,8 +27,11 @@ from pyspark.sql import types as T
 
 from haulwise.llm.boundaries import parts
 from haulwise.llm.store import prepare
+from haulwise.llm.words import sliced
 
 PART_CHARS = 1 << 16
+#: Bytes of text or ids that a task holds at a time (a longer document stands alone).
+BATCH = 2 << 20
 
 
 @functools.lru_cache(maxsize=4)
@@ -58,7 +61,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in sliced(batches, at, BATCH):
             ids = [encode_text(enc, t.as_py() or "") for t in batch.column(at)]
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
@@ -76,7 +79,7 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in sliced(batches, at, BATCH):
             raw = [enc.decode_bytes(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=schema.names)
 

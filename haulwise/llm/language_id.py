@@ -211,7 +211,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", t
     return predict(docs, *learn(rows, label_col, text_col), text_col)
 
 
-def keep_identified(docs: DataFrame, least_share: float = 0.35, id_col: str = "doc_id", label_col: str = "lang",
+def keep_identified(docs: DataFrame, least_share: float = 0.25, id_col: str = "doc_id", label_col: str = "lang",
                     text_col: str = "text") -> DataFrame:
     """``docs`` without those that have no letter, no language, or no language
     with a share of at least ``least_share`` of their words."""

@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwise.llm.store import materialize, prepare, renamed
-from haulwise.llm.words import SPACED, flat, rolling, row_groups, text_slices, word_table
+from haulwise.llm.words import SPACED, flat, rolling, sliced, text_slices, word_table
 
 NO_ID = np.iinfo(np.int64).max
+CUT_BYTES = 4 << 20
 _ENTRIES = "chunk long, bucket int, kind int, hashes binary, doc binary, row binary, runs binary, pos binary"
 _LOST = "chunk long, kind int, row binary, runs binary, pos binary"
 _SPANS = "doc_id long, text_hash long, starts array<int>, ends array<int>"
@@ -176,19 +177,15 @@ def repeated_spans(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _arrow(_ENTRIES)
         chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            table = pa.table(batch.columns, names=["doc_id", "text", "text_hash"])
-            order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
-            table = table.take(pa.array(order)).combine_chunks()
-            ids, text_hash = table["doc_id"].to_numpy(), table["text_hash"].to_numpy()
-            text = table["text"].chunk(0) if table["text"].num_chunks else pa.array([], pa.string())
-            _, offsets = flat(text)
-            for lo, hi in row_groups(offsets, chunk_bytes):
-                rows = list(_hash_chunk(ids[lo:hi], text.slice(lo, hi - lo), chunk, width, buckets))
-                rows.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 2, "hashes": None, "doc": None,
-                             "row": ids[lo:hi].tobytes(), "runs": text_hash[lo:hi].tobytes(), "pos": None})
-                yield from pa.Table.from_pylist(rows, schema).combine_chunks().to_batches()
-                chunk += 1
+        for batch in sliced(batches, 1, chunk_bytes):
+            order = pa.array(np.argsort(batch.column(0).to_numpy(), kind="stable"))
+            doc_ids, texts, text_hashes = (column.take(order) for column in batch.columns)
+            ids = doc_ids.to_numpy()
+            rows = list(_hash_chunk(ids, texts, chunk, width, buckets))
+            rows.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 2, "hashes": None, "doc": None,
+                         "row": ids.tobytes(), "runs": text_hashes.to_numpy().tobytes(), "pos": None})
+            yield from pa.Table.from_pylist(rows, schema).combine_chunks().to_batches()
+            chunk += 1
 
     def judge(table: pa.Table) -> pa.Table:
         keep = table.filter(pc.equal(table["kind"], 2)).select(["chunk", "kind", "row", "runs", "pos"])
@@ -242,7 +239,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
         .join(spans, ["_span_id", "_span_hash"], "left").drop("_span_id", "_span_hash")
 
     def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, at, CUT_BYTES):
             texts, words, gone = [], [], []
             for text, s, e in zip(batch.column(at).cast(pa.binary()), batch.column(n), batch.column(n + 1)):
                 text = text.as_py()

@@ -55,6 +55,16 @@ def row_groups(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def sliced(batches: Iterator[pa.RecordBatch], at: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut to rows of at most ``limit`` bytes (of a text column) or items
+    (of an array column); a longer row stands alone. Bounds what a step holds."""
+    for batch in batches:
+        column = batch.column(at)
+        offsets = column.offsets.to_numpy() if pa.types.is_list(column.type) else flat(column)[1]
+        for lo, hi in row_groups(offsets - offsets[0], limit):
+            yield batch.slice(lo, hi - lo)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (in place)."""
     h ^= h >> np.uint64(32)

@@ -19,7 +19,10 @@ def links_by_hand(rows, threshold):
         if v is None or label is None or vec_id is None or not v or any(x is None or not np.isfinite(x) for x in v):
             return None
         x = np.array(v, float)
-        return x / np.linalg.norm(x) if x.any() else None
+        if not x.any():
+            return None
+        x = x / np.abs(x).max()  # very large and very small numbers too
+        return x / np.linalg.norm(x)
 
     units = [unit(v, label, i) for i, v, label in rows]
     linked = lambda a, b: (units[a] is not None and units[b] is not None and rows[a][2] == rows[b][2]
