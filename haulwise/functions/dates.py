@@ -37,7 +37,7 @@ def _date_steps(c):
     """(date, rest) columns for text ``c`` as single expressions."""
     t = F.translate(strip_text(_col(c)), "/", "-")
     d = F.regexp_extract(t, LEAD_RE, 0)
-    rest = F.substring(t, F.length(d) + 1, 100000)
+    rest = F.substring(t, F.length(d) + 1, F.length(t))
     return _date_steps_from(d, rest), rest
 
 
@@ -81,7 +81,8 @@ def _staged(df: DataFrame, mapping: dict[str, str], final) -> DataFrame:
     names = {out: (f"_{out}_t", f"_{out}_d", f"_{out}_r") for out in mapping.values()}
     df = df.withColumns({names[o][0]: F.translate(strip_text(F.col(s)), "/", "-") for s, o in mapping.items()})
     df = df.withColumns({names[o][1]: F.regexp_extract(F.col(names[o][0]), LEAD_RE, 0) for o in mapping.values()})
-    df = df.withColumns({names[o][2]: F.substring(F.col(names[o][0]), F.length(F.col(names[o][1])) + 1, 100000)
+    df = df.withColumns({names[o][2]: F.substring(F.col(names[o][0]), F.length(F.col(names[o][1])) + 1,
+                                              F.length(F.col(names[o][0])))
                          for o in mapping.values()})
     helpers = [h for o in mapping.values() for h in names[o]]
     return final(df, names).drop(*helpers)

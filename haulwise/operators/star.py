@@ -274,3 +274,26 @@ def fk_violations(fact: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+#: Keys of the fact that refer to the calendar.
+DATE_KEYS = ("order_date_key", "promised_date_key", "actual_date_key")
+
+
+def split_by_foreign_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose non-NULL keys all exist, the others with ``_fk_columns``).
+
+    ``dims`` maps a foreign-key column to the (table, key) it refers to. One pass: a flag per key from a lookup, no row
+    is read twice.
+    """
+    out = rows
+    for col, (dim, key) in dims.items():
+        known = dim.select(F.col(key).alias(col)).withColumn(f"_has_{col}", F.lit(True))
+        if known_bound(dim) is not None:
+            mark_bounded(known, known_bound(dim))
+        out = lookup_join(out, known, col)
+    bad = F.filter(F.array(*[F.when(F.col(c).isNotNull() & F.col(f"_has_{c}").isNull(), F.lit(c)) for c in dims]),
+                   lambda c: c.isNotNull())
+    flagged = out.withColumn("_fk_columns", bad).select(*rows.columns, "_fk_columns")
+    good = flagged.where(F.size("_fk_columns") == 0).drop("_fk_columns")
+    return good, flagged.where(F.size("_fk_columns") > 0)

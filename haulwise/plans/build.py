@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import CONTRACTS, INITIAL_WATERMARK
 from haulwise.operators import star
-from haulwise.operators.joins import known_bound, mark_bounded
 from haulwise.operators.standardize import transform_source
 from haulwise.operators.validation import validate_source
 from haulwise.sources.feeds import derive_feed
@@ -106,9 +105,7 @@ class Batch:
     # ------------------------------------------------------------ load
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         """Write a (small) warehouse table once; later plans scan it."""
-        out = stage(self.spark, df, self.run_id, name)
-        bound = known_bound(df)
-        return mark_bounded(out, bound) if bound is not None else out
+        return stage(self.spark, df, self.run_id, name)  # its bound is the exact row count
 
     def _members(self, name: str, df: DataFrame) -> DataFrame:
         """Distinct natural ids, written once: numbering them needs a size
@@ -167,6 +164,11 @@ class Batch:
     def fact(self) -> DataFrame:
         return star.load_fact(star.empty(self.spark, star.FACT), self.fact_rows, self.as_of, base_key=0)
 
+    @cached_property
+    def mart_fact(self) -> DataFrame:
+        """The rows of a first load without delivery_key, which no mart reads."""
+        return self.fact_rows
+
     @cached_property
     def payments_clean(self) -> DataFrame:
         """The ``partner_payments_clean`` relation read by the reconciliation."""

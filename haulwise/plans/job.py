@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from haulwise.contracts import CONTRACTS, FACT_TABLE
 from haulwise.operators import quality as dq
@@ -39,25 +40,27 @@ class BatchResult:
 
 
 def _stage(df: DataFrame, root: str, stage: str, source: str, ds: str) -> DataFrame:
-    path = f"{root}/stage/{stage}/{source}"
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_execution_date").parquet(path))
-    return df.sparkSession.read.parquet(f"{path}/_execution_date={ds}").withColumn("_execution_date", F.lit(ds))
+    return landing.write_date(df, f"{root}/stage/{stage}/{source}", ds)
 
 
 def extract_sources(spark: SparkSession, landing_dir: str, root: str, ds: str, as_of: dt.datetime,
                     multiline: dict[str, bool] | None = None) -> dict[str, DataFrame]:
-    """Scan every landed feed that exists; a missing file is skipped."""
+    """Scan every landed feed that exists; a missing file is skipped, any other
+    read error is raised. Surplus lines are kept under ``malformed/``."""
     out = {}
     for source in SOURCE_ORDER:
         c = CONTRACTS[source]
         path = f"{landing_dir.rstrip('/')}/{c.file_name}"
+        wide = (multiline or {}).get(source, False)
         try:
-            cols = landing.header_columns(spark, path, (multiline or {}).get(source, True))
-        except Exception:  # noqa: BLE001 - absent feed: warn-and-skip semantics
+            cols = landing.header_columns(spark, path, wide)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
+        landing.keep_malformed(spark, path, source, cols, root, ds, multiline=wide)
         out[source] = landing.extract(spark, path, source, c.file_name, ds, as_of, f"{root}/stage",
-                                      columns=cols, multiline=(multiline or {}).get(source, True))
+                                      columns=cols, multiline=wide)
     return out
 
 
@@ -91,15 +94,14 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
         # validated stage is written: no extra pass over the feed
         bad = null_mask(contract)
         obs = Observation(f"validate_{source}_{uuid.uuid4().hex[:8]}")
-        raw = raw.observe(obs, F.count(F.lit(1)).alias("original"), F.count_if(bad).alias("null_rows"),
+        seen = raw.observe(obs, F.count(F.lit(1)).alias("original"), F.count_if(bad).alias("null_rows"),
                           *[F.max(bad & F.col(c).isNull()).alias(f"null_{c}") for c in contract.not_null])
-        v = validate_source(raw, source)
-        valid = _stage(v["valid"], root, "validated", source, ds)
+        valid = _stage(validate_source(seen, source)["valid"], root, "validated", source, ds)
+        v = validate_source(raw, source)  # not observed again by the sinks' own passes
         m = obs.get
         bad_cols = [c for c in contract.not_null if m.get(f"null_{c}")]
-        if m["null_rows"]:
-            sinks.quarantine(with_null_reasons(v["invalid"], contract, null_reason_text(bad_cols))
-                             .drop("_null_columns"), root, source, None, as_of, ds)
+        sinks.quarantine(with_null_reasons(v["invalid"], contract, null_reason_text(bad_cols))
+                         .drop("_null_columns"), root, source, None, as_of, ds)
         if v["duplicates"] is not None:
             sinks.duplicate_report(v["duplicates"], root, source, ds)
         t = _stage(transform_source(valid, source), root, "transformed", source, ds)
@@ -153,6 +155,11 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
             current = store.read(FACT_TABLE)
             target = current if current is not None else star.empty(spark, star.FACT)
             rows = star.fact_rows(sl, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"])
+            # the other keys come from the dimensions themselves: only dates can dangle
+            rows, bad = star.split_by_foreign_keys(rows, {c: (dims["dim_date"], "date_key") for c in star.DATE_KEYS})
+            reason = F.concat(F.lit("No row in the referenced dimension: "), F.array_join("_fk_columns", ", "))
+            sinks.quarantine(bad.withColumn("_quarantine_reason", reason).drop("_fk_columns"),
+                             root, FACT_TABLE, None, as_of, ds)
             fact = star.load_fact(target, rows, as_of, base_key=0 if current is None else None)
             dims[FACT_TABLE] = store.commit(FACT_TABLE, fact, as_of)
             # state after the fact snapshot: a crash in between reloads the

@@ -24,31 +24,31 @@ def query(name: str):
 @query("on_time_rate_by_warehouse")
 def q_on_time_rate_by_warehouse(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.on_time_rate_by_warehouse(b.fact, b.dim_warehouse)
+    return marts.on_time_rate_by_warehouse(b.mart_fact, b.dim_warehouse)
 
 
 @query("delivery_time_by_route")
 def q_delivery_time_by_route(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.delivery_time_by_route(b.fact, b.dim_route)
+    return marts.delivery_time_by_route(b.mart_fact, b.dim_route)
 
 
 @query("partner_payment_reconciliation")
 def q_partner_payment_reconciliation(spark, sf_dir):
     b = Batch(spark, sf_dir)
     payments = b.payments_clean  # staged first: the partner dimension reuses it
-    return marts.partner_payment_reconciliation(b.fact, b.dim_partner, payments)
+    return marts.partner_payment_reconciliation(b.mart_fact, b.dim_partner, payments)
 
 
 @query("monthly_order_trend")
 def q_monthly_order_trend(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.monthly_order_trend(b.fact, b.dim_date)
+    return marts.monthly_order_trend(b.mart_fact, b.dim_date)
 
 
 @query("executive_kpis")
 def q_executive_kpis(spark, sf_dir):
-    return marts.executive_kpis(Batch(spark, sf_dir).fact)
+    return marts.executive_kpis(Batch(spark, sf_dir).mart_fact)
 
 
 # ----------------------------------------------------------------- helpers
@@ -89,7 +89,8 @@ def q_stage_row_counts(spark, sf_dir):
     for s in SOURCES:
         ext = b.raw(s).agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("source"), F.lit("extracted").alias("stage"), "n")
         vld = b.valid(s).agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("source"), F.lit("validated").alias("stage"), "n")
-        parts += [ext, vld]
+        trn = b.transformed[s].agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("source"), F.lit("transformed").alias("stage"), "n")
+        parts += [ext, vld, trn]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -263,7 +264,15 @@ def q_dim_route(spark, sf_dir):
 
 @query("dim_date")
 def q_dim_date(spark, sf_dir):
-    return Batch(spark, sf_dir).dim_date
+    """The calendar that the orders feed spans, put in over a part of it that
+    is already there (insert if absent)."""
+    b = Batch(spark, sf_dir)
+    days = [c for c in ("order_date", "promised_delivery_date", "actual_delivery_date")]
+    span = b.transformed["orders"].agg(*[f(c).alias(f"{f.__name__}_{c}") for c in days for f in (F.min, F.max)]).first()
+    start, end = min(x for x in span if x), max(x for x in span if x)
+    whole = star.calendar(spark, start, end)
+    there = whole.where(F.col("month") <= 6).withColumn("is_weekend", F.lit(False))  # what is there stays as it is
+    return star.load_dim_date(there, whole)
 
 
 @query("surrogate_keys")
@@ -360,7 +369,8 @@ def q_dq_not_null(spark, sf_dir):
 def q_dq_unique(spark, sf_dir):
     b = Batch(spark, sf_dir)
     return _single_rule(b.raw("orders"), "orders_raw",
-                        dq.Rule("order_id_unique", "Order ID must be unique", violations=dq.unique_values("order_id")))
+                        dq.Rule("order_id_unique", "Order ID must be unique", violations=dq.unique_values("order_id"),
+                                count=dq.count_repeated("order_id")))
 
 
 @query("dq_between")
@@ -470,25 +480,39 @@ def q_landing_scan(spark, sf_dir):
     return df.drop("_row_seq")
 
 
-@query("malformed_rows")
-def q_malformed_rows(spark, sf_dir):
+def _raw_order_lines(spark, b, run):
     """Orders feed as raw CSV lines where every 13th order carries a surplus
-    field (dropped) and every 17th lacks its last field (padded with NULL)."""
-    b = Batch(spark, sf_dir)
+    field and every 17th lacks its last field; returns the landed path."""
     cols = list(CONTRACTS["orders"].columns)
     k = (F.col("_row_seq") / 2).cast("long")
     full = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
     short = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cols[:-1]])
     line = (F.when(k % 13 == 0, F.concat(full, F.lit(",EXTRA")))
             .when(k % 17 == 0, short).otherwise(full))
-    run = new_run_id()
     path = scratch_path(spark, "landing", run, "orders_lines")
     b.raw("orders").select(line.alias("value")).write.mode("overwrite").text(path)
+    return path, cols
+
+
+@query("malformed_rows")
+def q_malformed_rows(spark, sf_dir):
+    """The scan of those lines: surplus lines left out, short ones padded with NULL."""
+    b, run = Batch(spark, sf_dir), new_run_id()
+    path, cols = _raw_order_lines(spark, b, run)
     df = landing.extract(spark, path, "orders", "orders.csv", b.ds, b.as_of, scratch_path(spark, "stage", run),
-                         columns=cols, header=False, multiline=False)
+                         columns=cols, header=False)
     return df.drop("_row_seq")
 
 
+@query("malformed_kept")
+def q_malformed_kept(spark, sf_dir):
+    """The surplus lines that the scan left out, as the sink keeps them."""
+    b, run = Batch(spark, sf_dir), new_run_id()
+    path, cols = _raw_order_lines(spark, b, run)
+    kept = landing.keep_malformed(spark, path, "orders", cols, scratch_path(spark, "stage", run), b.ds, header=False)
+    return kept.select("line", F.col("fields").cast("long").alias("fields"))
+
+
 # ------------------------------------------------------ end-to-end paths
 from haulwise.plans.job import run_batch  # noqa: E402
 from haulwise.streaming.landing_stream import process_landed  # noqa: E402
@@ -505,6 +529,33 @@ def q_batch_job_fact(spark, sf_dir):
     return res.tables["fact_deliveries"]
 
 
+@query("fact_quarantine")
+def q_fact_quarantine(spark, sf_dir):
+    """Fact rows that the job holds back: a date that the calendar lacks."""
+    b = Batch(spark, sf_dir)
+    root = scratch_path(spark, "warehouse", new_run_id())
+    run_batch(spark, {s: b.raw(s) for s in SOURCES}, root, b.ds, b.as_of)
+    held = spark.read.parquet(f"{root}/quarantine/source=fact_deliveries/_execution_date={b.ds}")
+    return held.select("order_id", F.col("_quarantine_reason").alias("reason"))
+
+
+@query("job_rerun")
+def q_job_rerun(spark, sf_dir):
+    """The orders job run twice for one date, the second time on a feed whose
+    every order is rejected: what its sinks hold then (nothing stale)."""
+    b = Batch(spark, sf_dir)
+    root = scratch_path(spark, "warehouse", new_run_id())
+    orders = b.raw("orders")
+    run_batch(spark, {"orders": orders}, root, b.ds, b.as_of)
+    run_batch(spark, {"orders": orders.withColumn("order_id", F.lit(None).cast("string"))}, root, b.ds, b.as_of)
+    at = f"_execution_date={b.ds}"
+    parts = [("validated", f"{root}/stage/validated/orders/{at}"), ("transformed", f"{root}/stage/transformed/orders/{at}"),
+             ("quarantined", f"{root}/quarantine/source=orders/{at}"), ("duplicates", f"{root}/duplicates/source=orders/{at}")]
+    out = [spark.read.parquet(path).agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("row_count"))
+           for name, path in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("streaming_ingest")
 def q_streaming_ingest(spark, sf_dir):
     """Orders landed as CSV files, ingested once by a file-source stream
@@ -517,7 +568,7 @@ def q_streaming_ingest(spark, sf_dir):
 
     def on_batch(df, batch_id):
         (df.drop("_row_seq").transform(lambda d: landing.with_lineage(d, "orders.csv", b.ds, b.as_of))
-         .write.mode("append").parquet(sink))
+         .write.mode("overwrite").parquet(f"{sink}/batch={batch_id}"))  # a replayed batch replaces itself
 
     process_landed(spark, "orders", land, scratch_path(spark, "stream", run, "_checkpoint"), on_batch)
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).drop("batch")

@@ -1,8 +1,8 @@
 """Quarantine and duplicate-report sinks.
 
-Rows are written under ``{root}/{kind}/source={source}`` partitioned by
-``_execution_date``; a rerun of the same date replaces its own partition
-(dynamic partition overwrite), so task retries do not duplicate rows.
+Rows are written under ``{root}/{kind}/source={source}/_execution_date={ds}``.
+A run replaces the folder of its date, by nothing if there is nothing to
+report, so a clean rerun leaves no rows of the run before.
 """
 
 from __future__ import annotations
@@ -12,23 +12,16 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _write(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_execution_date").parquet(path))
+from haulwise.sources.landing import write_date
 
 
 def quarantine(df: DataFrame, root: str, source: str, reason: str | None, at: dt.datetime, ds: str) -> DataFrame:
-    """Stamp reason and time on rejected rows and append them to the sink."""
+    """Stamp reason and time on rejected rows and put them in the sink of the date."""
     out = df.withColumns({"_quarantine_reason": F.coalesce(F.col("_quarantine_reason"), F.lit(reason))
                           if "_quarantine_reason" in df.columns else F.lit(reason),
                           "_quarantined_at": F.lit(at.isoformat())})
-    if "_execution_date" not in out.columns:
-        out = out.withColumn("_execution_date", F.lit(ds))
-    _write(out, f"{root.rstrip('/')}/quarantine/source={source}")
-    return out
+    return write_date(out, f"{root.rstrip('/')}/quarantine/source={source}", ds)
 
 
 def duplicate_report(df: DataFrame, root: str, source: str, ds: str) -> None:
-    out = df if "_execution_date" in df.columns else df.withColumn("_execution_date", F.lit(ds))
-    _write(out, f"{root.rstrip('/')}/duplicates/source={source}")
+    write_date(df, f"{root.rstrip('/')}/duplicates/source={source}", ds)

@@ -12,8 +12,9 @@ again). Plain Spark reads and writes only; no table format is assumed.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -29,7 +30,9 @@ class WarehouseStore:
     def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/{COMMITS}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def version(self, table: str) -> int | None:
@@ -53,9 +56,10 @@ class WarehouseStore:
         """Write ``df`` as the next version of ``table`` and make it current."""
         v = (self.version(table) or 0) + 1
         path = f"{self.root}/{table}/v={v}"
-        df.write.mode("overwrite").parquet(path)
+        obs = Observation(f"commit_{table}_{uuid.uuid4().hex[:8]}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        n = out.count()
+        n = int(obs.get["rows"])
         row = self.spark.createDataFrame([(table, v, at, n)], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/{COMMITS}")
         return out

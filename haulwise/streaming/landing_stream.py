@@ -20,11 +20,16 @@ from haulwise.functions.text import na_to_null
 from haulwise.sources.landing import BAD, field_count
 
 
-def landed_stream(spark: SparkSession, source: str, landing_dir: str, multiline: bool = True) -> DataFrame:
-    """Streaming scan of one feed's landing folder (same rules as the batch scan)."""
+def landed_stream(spark: SparkSession, source: str, landing_dir: str, multiline: bool = False) -> DataFrame:
+    """Streaming scan of one feed's landing folder (same rules as the batch scan).
+
+    A file whose header is not the contract's column list, in order, fails the
+    stream: columns are never taken by position alone.
+    """
     cols = list(CONTRACTS[source].columns)
     schema = ", ".join(f"`{c}` string" for c in cols) + f", {BAD} string"
     df = (spark.readStream.schema(schema).option("header", True).option("multiLine", multiline)
+          .option("enforceSchema", False)
           .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
           .csv(landing_dir))
     keep = F.col(BAD).isNull() | (field_count(F.col(BAD)) <= len(cols))
@@ -41,7 +46,7 @@ def _with_row_seq(df: DataFrame) -> DataFrame:
 
 
 def process_landed(spark: SparkSession, source: str, landing_dir: str, checkpoint_dir: str,
-                   on_batch: Callable[[DataFrame, int], None], multiline: bool = True) -> None:
+                   on_batch: Callable[[DataFrame, int], None], multiline: bool = False) -> None:
     """Run ``on_batch(df, batch_id)`` over files landed since the last run."""
     q = (landed_stream(spark, source, landing_dir, multiline).writeStream
          .foreachBatch(lambda df, batch_id: on_batch(_with_row_seq(df), batch_id))

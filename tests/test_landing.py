@@ -13,14 +13,14 @@ def _write(path, text):
 def test_short_kept_long_dropped(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "f.csv")
     _write(p, "a,b,c\n1,2,3\n4,5\n6,7,8,9\n1,2,3,\n1,2,,\n1,2,3,,5\n\"\",x,\"q\"\"z\"\n\"line\nbreak\",NA,z\n")
-    rows = [tuple(r)[1:] for r in scan_feed(spark, p).orderBy("_row_seq").collect()]
+    rows = [tuple(r)[1:] for r in scan_feed(spark, p, multiline=True).orderBy("_row_seq").collect()]
     assert rows == [("1", "2", "3"), ("4", "5", None), (None, "x", 'q"z'), ("line\nbreak", None, "z")]
 
 
 def test_quoted_commas_are_one_field(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "g.csv")
     _write(p, "id,refs\nP1,\"ORD_1,ORD_2\"\nP2,ORD_3\n")
-    rows = [tuple(r)[1:] for r in scan_feed(spark, p).orderBy("_row_seq").collect()]
+    rows = [tuple(r)[1:] for r in scan_feed(spark, p, multiline=True).orderBy("_row_seq").collect()]
     assert rows == [("P1", "ORD_1,ORD_2"), ("P2", "ORD_3")]
 
 
