@@ -11,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bpe, chat, decontaminate, language_id, license_scan, simhash, substrings, token_counts, toxicity, vectors
+from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, simhash, sql_twins, substrings,
+                          token_counts, toxicity, vectors)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -115,5 +117,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-#: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = sql_twins.TWINS

@@ -50,6 +50,22 @@ def test_queries_are_registered():
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
+def test_license_twin_agrees_on_notices(spark):
+    import duckdb
+
+    from haulwise.llm import license_scan, sql_twins
+    texts = [license_scan.PHRASES[0][0] * 2, "", None]
+    for text, _ in license_scan.NOTICES:
+        words = text.split()
+        texts += [text, text.upper() + " x " + text, " ".join(words[:8]), " ".join(words[:9] + ["one", "two"] + words[9:]),
+                  " ".join(words[4:] + words[:4]), " ".join(w + " a b" for w in words), "GNU general public license " + text]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.execute(f"SELECT * FROM ({sql_twins.LICENSES}) ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in license_scan.scan(docs).orderBy("doc_id").collect()] == want
+
+
 def test_library_does_not_import_this_subpackage():
     root = os.path.dirname(importlib.util.find_spec("haulwise").origin)
     for folder, _, files in os.walk(root):
