@@ -13,14 +13,22 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from haulwise.contracts import EVENT_TYPES, ORDER_STATUSES, ROW_SEQ
 from haulwise.functions.numbers import to_number
 
 REPORT_SCHEMA = "dataset string, rule string, description string, passed boolean, violation_count long"
 
+#: Violating rows that a report names for a failed rule.
+SAMPLES = 5
+
+
+class QualityError(RuntimeError):
+    """Rules failed and the caller asked for failure."""
+
 
 @dataclass
 class Rule:
@@ -104,19 +112,36 @@ class Validator:
         self.rules.append(rule)
         return self
 
+    def _sound(self, df: DataFrame) -> tuple[list[Rule], dict[str, str]]:
+        """Rules that can be analysed over ``df``, and the messages of the others."""
+        good, broken = [], {}
+        for r in self.rules:
+            try:
+                (df.select(r.mask(df)) if r.mask is not None else r.violations(df)).schema  # noqa: B018 - analysis only
+                good.append(r)
+            except AnalysisException as e:
+                broken[r.name] = str(e).splitlines()[0]
+        return good, broken
+
     def counts(self, df: DataFrame) -> DataFrame:
-        """(rule, violation_count) for every rule, one row per rule."""
+        """(rule, violation_count, message) for every rule, one row per rule; a
+        rule that cannot be analysed over ``df`` has count -1 and the message."""
         parts = []
-        row_rules = [r for r in self.rules if r.mask is not None]
+        good, broken = self._sound(df)
+        row_rules = [r for r in good if r.mask is not None]
         if row_rules:
             agg = df.agg(*[F.count_if(F.coalesce(r.mask(df), F.lit(False))).alias(f"r{i}")
                            for i, r in enumerate(row_rules)])
             stack = ", ".join(f"'{r.name}', r{i}" for i, r in enumerate(row_rules))
             parts.append(agg.selectExpr(f"stack({len(row_rules)}, {stack}) AS (rule, violation_count)"))
-        for r in self.rules:
+        for r in good:
             if r.mask is None:
                 n = r.count(df) if r.count else r.violations(df).agg(F.count(F.lit(1)).alias("violation_count"))
                 parts.append(n.select(F.lit(r.name).alias("rule"), "violation_count"))
+        parts = [p.withColumn("message", F.lit(None).cast("string")) for p in parts]
+        if broken:
+            parts.append(df.sparkSession.createDataFrame([(r, -1, m) for r, m in broken.items()],
+                                                         "rule string, violation_count long, message string"))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -134,7 +159,32 @@ class Validator:
             F.lit(dataset).alias("dataset"), "rule", desc[F.col("rule")].alias("description"),
             (F.col("violation_count") == 0).alias("passed"),
             F.col("violation_count").cast("long").alias("violation_count"),
-            order[F.col("rule")].alias("rule_order"))
+            order[F.col("rule")].alias("rule_order"), "message")
+
+    def first_violators(self, df: DataFrame, n: int = SAMPLES, order_col: str = ROW_SEQ) -> DataFrame:
+        """(rule, details): the places of the first ``n`` violating rows of every
+        rule that has any, in landing order. Row rules share one pass; a task
+        passes on at most ``n`` rows a rule."""
+        good, _ = self._sound(df)
+        broken_by = F.filter(F.array(*[F.when(r.mask(df), F.lit(r.name)) for r in good if r.mask is not None] or
+                                     [F.lit(None).cast("string")]), lambda x: x.isNotNull())
+        rows = df.select(order_col, F.explode(broken_by).alias("rule"))
+        for r in good:
+            if r.mask is None:
+                rows = rows.unionByName(r.violations(df).select(order_col, F.lit(r.name).alias("rule")))
+        first = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("rule").orderBy(order_col))) \
+            .where(F.col("_rank") <= n)
+        places = F.sort_array(F.collect_list(F.struct("_rank", F.col(order_col).cast("string").alias("place"))))
+        return first.groupBy("rule").agg(
+            F.concat(F.lit("rows "), F.array_join(places["place"], ", ")).alias("details"))
+
+    def full_report(self, df: DataFrame, dataset: str, checked_at: dt.datetime, order_col: str = ROW_SEQ) -> DataFrame:
+        """The report with ``details`` (first violators, or why a rule could not
+        run) and ``checked_at``."""
+        found = self.report(df, dataset).join(F.broadcast(self.first_violators(df, order_col=order_col)), "rule", "left")
+        return found.select("dataset", "rule", "description", "passed", "violation_count",
+                            F.coalesce("message", "details").alias("details"),
+                            F.lit(checked_at.isoformat()).alias("checked_at"), "rule_order")
 
     def samples(self, df: DataFrame, rule_name: str, n: int = 5, order_col: str = ROW_SEQ) -> DataFrame:
         """First ``n`` violating rows of one rule (in landing order)."""
@@ -145,10 +195,6 @@ class Validator:
         return rows.limit(n)
 
 
-def with_checked_at(report: DataFrame, checked_at: dt.datetime) -> DataFrame:
-    return report.withColumn("checked_at", F.lit(checked_at.isoformat()))
-
-
 # ----------------------------------------------------------------- suites
 def orders_validator() -> Validator:
     return (Validator()
@@ -196,3 +242,12 @@ def quality_summary(report: DataFrame, orphans: DataFrame) -> DataFrame:
     orphan = orphans.select(F.lit(0).alias("c"), (F.col("orphan_count") > 0).cast("long").alias("f"))
     return (suite.unionByName(orphan)
             .agg(F.sum("c").cast("long").alias("total_checks"), F.sum("f").cast("long").alias("failures")))
+
+
+def orphan_row(orphans: DataFrame, checked_at: dt.datetime) -> DataFrame:
+    """The report row of the orphan check: one row if there are orphans, else none."""
+    return orphans.where(F.col("orphan_count") > 0).select(
+        F.lit("fact_deliveries").alias("dataset"), F.lit("orphan_warehouse_keys").alias("rule"),
+        F.lit("Warehouse keys must exist in the warehouse dimension").alias("description"),
+        F.lit(False).alias("passed"), F.col("orphan_count").cast("long").alias("violation_count"),
+        F.lit(None).cast("string").alias("details"), F.lit(checked_at.isoformat()).alias("checked_at"))

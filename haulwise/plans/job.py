@@ -65,8 +65,12 @@ def extract_sources(spark: SparkSession, landing_dir: str, root: str, ds: str, a
 
 
 def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: str, as_of: dt.datetime,
-              calendar: tuple[str, str] | None = None, lookback_days: int = 0) -> BatchResult:
-    """Run one batch over already-scanned feeds (all-string + ``_row_seq``)."""
+              calendar: tuple[str, str] | None = None, lookback_days: int = 0,
+              fail_on_error: bool = False) -> BatchResult:
+    """Run one batch over already-scanned feeds (all-string + ``_row_seq``).
+
+    ``fail_on_error`` raises QualityError after the report is written if a rule failed.
+    """
     if not feeds:
         raise ValueError("no input feeds")
     root = root.rstrip("/")
@@ -170,18 +174,21 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
     res.tables = dims
 
     # ---- quality on the standardized data + orphan check on the warehouse
-    reports = [dq.VALIDATORS[s]().report(t[s], s) for s in SOURCE_ORDER if s in t and s in dq.VALIDATORS]
+    reports = [dq.VALIDATORS[s]().full_report(t[s], s, as_of).drop("rule_order")
+               for s in SOURCE_ORDER if s in t and s in dq.VALIDATORS]
     if reports:
         rep = reports[0]
         for r in reports[1:]:
             rep = rep.unionByName(r)
-        rep = rep.withColumn("checked_at", F.lit(as_of.isoformat()))
-        path = f"{root}/quality/_execution_date={ds}"
-        rep.write.mode("overwrite").parquet(path)
-        res.quality = spark.read.parquet(path)
         fact = dims.get(FACT_TABLE) or store.read(FACT_TABLE)
         orphans = (dq.orphan_count(fact, dims["dim_warehouse"]) if fact is not None
                    else spark.createDataFrame([(0,)], "orphan_count long"))
-        row = dq.quality_summary(res.quality, orphans).first()
+        path = f"{root}/quality/_execution_date={ds}"
+        rep.unionByName(dq.orphan_row(orphans, as_of)).write.mode("overwrite").parquet(path)
+        res.quality = spark.read.parquet(path)
+        suite = F.col("rule") != "orphan_warehouse_keys"
+        row = res.quality.agg(F.count_if(suite).alias("total_checks"), F.count_if(~F.col("passed")).alias("failures")).first()
         res.quality_summary = {"total_checks": row["total_checks"], "failures": row["failures"]}
+        if fail_on_error and row["failures"]:
+            raise dq.QualityError(f"{row['failures']} of {row['total_checks']} quality checks failed")
     return res

@@ -355,7 +355,7 @@ def q_load_second_batch(spark, sf_dir):
 
 # ----------------------------------------------------------------- quality
 def _single_rule(df, dataset, rule):
-    return dq.Validator([rule]).report(df, dataset).drop("rule_order")
+    return dq.Validator([rule]).report(df, dataset).drop("rule_order", "message")
 
 
 @query("dq_not_null")
@@ -418,17 +418,17 @@ def _suite(b: Batch, source: str):
 
 @query("dq_orders")
 def q_dq_orders(spark, sf_dir):
-    return _suite(Batch(spark, sf_dir), "orders").drop("rule_order")
+    return _suite(Batch(spark, sf_dir), "orders").drop("rule_order", "message")
 
 
 @query("dq_delivery_events")
 def q_dq_delivery_events(spark, sf_dir):
-    return _suite(Batch(spark, sf_dir), "delivery_events").drop("rule_order")
+    return _suite(Batch(spark, sf_dir), "delivery_events").drop("rule_order", "message")
 
 
 @query("dq_inventory")
 def q_dq_inventory(spark, sf_dir):
-    return _suite(Batch(spark, sf_dir), "warehouse_inventory").drop("rule_order")
+    return _suite(Batch(spark, sf_dir), "warehouse_inventory").drop("rule_order", "message")
 
 
 def _dq_report(b: Batch):
@@ -436,12 +436,17 @@ def _dq_report(b: Batch):
     for s in ("orders", "warehouse_inventory", "delivery_events"):
         r = _suite(b, s)
         out = r if out is None else out.unionByName(r)
-    return out.drop("rule_order")
+    return out.drop("rule_order", "message")
 
 
 @query("dq_report")
 def q_dq_report(spark, sf_dir):
-    return _dq_report(Batch(spark, sf_dir))
+    """All suites with details and the time of the check, and the orphan row if there are orphans."""
+    b = Batch(spark, sf_dir)
+    parts = [dq.VALIDATORS[s]().full_report(b.transformed[s], s, b.as_of).drop("rule_order")
+             for s in ("orders", "warehouse_inventory", "delivery_events")]
+    orphans = dq.orphan_count(b.mart_fact, b.dim_warehouse)
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(dq.orphan_row(orphans, b.as_of))
 
 
 @query("orphan_warehouse_keys")

@@ -138,3 +138,33 @@ def test_numbers_follow_the_order_beyond_one_task(spark, monkeypatch):
     df = spark.range(500).select((F.col("id") * 7 % 500).alias("id"))
     got = {r.id: r.k for r in keys.number_rows(df, ["id"], "k").collect()}
     assert got == {i: i + 1 for i in range(500)}
+
+
+def test_report_names_violators_and_broken_rules(spark):
+    df = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(20)], "_row_seq long, k string")
+    v = dq.Validator([dq.Rule("k_not_null", "k", mask=dq.not_null("k")),
+                      dq.Rule("gone_not_null", "no such column", mask=dq.not_null("gone")),
+                      dq.Rule("k_unique", "k", violations=dq.unique_values("k"), count=dq.count_repeated("k")),
+                      dq.Rule("k_in_set", "k", mask=dq.in_set("k", ["x"]))])
+    rows = {r.rule: r for r in v.full_report(df, "d", T).collect()}
+    assert rows["k_not_null"].details == "rows 0, 2, 4, 6, 8" and rows["k_not_null"].violation_count == 10
+    assert rows["k_unique"].details == "rows 0, 1, 2, 3, 4"
+    assert (rows["gone_not_null"].passed, rows["gone_not_null"].violation_count) == (False, -1)
+    assert "gone" in rows["gone_not_null"].details
+    assert rows["k_in_set"].passed and rows["k_in_set"].details is None
+    assert {r.checked_at for r in rows.values()} == {T.isoformat()}
+
+
+def test_orphans_get_a_report_row(spark):
+    fact = spark.createDataFrame([(1,), (2,), (None,)], "warehouse_key long")
+    dim = spark.createDataFrame([(1,)], "warehouse_key long")
+    assert [r.violation_count for r in dq.orphan_row(dq.orphan_count(fact, dim), T).collect()] == [1]
+    assert dq.orphan_row(dq.orphan_count(dim, dim), T).count() == 0
+
+
+def test_fail_on_error(spark, tmpdir_path):
+    bad = feed(spark, order(1, status="lost"))
+    with pytest.raises(dq.QualityError):
+        run_batch(spark, {"orders": bad}, tmpdir_path, DS, T, fail_on_error=True)
+    res = run_batch(spark, {"orders": bad}, tmpdir_path, DS, T)
+    assert res.quality_summary == {"total_checks": 4, "failures": 1} and "checked_at" in res.quality.columns
