@@ -43,8 +43,8 @@ base AS (SELECT k, k * 2 AS _row_seq,
   {ymd:d + CAST(3 + k % 5 AS INT)} AS promised_delivery_date,
   CASE WHEN k % 10 = 3 THEN NULL ELSE {ymd:d + CAST(3 + k % 5 + (k * 7) % 11 - 5 AS INT)} END AS actual_delivery_date,
   CASE WHEN k % 307 = 0 THEN 'abc' WHEN k % 401 = 0 THEN concat('-', CAST(CAST(v AS DECIMAL(12,2)) AS STRING)) ELSE CAST(CAST(v AS DECIMAL(12,2)) AS STRING) END AS order_value,
-  CASE WHEN k % 5 = 4 THEN NULL WHEN k % 50 = 1 THEN 'JPY' ELSE split_part('USD,EUR,GBP,usd', ',', CAST(k % 5 + 1 AS INT)) END AS currency,
-  CASE WHEN k % 601 = 0 THEN 'lost' ELSE split_part('pending,shipped,delivered,cancelled,DELIVERED, Pending ', ',', CAST(k % 6 + 1 AS INT)) END AS status
+  CASE WHEN k % 5 = 4 THEN NULL WHEN k % 127 = 7 THEN 'nan' WHEN k % 50 = 1 THEN 'JPY' ELSE split_part('USD,EUR,GBP,usd', ',', CAST(k % 5 + 1 AS INT)) END AS currency,
+  CASE WHEN k % 601 = 0 THEN 'lost' WHEN k % 113 = 1 THEN 'NA' WHEN k % 113 = 2 THEN 'null' WHEN k % 113 = 3 THEN 'N/A' ELSE split_part('pending,shipped,delivered,cancelled,DELIVERED, Pending ', ',', CAST(k % 6 + 1 AS INT)) END AS status
   FROM o)
 SELECT * FROM base
 UNION ALL
@@ -63,10 +63,10 @@ FROM {part}
 
 EVENTS_RAW = """
 SELECT event_id AS _row_seq, CASE WHEN event_id % 113 = 0 THEN NULL ELSE concat('EVT_', CAST(event_id AS STRING)) END AS event_id,
-  concat('ORD_', lpad(CAST((event_id * 3) % 1500 AS STRING), 6, '0')) AS order_id,
+  concat('ORD_', lpad(CAST((event_id * 3) % (SELECT max(o_orderkey) + 50 FROM {orders}) AS STRING), 6, '0')) AS order_id,
   CASE WHEN event_id % 701 = 0 THEN 'teleported' WHEN event_id % 7 = 0 THEN ' DELIVERED ' ELSE
     CASE event_type WHEN 'view' THEN 'picked_up' WHEN 'click' THEN 'in_transit' WHEN 'signup' THEN 'out_for_delivery' WHEN 'purchase' THEN 'delivered' ELSE 'exception' END END AS event_type,
-  {iso:ts} AS event_timestamp, concat('City_', CAST(user_id % 10 AS STRING)) AS location,
+  CASE event_id % 13 WHEN 1 THEN concat({iso:ts}, '.250') WHEN 2 THEN concat({iso:ts}, 'Z') WHEN 3 THEN concat({iso:ts}, '+02:00') WHEN 4 THEN replace({iso:ts}, 'T', ' ') WHEN 5 THEN replace({iso:ts}, '-', '/') WHEN 6 THEN concat('  ', {iso:ts}, ' ') WHEN 7 THEN '' WHEN 8 THEN 'soon' ELSE {iso:ts} END AS event_timestamp, concat('City_', CAST(user_id % 10 AS STRING)) AS location,
   CASE WHEN event_id % 20 = 0 THEN NULL WHEN event_id % 333 = 0 THEN 'abc' ELSE CAST(CAST(value AS DECIMAL(10,2)) - CAST(10 AS DECIMAL(10,2)) AS STRING) END AS delivery_duration_minutes
 FROM {events}
 """
@@ -87,7 +87,7 @@ PAYMENT_ORDER = ("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_r
 FEED_SQL = {
     "orders": (ORDERS_RAW, ("orders",)),
     "warehouse_inventory": (INVENTORY_RAW, ("part",)),
-    "delivery_events": (EVENTS_RAW, ("events",)),
+    "delivery_events": (EVENTS_RAW, ("events", "orders")),
     "partner_payments": (PAYMENTS_RAW, ("lineitem",)),
 }
 
