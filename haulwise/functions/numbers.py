@@ -13,7 +13,8 @@ from haulwise.functions.text import strip_text
 # text like that is not a number here.
 NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-MONEY = "decimal(18,6)"
+# amounts below 10^18 are parsed exactly, values below 10^16 USD are kept
+MONEY = "decimal(24,6)"
 USD = "decimal(18,2)"
 
 

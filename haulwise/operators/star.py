@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwise.contracts import FACT_TABLE, INITIAL_WATERMARK, PARTNER_TYPE, WAREHOUSE_REGIONS
+from haulwise.functions.numbers import NUMERIC_TEXT
 from haulwise.operators.joins import known_bound, lookup_join, mark_bounded
 from haulwise.operators.keys import number_rows
 
@@ -276,6 +277,16 @@ def fk_violations(fact: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
     return out
 
 
+def split_by_amount(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(orders whose value the fact can hold or that have none, the others).
+
+    A numeric order value that overflows would otherwise turn into NULL.
+    """
+    over = F.col("order_value").rlike(NUMERIC_TEXT) & F.col("order_value_usd").try_cast("decimal(12,2)").isNull()
+    over = F.coalesce(over, F.lit(False))
+    return _bounded_by(orders.where(~over), orders), orders.where(over)
+
+
 #: Keys of the fact that refer to the calendar.
 DATE_KEYS = ("order_date_key", "promised_date_key", "actual_date_key")
 

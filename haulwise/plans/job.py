@@ -158,12 +158,14 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
         if nonempty:
             current = store.read(FACT_TABLE)
             target = current if current is not None else star.empty(spark, star.FACT)
-            rows = star.fact_rows(sl, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"])
+            fits, over = star.split_by_amount(sl)
+            rows = star.fact_rows(fits, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"])
             # the other keys come from the dimensions themselves: only dates can dangle
             rows, bad = star.split_by_foreign_keys(rows, {c: (dims["dim_date"], "date_key") for c in star.DATE_KEYS})
             reason = F.concat(F.lit("No row in the referenced dimension: "), F.array_join("_fk_columns", ", "))
-            sinks.quarantine(bad.withColumn("_quarantine_reason", reason).drop("_fk_columns"),
-                             root, FACT_TABLE, None, as_of, ds)
+            held = bad.withColumn("_quarantine_reason", reason).select("order_id", "_quarantine_reason")
+            held = held.unionByName(over.select("order_id", F.lit("Order value out of range").alias("_quarantine_reason")))
+            sinks.quarantine(held, root, FACT_TABLE, None, as_of, ds)
             fact = star.load_fact(target, rows, as_of, base_key=0 if current is None else None)
             dims[FACT_TABLE] = store.commit(FACT_TABLE, fact, as_of)
             # state after the fact snapshot: a crash in between reloads the

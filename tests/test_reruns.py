@@ -168,3 +168,16 @@ def test_fail_on_error(spark, tmpdir_path):
         run_batch(spark, {"orders": bad}, tmpdir_path, DS, T, fail_on_error=True)
     res = run_batch(spark, {"orders": bad}, tmpdir_path, DS, T)
     assert res.quality_summary == {"total_checks": 4, "failures": 1} and "checked_at" in res.quality.columns
+
+
+def test_values_out_of_range_are_held_back(spark, tmpdir_path):
+    rows = feed(spark, order(1, order_value="99999999999.00"), order(2, order_value="1e30"),
+                order(3, order_value="9999999999.99"), order(4, order_value="abc"))
+    res = run_batch(spark, {"orders": rows}, tmpdir_path, DS, T)
+    values = {r.order_id: r.order_value_usd for r in res.tables["fact_deliveries"].collect()}
+    assert sorted(values) == ["ORD_3", "ORD_4"] and str(values["ORD_3"]) == "9999999999.99"
+    held = spark.read.parquet(f"{tmpdir_path}/quarantine/source=fact_deliveries/_execution_date={DS}").collect()
+    assert sorted((r.order_id, r._quarantine_reason) for r in held) == [
+        ("ORD_1", "Order value out of range"), ("ORD_2", "Order value out of range")]
+    usd = {r.order_id: r.order_value_usd for r in res.transformed["orders"].collect()}
+    assert str(usd["ORD_1"]) == "99999999999.00"
