@@ -41,9 +41,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, checked by decoding: doc_id, lang, source,
     n_tokens, ids, ids_sha256, decoded_sha256."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded.drop("text"), ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"),
+    back = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    return back.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"),
                           F.col("_ids").alias("ids"), bpe.ids_digest("_ids").alias("ids_sha256"),
                           F.sha2("_decoded", 256).alias("decoded_sha256"))
 

@@ -63,10 +63,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
         enc = encoding(rank_file, pattern)
         for batch in sliced(batches, at, BATCH):
             ids = [encode_text(enc, t.as_py() or "") for t in batch.column(at)]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _list(ids)], names=schema.names)
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_ids")
 
@@ -86,6 +83,30 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids")
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_decoded")
 
 
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """encode and decode in one pass over the rows: ``docs`` without ``text_col``,
+    and the columns _ids and _decoded (one Python worker a task instead of two)."""
+    prepare(docs.sparkSession)
+    rest = [c for c in docs.columns if c != text_col]
+    plain = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`")).toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(rank_file, pattern)
+        for batch in sliced(batches, len(rest), BATCH):
+            ids = [encode_text(enc, t.as_py() or "") for t in batch.column(len(rest))]
+            raw = pa.array([enc.decode_bytes(i.tolist()) for i in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _list(ids), raw], names=schema.names)
+
+    return plain.mapInArrow(run, schema).toDF(*rest, "_ids", "_decoded")
+
+
+def _list(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+
+
 def ids_digest(ids_col: str) -> F.Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.array_join(F.col(ids_col).cast("array<string>"), " ").cast("binary"), 256)

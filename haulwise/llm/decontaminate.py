@@ -34,7 +34,7 @@ from haulwise.llm.store import materialize, prepare, renamed
 from haulwise.llm.words import ALNUM, LOWER, flat, rolling, row_groups, word_table
 
 SHINGLE = 3
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 #: Word bytes lower-cased, every other byte a space.
 _SPACED_OUT = bytes(LOWER[b] if ALNUM[b] else 32 for b in range(256))
 

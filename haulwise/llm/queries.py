@@ -76,8 +76,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by byte_bpe_50k.tiktoken, and its ids decoded again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    back = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    back = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return back.select("doc_id", F.size("_ids").cast("long").alias("n_tokens"),
                        bpe.ids_digest("_ids").alias("ids_sha256"), F.sha2("_decoded", 256).alias("decoded_sha256"))
 

@@ -91,6 +91,9 @@ def test_bpe_round_trip(tricky, no_docs):
     assert back.columns == [*docs.columns, "_ids", "_decoded"]
     want = [(d, enc.encode_ordinary(t or ""), bytearray((t or "").encode())) for d, t in rows]
     assert by_row(back, "doc_id", "_ids", "_decoded") == sorted(want, key=repr)
+    once = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    assert once.columns == [*(c for c in docs.columns if c != "text"), "_ids", "_decoded"]
+    assert by_row(once, "doc_id", "_ids", "_decoded") == sorted(want, key=repr)
     joined = {r.doc_id: r.h for r in ids.where("doc_id = 8").select("doc_id", bpe.ids_digest("_ids").alias("h")).collect()}
     assert joined[8] == brute.sha(" ".join(map(str, enc.encode_ordinary("one two"))))
     assert bpe.decode(bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
