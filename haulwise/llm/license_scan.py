@@ -7,9 +7,13 @@ notices. All rolling word k-gram hashes of all documents (k = 2 for phrases,
 votes for the diagonal (word position - template position); votes of a
 document, template and diagonal meet as one bit mask, so repeated rows and
 repeated matches add nothing. A phrase stands wherever a diagonal has all its
-grams. For notices, neighbouring diagonals (a few words put in or left out)
-merge into one span, which is verified: it must hold LEAST_COVER of the
-notice's grams and not be longer than MOST_STRETCH times the notice.
+grams. For notices, neighbouring diagonals (a few words put in or left out),
+however few their votes, merge into one span; LEAST_VOTES holds for the span.
+It is verified if, from some diagonal's first match on, MOST_STRETCH times the
+notice's length in words holds LEAST_COVER of its grams. In a notice so short
+that one word put in takes more grams than that, it is also enough that all
+words of the notice stand there in order: in matched grams, or as the first or
+last two words one word away from the rest.
 
 The template table is a fixed list in this module (a few hundred rows), which
 bounds what is broadcast. Matches alone are shuffled, keyed by document, text
@@ -33,8 +37,10 @@ PHRASE_GRAM, NOTICE_GRAM = 2, 3
 LEAST_COVER = 0.8
 MOST_STRETCH = 1.3
 NEIGHBOURS = 4
-#: Votes below which a notice's diagonal is noise.
+#: Votes below which a notice's merged span is noise.
 LEAST_VOTES = 3
+#: Diagonals farther apart than this are in no verified span of a notice of 62 words.
+MOST_DRIFT = 31
 
 # Phrases and their labels.
 PHRASES = [
@@ -72,17 +78,28 @@ def _rolled(words: F.Column) -> tuple[F.Column, F.Column]:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """One row per template position: template, label, base, n (grams), size (words), at, gram."""
+    """One row per template position: template, label, base, n (grams), size (words), at, gram, and pair (2 words)."""
     rows = [F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(base).alias("base"),
                      F.split(F.lit(text), " ").alias("words"))
             for i, (text, label, base) in enumerate([(*p, True) for p in PHRASES] + [(*n, False) for n in NOTICES])]
     table = spark.range(1).select(F.inline(F.array(*rows)))
     k = F.when(F.col("base"), PHRASE_GRAM).otherwise(NOTICE_GRAM)
     two, three = _rolled(F.col("words"))
-    hashes = F.when(F.col("base"), two).otherwise(three)
     size = F.size("words")
-    return table.select("template", "label", "base", (size - k + 1).alias("n"), size.alias("size"),
-                        F.posexplode(F.slice(hashes, F.lit(1), size - k + 1)).alias("at", "gram"))
+    sized = table.select("template", "label", "base", (size - k + 1).alias("n"), size.alias("size"),
+                         two.alias("two"), three.alias("three"))
+    kept = ["template", "label", "base", "n", "size"]
+    hashes = F.when(F.col("base"), F.col("two")).otherwise(F.col("three"))
+    grams = sized.select(*kept, F.posexplode(F.slice(hashes, F.lit(1), F.col("n"))).alias("at", "gram"),
+                         F.col("base").alias("pair"))
+    ends = sized.where(~F.col("base") & _short()).select(
+        *kept, F.posexplode(F.slice("two", F.lit(1), F.col("size") - 1)).alias("at", "gram"), F.lit(True).alias("pair"))
+    return grams.union(ends.where((F.col("at") == 0) | (F.col("at") == F.col("size") - 2)))
+
+
+def _short() -> F.Column:
+    """Whether one word put into the notice takes more grams than LEAST_COVER allows."""
+    return (F.col("n") - (NOTICE_GRAM - 1)) / F.col("n") < LEAST_COVER
 
 
 def words_of(text: F.Column) -> F.Column:
@@ -92,36 +109,54 @@ def words_of(text: F.Column) -> F.Column:
 
 
 def votes(docs: DataFrame) -> DataFrame:
-    """Diagonals: id, text_hash, template columns, diagonal, mask (template positions met), first and last word."""
+    """Diagonals: id, text_hash, template columns, diagonal, mask (template positions met), ends (those of a short
+    notice's first and last two words), low (first word of the mask)."""
     rolled = docs.select("id", "text_hash", F.size("words").alias("n_words"),
                          F.concat(*_rolled(F.col("words"))).alias("grams"))
     # outer: the plain form adds a filter that works the hashes out a second time
     placed = rolled.select("id", "text_hash", "n_words", F.posexplode_outer("grams").alias("slot", "gram"))
     found = placed.join(F.broadcast(templates(docs.sparkSession)), "gram")
-    place = F.when(F.col("base"), F.col("slot")).otherwise(F.col("slot") - F.col("n_words"))
+    place = F.when(F.col("pair"), F.col("slot")).otherwise(F.col("slot") - F.col("n_words"))
     found = found.withColumn("place", place).where(
-        F.col("base") == (F.col("slot") < F.col("n_words")))  # a phrase's gram meets 2-grams only
+        F.col("pair") == (F.col("slot") < F.col("n_words")))  # two words meet 2-grams only
+    end = F.col("pair") & ~F.col("base")
+    bit = F.expr("shiftleft(1L, at)")
     return found.groupBy("id", "text_hash", "template", "label", "base", "n", "size",
                          (F.col("place") - F.col("at")).alias("diagonal")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"), F.min("place").alias("low"),
-             F.max("place").alias("high"))
+        .agg(F.bit_or(F.when(end, 0).otherwise(bit)).alias("mask"), F.bit_or(F.when(end, bit).otherwise(0)).alias("ends"),
+             F.min(F.when(~end, F.col("place"))).alias("low"))
+
+
+def _bits(first: F.Column, last: F.Column) -> F.Column:
+    """Bits first to last of a mask (either may lie outside it)."""
+    shift = lambda value, n: F.call_function("shiftleft", F.lit(value).cast("long"), n)
+    low = F.when(first > 62, F.lit(0)).otherwise(shift(-1, F.greatest(first, F.lit(0))))
+    high = F.when(last < 0, F.lit(0)).when(last > 60, F.lit(-1)).otherwise(shift(1, last + 1) - 1)
+    return low.bitwiseAND(high)
 
 
 def notice_spans(diagonals: DataFrame) -> DataFrame:
-    """Merged diagonals of notices: id, text_hash, label, cover, low, high (words), verified."""
-    strong = diagonals.where(~F.col("base") & (F.bit_count("mask") >= LEAST_VOTES))
-    order = Window.partitionBy("id", "text_hash", "template").orderBy("low", "diagonal")
-    far = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > NEIGHBOURS) \
-        | (F.col("low") - F.lag("high").over(order) > F.col("size"))
-    marked = strong.withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
-    merged = marked.withColumn("span", F.sum("new").over(order)) \
-        .groupBy("id", "text_hash", "template", "label", "n", "size", "span") \
-        .agg(F.bit_count(F.bit_or("mask")).alias("met"), F.min("low").alias("low"),
-             (F.max("high") + NOTICE_GRAM - 1).alias("high"))
-    cover = F.col("met") / F.col("n")
-    fits = F.col("high") - F.col("low") + 1 <= F.col("size") * MOST_STRETCH
-    return merged.select("id", "text_hash", "label", cover.alias("cover"), "low", "high",
-                         (fits & (cover >= LEAST_COVER)).alias("verified"))
+    """Spans of notices from each diagonal on: id, text_hash, label, cover, low (word), verified."""
+    order = Window.partitionBy("id", "text_hash", "template").orderBy("diagonal")
+    far = F.col("diagonal") - F.lag("diagonal").over(order) > NEIGHBOURS
+    marked = diagonals.where(~F.col("base")).withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
+    near = Window.partitionBy("id", "text_hash", "template", "group").orderBy("diagonal") \
+        .rangeBetween(-MOST_DRIFT, MOST_DRIFT)
+    merged = marked.withColumn("group", F.sum("new").over(order)) \
+        .withColumn("near", F.collect_list(F.struct("diagonal", "mask", "ends")).over(near)).where(F.col("low").isNotNull())
+    union = lambda mask: F.aggregate("near", F.lit(0).cast("long"), lambda m, d: m.bitwiseOR(mask(d)))
+    reach = F.floor(F.col("size") * MOST_STRETCH).cast("int") - NOTICE_GRAM
+    first = lambda d: F.col("low") - d["diagonal"]
+    inside = union(lambda d: d["mask"].bitwiseAND(_bits(first(d), first(d) + reach)))
+    beside = union(lambda d: F.when(F.abs(d["diagonal"] - F.col("diagonal")) <= 1, d["ends"]).otherwise(0))
+    merged = merged.select("id", "text_hash", "label", "n", "size", "low", inside.alias("inside"),
+                           beside.alias("beside"), union(lambda d: d["mask"]).alias("met"))
+    words = F.expr("inside | shiftleft(inside, 1) | shiftleft(inside, 2) | beside | shiftleft(beside, 1)")
+    covered = F.bit_count("inside") / F.col("n")
+    verified = (covered >= LEAST_COVER) | (_short() & (F.bit_count(words) == F.col("size")))
+    return merged.where(F.bit_count("met") >= LEAST_VOTES).select(
+        "id", "text_hash", "label", F.when(verified, covered).otherwise(F.bit_count("met") / F.col("n")).alias("cover"),
+        "low", verified.alias("verified"))
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -107,6 +107,26 @@ def test_license_notices(spark):
             assert found[i].labels == found[i].base_labels and 0 <= found[i].score <= 1
 
 
+def test_license_notices_with_a_word_put_in(spark):
+    rows, want = [], {}
+    for text, label in license_scan.NOTICES:
+        words = text.split()
+        tail = " " + " ".join(words[-5:])  # the notice's end once more does not undo the match
+        for i in range(len(words) + 1):
+            for more in ("", tail):
+                want[len(rows)] = label
+                rows.append((len(rows), "Some text. " + " ".join(words[:i] + ["inserted"] + words[i:]) + more))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = [rows[r.doc_id][1] for r in license_scan.scan(docs).collect() if want[r.doc_id] not in r.labels.split(",")]
+    assert lost == []
+
+
+def test_license_weak_diagonals_alone_are_noise(spark):
+    texts = ["this source code form", "this is public domain", "subject to the terms x y z w v u t s r q this source code form"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.labels, r.score) for r in license_scan.scan(docs).collect()] == [("", 0.0)] * 3
+
+
 def test_license_plan_has_no_python(spark, tricky):
     plan = license_scan.scan(tricky[1])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
