@@ -103,7 +103,7 @@ def monthly_order_trend(fact: DataFrame, dim_d: DataFrame) -> DataFrame:
 
 def executive_kpis(fact: DataFrame) -> DataFrame:
     """One row. The fact is unique on order_id, so orders are counted; active
-    warehouses and partners are counted over their groups."""
+    warehouses and partners are counted as rows of distinct selections, and the three one-row results become one."""
     on_time = F.sum(F.when(F.col("is_on_time"), 1).otherwise(0))
     known = F.count(F.when(F.col("is_on_time").isNotNull(), 1))
     groups = fact.groupBy("warehouse_key", "partner_key").agg(
@@ -111,12 +111,16 @@ def executive_kpis(fact: DataFrame) -> DataFrame:
         F.count("order_value_usd").alias("valued"), on_time.alias("on_time"), known.alias("known"),
         F.sum("days_late").alias("late"), F.count("days_late").alias("late_n"))
     total = lambda c: F.sum(F.col(c))
-    return groups.agg(
+    active = lambda key, name: (fact.select(key).where(F.col(key).isNotNull()).distinct()
+                                .agg(F.count(F.lit(1)).alias(name)))
+    totals = groups.agg(
         F.coalesce(total("orders"), F.lit(0)).cast("long").alias("total_orders"),
-        F.size(F.collect_set("warehouse_key")).cast("long").alias("active_warehouses"),
-        F.size(F.collect_set("partner_key")).cast("long").alias("active_partners"),
         F.round(total("value"), 2).cast("double").alias("total_order_value"),
         round_half_up(ratio(total("value"), total("valued"))).alias("avg_order_value"),
         round_half_up(ratio(total("on_time") * 100, total("known"))).alias("overall_on_time_rate"),
         round_half_up(ratio(total("late"), total("late_n"))).alias("avg_days_late"),
     )
+    rows = totals.unionByName(active("warehouse_key", "active_warehouses"), allowMissingColumns=True) \
+        .unionByName(active("partner_key", "active_partners"), allowMissingColumns=True)
+    names = ["total_orders", "active_warehouses", "active_partners", *totals.columns[1:]]
+    return rows.agg(*[F.max(c).alias(c) for c in names])

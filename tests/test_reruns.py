@@ -132,6 +132,18 @@ def test_marts_have_no_expand(spark):
     assert marts.executive_kpis(fact).first().total_orders == 0
 
 
+def test_active_keys_are_not_gathered(spark):
+    from haulwise.plans import marts
+    rows = [(str(i), i % 40 if i % 7 else None, i % 30 if i % 5 else None, 1) for i in range(400)]
+    fact = spark.createDataFrame(rows, "order_id string, warehouse_key long, partner_key long, days_late int") \
+        .selectExpr("*", "CAST(days_late AS DECIMAL(12,2)) AS order_value_usd", "days_late > 1 AS is_on_time")
+    found = marts.executive_kpis(fact)
+    assert "collect_set" not in found._jdf.queryExecution().optimizedPlan().toString()
+    row = found.first()
+    assert (row.total_orders, row.active_warehouses, row.active_partners) == (
+        400, len({w for _, w, _, _ in rows if w is not None}), len({p for _, _, p, _ in rows if p is not None}))
+
+
 def test_numbers_follow_the_order_beyond_one_task(spark, monkeypatch):
     from haulwise.operators import keys
     monkeypatch.setattr(keys, "LOCAL_MAX_ROWS", 0)
