@@ -30,6 +30,7 @@ from tokenizers import Tokenizer
 from haulwise.llm.boundaries import PIECE
 from haulwise.llm.store import prepare
 
+#: UTF-8 bytes of a batch.
 BATCH_CHARS = 1 << 20
 PIECES_AT_ONCE = 200_000
 KNOWN_PIECES = 1_000_000
@@ -42,12 +43,17 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def _size(text: str) -> int:
+    """UTF-8 bytes of a text."""
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def _balanced(pieces) -> Iterator[list[str]]:
-    """Pieces in batches of about BATCH_CHARS."""
+    """Pieces in batches of about BATCH_CHARS bytes."""
     batch, size = [], 0
     for piece in pieces:
         batch.append(piece)
-        size += len(piece)
+        size += _size(piece)
         if size >= BATCH_CHARS:
             yield batch
             batch, size = [], 0
@@ -65,11 +71,12 @@ class Counter:
         totals = [0] * len(texts)
         held, size = [], 0
         for row, text in enumerate(texts):
-            found = (m.group() for m in PIECE.finditer(text)) if text and len(text) > BATCH_CHARS else None
+            own = _size(text or "")
+            found = (m.group() for m in PIECE.finditer(text)) if own > BATCH_CHARS else None
             runs = iter(lambda: list(itertools.islice(found, PIECES_AT_ONCE)), []) if found else [PIECE.findall(text or "")]
             for pieces in runs:
                 held.append((row, pieces))
-                size += sum(map(len, pieces)) if found else len(text or "")
+                size += sum(map(_size, pieces)) if found else own
                 if size >= BATCH_CHARS:
                     self._add(held, totals)
                     held, size = [], 0

@@ -55,6 +55,15 @@ def test_token_counts_are_the_library_s(tricky, no_docs):
     assert token_counts.count_tokens(no_docs, JSON).count() == 0
 
 
+def test_batches_are_balanced_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_counts, "BATCH_CHARS", 1000)
+    for piece in ("漢字", "\U0001F600", "word"):
+        size = len(piece.encode())
+        batches = list(token_counts._balanced([piece] * 900))
+        assert sum(map(len, batches)) == 900
+        assert all(len(b) * size < 1000 + size for b in batches)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(ODD, max_size=4))
 def test_token_counts_of_odd_texts(texts):
