@@ -16,7 +16,7 @@ from haulwise.llm.store import materialize
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter and a main language stay, as they are."""
+    """Documents for which a language is found stay, as they are; ``und`` goes (no text or no letter)."""
     return language_id.keep_identified(docs)
 
 

@@ -211,11 +211,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", t
     return predict(docs, *learn(rows, label_col, text_col), text_col)
 
 
-def keep_identified(docs: DataFrame, least_share: float = 0.25, id_col: str = "doc_id", label_col: str = "lang",
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang",
                     text_col: str = "text") -> DataFrame:
-    """``docs`` without those that have no letter, no language, or no language
-    with a share of at least ``least_share`` of their words."""
+    """``docs`` without those that are ``und``; texts that mix languages stay, however even the mixture."""
     plain, name = renamed(docs)
     found = identify(plain, name[id_col], name[label_col], name[text_col])
-    kept = found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least_share))
+    kept = found.where(F.col("_lang_pred") != UNKNOWN)
     return kept.select(*plain.columns).toDF(*docs.columns)

@@ -198,6 +198,18 @@ def test_language_id_on_held_out_rows(spark, no_docs):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
 
 
+def test_only_und_is_rejected(spark):
+    rng = random.Random(6)
+    names = "abcdefgh"
+    word = lambda name: "".join(rng.choice(name + name.upper()) for _ in range(5)) + name * 3
+    rows = [(i, " ".join(word(names[i % 8]) for _ in range(40)), names[i % 8]) for i in range(160)]
+    rows += [(500, " ".join(word(name) for name in names for _ in range(60)), None), (501, None, "a"), (502, "12 !?", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    mixed = [r for r in language_id.identify(docs).collect() if r.doc_id == 500]
+    assert mixed[0]._score < 0.25
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in language_id.keep_identified(docs).collect()} == {501, 502}
+
+
 def test_language_id_with_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [(r._lang_pred, r._score) for r in language_id.identify(docs).collect()] == [("und", 0.0)]
