@@ -5,9 +5,11 @@ everything but letters and digits a space) of a whole text, hashed to ``CELLS``
 cells. Each is scaled by its naive Bayes log-count ratio between toxic and
 other documents; a logistic regression is fitted on the scaled features.
 
-Learning uses at most ``SAMPLE_ROWS`` labelled documents (those of the smallest
-hash of their id), so its cost does not grow with the corpus and the sampled
-labels can be broadcast: texts are never shuffled. Counts of the n-grams are
+Learning uses the documents of at most ``SAMPLE_ROWS`` labelled ids (those of
+the smallest hash), so the sampled labels can be broadcast: texts are never
+shuffled. Documents of equal features and label are one weighted row of the
+fit, and of such rows at most ``SAMPLE_ROWS`` (those of the smallest hash) come
+to the driver, however many documents share an id. Counts of the n-grams are
 summed in Spark; of the cells only the ``FEATURES`` with the greatest absolute
 z-score of the log-odds (``LEAST_Z`` at least) are fitted. Every document is scored over its whole
 text, slice by slice.
@@ -110,32 +112,31 @@ def _table(cells: np.ndarray) -> np.ndarray:
     return table
 
 
-def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on features of value ``ratio`` where present (accelerated gradient)."""
-    index = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = ratio[index]
-    rate = labels.mean()
+def _fit(rows: pa.ListArray, labels: np.ndarray, ratio: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on features of value ``ratio`` where present, of rows that count ``weight`` times
+    (accelerated gradient)."""
+    index = rows.flatten().to_numpy().astype(np.int64)
+    owner = np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy())
+    rate = np.clip(np.average(labels, weights=weight), 1e-6, 1 - 1e-6)  # the bounded rows may be of one label
     w, b = np.zeros(len(ratio)), float(np.log(rate / (1 - rate)))
-    squares = np.bincount(owner, value * value, len(rows)) + 1
-    step = 4.0 / max(float(np.mean(squares)) * len(rows), 1.0)
+    squares = np.bincount(owner, (ratio * ratio)[index], len(rows)) + 1
+    step = 4.0 / max(float(squares @ weight), 1.0)
     fast_w, fast_b, t = w.copy(), b, 1.0
 
-    def loss_and_slope(w, b):
-        margin = np.bincount(owner, value * w[index], len(rows)) + b
-        p = 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
-        loss = np.logaddexp(0, margin).sum() - (labels * margin).sum() + RIDGE / 2 * (w @ w)
-        error = p - labels
-        return loss, np.bincount(index, value * error[owner], len(ratio)) + RIDGE * w, error.sum()
+    def margin_and_loss(w, b):
+        margin = np.bincount(owner, (ratio * w)[index], len(rows)) + b
+        return margin, weight @ (np.logaddexp(0, margin) - labels * margin) + RIDGE / 2 * (w @ w)
 
     for _ in range(ROUNDS):
-        loss, slope, slope_b = loss_and_slope(fast_w, fast_b)
+        margin, loss = margin_and_loss(fast_w, fast_b)
+        error = weight * (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - labels)
+        slope, slope_b = np.bincount(index, error[owner], len(ratio)) * ratio + RIDGE * fast_w, error.sum()
         norm = slope @ slope + slope_b * slope_b
         if norm < 1e-10:
             break
         while step > 1e-12:  # backtrack to a sufficient decrease
             new_w, new_b = fast_w - step * slope, fast_b - step * slope_b
-            if loss_and_slope(new_w, new_b)[0] <= loss - step / 2 * norm + 1e-9:
+            if margin_and_loss(new_w, new_b)[1] <= loss - step / 2 * norm + 1e-9:
                 break
             step /= 2
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -174,9 +175,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), batch.column(1)],
                                              names=["features", "label"])
 
-    fitted = sample.mapInArrow(features, "features array<int>, label int").toArrow()  # at most sample_rows rows
-    rows = [np.array(r, dtype=np.int64) for r in fitted["features"].to_pylist()]
-    weights, intercept = _fit(rows, (fitted["label"].to_numpy() > 0).astype(float), ratio[cells])
+    fitted = sample.mapInArrow(features, "features array<int>, label int") \
+        .groupBy("features", F.col("label") > 0).agg(F.count(F.lit(1)).alias("weight")).toDF("features", "label", "weight")
+    fitted = fitted.orderBy(F.xxhash64("features"), "features", "label").limit(sample_rows).toArrow()
+    weights, intercept = _fit(fitted["features"].combine_chunks(), fitted["label"].to_numpy().astype(float), ratio[cells],
+                              fitted["weight"].to_numpy().astype(float))
     return Model(cells, weights * ratio[cells], float(intercept))
 
 

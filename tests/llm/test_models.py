@@ -156,6 +156,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(held) > 150 and sum(a == b for a, b in held) / len(held) > 0.97
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    rng = random.Random(9)
+    fit, sizes = toxicity._fit, []
+    monkeypatch.setattr(toxicity, "_fit", lambda rows, *rest: sizes.append(len(rows)) or fit(rows, *rest))
+    docs = [(i % 4, made_up(rng, i % 2 == 1)) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int")
+    once = spark.createDataFrame(docs, "doc_id long, text string")
+    thrice = spark.createDataFrame(docs * 3, "doc_id long, text string")
+    toxicity.learn(once, labels, sample_rows=50)
+    toxicity.learn(once, labels)
+    model = toxicity.learn(thrice, labels)
+    assert sizes[0] <= 50 and max(sizes) <= 400
+    found = [(r._score >= 0.5, r.doc_id % 2 == 1) for r in toxicity.score(once, model).collect()]
+    assert sum(a == b for a, b in found) / len(found) > 0.97
+
+
 def test_toxicity_without_both_labels(spark, no_docs):
     docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
     for labels, low, high in (([], 0, 0.01), ([(1, 1)], 0.99, 1), ([(1, 0)], 0, 0.01)):
