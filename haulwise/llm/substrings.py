@@ -77,6 +77,14 @@ def _row(chunk: int, bucket: int, kind: int, rows: np.ndarray, pos: np.ndarray,
             "runs": length.astype(np.uint32).tobytes(), "pos": _pack(pos.astype(np.int32))}
 
 
+def _bucket(chunk: int, buckets: int) -> int:
+    """Bucket of a chunk's own rows, from all bits of its number (the finaliser of SplitMix64)."""
+    whole = (1 << 64) - 1
+    chunk = (chunk ^ chunk >> 30) * 0xBF58476D1CE4E5B9 & whole
+    chunk = (chunk ^ chunk >> 27) * 0x94D049BB133111EB & whole
+    return (chunk ^ chunk >> 31) % buckets
+
+
 def _hash_chunk(ids: np.ndarray, column: pa.Array, chunk: int, width: int, buckets: int) -> Iterator[dict]:
     buf, offsets = flat(column)
     hashes, first = word_table(buf, offsets, SPACED)
@@ -95,7 +103,7 @@ def _hash_chunk(ids: np.ndarray, column: pa.Array, chunk: int, width: int, bucke
     lost = doc > np.repeat(np.minimum.reduceat(doc, start), length)
     here = np.sort(order[lost])
     if len(here):
-        yield _row(chunk, chunk % buckets, 1, rows[here], pos[here])
+        yield _row(chunk, _bucket(chunk, buckets), 1, rows[here], pos[here])
     order, ordered = order[~lost], ordered[~lost]
     top = (ordered >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     edges = np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
@@ -182,7 +190,7 @@ def repeated_spans(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
             doc_ids, texts, text_hashes = (column.take(order) for column in batch.columns)
             ids = doc_ids.to_numpy()
             rows = list(_hash_chunk(ids, texts, chunk, width, buckets))
-            rows.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 2, "hashes": None, "doc": None,
+            rows.append({"chunk": chunk, "bucket": _bucket(chunk, buckets), "kind": 2, "hashes": None, "doc": None,
                          "row": ids.tobytes(), "runs": text_hashes.to_numpy().tobytes(), "pos": None})
             yield from pa.Table.from_pylist(rows, schema).combine_chunks().to_batches()
             chunk += 1

@@ -108,3 +108,11 @@ def test_packed_integers_come_back():
     for kind in (np.int32, np.int64):
         values = np.array([5, 5, 9, 0, np.iinfo(kind).max, -3], dtype=kind)
         assert (substrings._unpack(substrings._pack(values), kind) == values).all()
+
+
+def test_first_chunks_of_all_partitions_spread_over_buckets():
+    text = "a b c d " * 3
+    rows = [r for p in range(64) for r in substrings._hash_chunk(
+        np.array([1, 2]), substrings.pa.array([text, text]), p << 32, 4, 64)]
+    own = [r["bucket"] for r in rows if r["kind"] == 1]
+    assert len(own) == 64 and max(map(own.count, own)) <= 6
