@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, periodic, simhash, sql_twins, substrings,
-                          token_counts, toxicity, vectors)
+from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, periodic, simhash, simplex, sql_twins,
+                          substrings, token_counts, toxicity, vectors)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +103,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 integer centroids of all embeddings of 64 components after three rounds, and every vector's cluster."""
+    found = simplex.cluster(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+    total = found.centroids.agg(F.sum("inertia")).first()[0]
+    table = found.centroids.select("cluster", F.col("inertia").alias("cluster_inertia"),
+                                   F.lit(total).cast("long").alias("inertia"),
+                                   simplex.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+    return found.rows.join(F.broadcast(table), "cluster").select(  # at most 16 rows
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, a tenth of them made periodic first."""
     docs = _table(spark, sf_dir, "documents")
@@ -126,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op11_centroid_clusters": op11_centroid_clusters,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -168,11 +168,39 @@ SELECT docs.doc_id, coalesce(lines.n_runs, 0) AS n_runs, CAST(best.start AS BIGI
   sha256(coalesce(lines.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+def _clusters(rounds: int = 3) -> str:
+    """All distances in every round; the mean's floor is exact for negative sums."""
+    near = """
+near{i} AS (
+  SELECT r, min(16 * list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) + c.c) AS m
+  FROM kept k CROSS JOIN centroids{i} c GROUP BY r)"""
+    move = """,
+sums{i} AS (
+  SELECT c, d, sum(x) AS s, count(*) AS n FROM (
+    SELECT m % 16 AS c, unnest(v) AS x, unnest(range(64)) AS d FROM near{i} JOIN kept USING (r)) GROUP BY c, d),
+means{i} AS (SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY d) AS v FROM sums{i} GROUP BY c),
+centroids{j} AS (SELECT c, coalesce(m.v, o.v) AS v FROM centroids{i} o LEFT JOIN means{i} m USING (c)),"""
+    steps = "".join(near.format(i=i) + move.format(i=i, j=i + 1) for i in range(rounds)) + near.format(i=rounds)
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(embedding) = 64),
+centroids0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c, v FROM kept
+  WHERE vec_id IS NOT NULL QUALIFY c < 16),{steps},
+placed AS (SELECT vec_id, m % 16 AS c, CAST(m // 16 AS BIGINT) AS distance FROM near{rounds} JOIN kept USING (r))
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM placed JOIN centroids{rounds} USING (c)"""
+
+
 TWINS = {
     "op2_substring_dedup": SUBSTRING,
     "op3_decontamination": CONTAMINATION,
     "op4_chat_format": CHAT,
     "op5_embedding_near_dedup": VECTORS,
     "op9_license_scan": LICENSES,
+    "op11_centroid_clusters": _clusters(),
     "op13_periodic_runs": PERIODIC,
 }
