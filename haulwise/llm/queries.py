@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import (bpe, chat, decontaminate, language_id, license_scan, periodic, simhash, simplex, sql_twins,
-                          substrings, token_counts, toxicity, vectors)
+from haulwise.llm import (bpe, chat, curriculum, decontaminate, language_id, license_scan, periodic, simhash, simplex,
+                          sql_twins, substrings, token_counts, toxicity, vectors)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +114,13 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target of every source, the words the mix takes of every document, and where in training it stands first."""
+    found = curriculum.curriculum(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", "taken",
+                        F.get("takes", F.lit(0))["position"].alias("position"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, a tenth of them made periodic first."""
     docs = _table(spark, sf_dir, "documents")
@@ -138,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_source_mix": op12_source_mix,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

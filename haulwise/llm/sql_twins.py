@@ -168,6 +168,42 @@ SELECT docs.doc_id, coalesce(lines.n_runs, 0) AS n_runs, CAST(best.start AS BIGI
   sha256(coalesce(lines.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+#: One running sum per source; a source is full if its share, once all sources that fill up sooner have, reaches its limit.
+MIX = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')), 1, 15) AS BIGINT) AS key
+  FROM documents),
+streams AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x FROM docs),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
+  FROM docs GROUP BY source),
+weighed AS (SELECT *, CAST([5, 2, 1][turn + 1] AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS most FROM sources),
+shares AS (
+  SELECT *, (SELECT sum(source_size) FROM weighed) - coalesce(sum(most) OVER (ORDER BY most / weight
+      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS words,
+    sum(weight) OVER (ORDER BY most / weight RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM weighed),
+level AS (
+  SELECT words, share FROM shares WHERE weight * words / share < most ORDER BY most / weight LIMIT 1),
+targets AS (
+  SELECT source, source_size, turn, coalesce(least(weight * (SELECT words FROM level) / (SELECT share FROM level), most), 0.0) AS target
+  FROM weighed),
+taken AS (
+  SELECT doc_id, size, source_size, target, turn, x,
+    list_sum(list_transform([0, 1, 2], lambda k: greatest(least(CAST(floor(target) AS BIGINT) - (k * source_size + x), size), 0))) AS taken
+  FROM streams JOIN targets ON streams.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+  CASE WHEN taken > 0 THEN least(1.0, CASE turn
+    WHEN 0 THEN (sqrt(greatest(2.25 + -2.0 * (x / target), 0.0)) - 1.5) / -1.0
+    WHEN 1 THEN x / target
+    ELSE (sqrt(greatest(0.25 + 2.0 * (x / target), 0.0)) - 0.5) / 1.0 END) END AS position
+FROM taken"""
+
+
 def _clusters(rounds: int = 3) -> str:
     """All distances in every round; the mean's floor is exact for negative sums."""
     near = """
@@ -202,5 +238,6 @@ TWINS = {
     "op5_embedding_near_dedup": VECTORS,
     "op9_license_scan": LICENSES,
     "op11_centroid_clusters": _clusters(),
+    "op12_source_mix": MIX,
     "op13_periodic_runs": PERIODIC,
 }
