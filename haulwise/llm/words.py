@@ -14,8 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
+LONG_WORD = 64
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _ROLL = np.uint64(0xD6E8FEB86659FD93)
 
@@ -148,6 +150,48 @@ def word_table(buf: np.ndarray, offsets: np.ndarray, classes: np.ndarray, lower:
     return (*out, starts, join(ends, np.int64)) if spans else out
 
 
+def word_keys(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every word (byte spans of ``buf``).
+
+    Words take in eight bytes at a time and are mixed after each, so words of up to eight bytes never share the first
+    hash with another of their length; words over LONG_WORD bytes are hashed by XXH3 (128 bits).
+    """
+    size = (ends - starts).astype(np.uint64)
+    one = mix(size * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x243F6A8885A308D3))
+    two = mix(size * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x13198A2E03707344))
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray(shape=(len(buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    at = np.flatnonzero(size <= LONG_WORD)
+    for j in range(0, LONG_WORD, 8):
+        at = at[size[at] > j] if j else at
+        if not len(at):
+            break
+        piece = eight[starts[at] + j]
+        left = size[at] - np.uint64(j)
+        piece &= np.where(left < 8, (np.uint64(1) << (np.minimum(left, 7) * np.uint64(8))) - np.uint64(1), ~np.uint64(0))
+        one[at] = mix((one[at] ^ piece) * np.uint64(0xFF51AFD7ED558CCD))
+        two[at] = mix((two[at] + piece) * np.uint64(0xC4CEB9FE1A85EC53))
+    for i in np.flatnonzero(size > LONG_WORD):
+        whole = xxhash.xxh3_128_intdigest(buf[starts[i]:ends[i]].tobytes())
+        one[i], two[i] = whole & (1 << 64) - 1, whole >> 64
+    return one, two
+
+
+def rolling_prime(h: np.ndarray, k: int) -> np.ndarray:
+    """Rabin-Karp of each k consecutive words modulo the prime 2^31 - 1 (32-bit integers)."""
+    n = len(h) - k + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.uint32)
+    prime = np.uint64((1 << 31) - 1)
+    h = h % prime
+    out = h[:n].copy()
+    for j in range(1, k):
+        out *= np.uint64(1_220_703_125)
+        out += h[j:j + n]
+        out %= prime
+    return out.astype(np.uint32)
+
+
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
     """Rabin-Karp hash of each k consecutive words (rows not regarded)."""
     n = len(h) - k + 1

@@ -54,7 +54,8 @@ def test_chain_of_links_is_one_component(spark):
 def test_substring_odd_rows(tricky):
     rows, docs = tricky
     want = [(d, n, r, None if t is None else kept) for (d, t), (n, r, kept) in zip(rows, brute.without_repeats(rows))]
-    found = substrings.remove_repeats(docs.drop("_n_words"))
+    found = substrings.remove_repeats(docs)
+    assert len(set(found.columns)) == len(found.columns)
     assert by_row(found, "doc_id", "_n_words", "_n_removed", "text") == sorted(want, key=repr)
     kept = substrings.keep_rest(docs)
     assert kept.columns == docs.columns and kept.count() == len(rows)
@@ -67,6 +68,57 @@ def test_substring_small_chunks_and_buckets(spark, tricky):
     assert by_row(found, "doc_id", "_n_words", "_n_removed") == sorted(want, key=repr)
 
 
+def test_substring_ranges_split_again(spark, tricky):
+    """More buckets than a chunk's ranges: rows are gathered by range and split a second time."""
+    rows, docs = tricky
+    want = [(d, n, r) for (d, _), (n, r, _) in zip(rows, brute.without_repeats(rows, 4))]
+    found = substrings.remove_repeats(docs.select("doc_id", "text"), width=4, chunk_bytes=300, bucket_bytes=500, fan=3)
+    assert by_row(found, "doc_id", "_n_words", "_n_removed") == sorted(want, key=repr)
+
+
+def test_words_that_collide_modulo_2_64_are_kept(spark):
+    """A Thue-Morse word and its complement hash alike under any polynomial modulo 2^64."""
+    for n in (1024, 2048):
+        one = "".join("ab"[i.bit_count() % 2] for i in range(n))
+        other = one.translate(str.maketrans("ab", "ba"))
+        common = [f"w{i}" for i in range(12)]
+        docs = spark.createDataFrame([(1, " ".join([*common, one])), (2, " ".join([*common, other])),
+                                      (3, " ".join([*common, one]))], "doc_id long, text string")
+        assert by_row(substrings.remove_repeats(docs), "doc_id", "_n_removed") == [(1, 0), (2, 0), (3, 13)]
+
+
+def test_word_keys_tell_words_apart():
+    rng = random.Random(2)
+    texts = {"".join(rng.choice("ab") for _ in range(rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 200]))) for _ in range(3000)}
+    texts |= {"a" * n for n in range(1, 300)} | {"a\0" * n for n in range(1, 40)} | {"a" + "\0" * n for n in range(40)}
+    texts = sorted(texts)
+    buf = np.frombuffer(" ".join(texts).encode(), dtype=np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    starts = ends - [len(t) for t in texts]
+    one, two = words.word_keys(buf, starts, ends)
+    assert len(set(one.tolist())) == len(set(two.tolist())) == len(texts)
+    again = words.word_keys(np.concatenate([[32], buf]).astype(np.uint8), starts + 1, ends + 1)
+    assert (again[0] == one).all() and (again[1] == two).all()
+
+
+def test_a_chunk_does_not_grow_with_the_buckets():
+    import pyarrow as pa
+    import time
+
+    rng = np.random.default_rng(1)
+    text = " ".join(map(str, rng.integers(0, 1 << 40, 700_000)))
+    column, ids = pa.array([text]), np.array([7])
+    begin = time.time()
+    rows = list(substrings._hash_chunk(ids, column, 5 << 32, 13, 1024))  # the most ranges of a chunk, at any corpus size
+    assert len(rows) == 1024 and time.time() - begin < 6
+    begin = time.time()
+    wide = [r for b in substrings.refine(iter(pa.Table.from_pylist(rows[:8], substrings._arrow(substrings._ENTRIES))
+                                              .to_batches()), 1024, 1024 * 600) for r in b.to_pylist()]
+    assert time.time() - begin < 6
+    assert sum(len(r["hashes"]) for r in wide) == sum(len(r["hashes"]) for r in rows[:8])
+    assert {r["bucket"] // 600 for r in wide} == set(range(8))
+
+
 def test_empty_tables(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.keep_one_per_group(no_docs).count() == 0
