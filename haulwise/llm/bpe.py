@@ -54,8 +54,9 @@ def _added(docs: DataFrame, kind: T.DataType, name: str) -> tuple[DataFrame, T.S
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` and the column _ids (array of int)."""
+    """``docs`` and the column _ids (array of int), in place of an input column of this name."""
     prepare(docs.sparkSession)
+    docs = docs.drop("_ids")
     at = docs.columns.index(text_col)
     plain, schema = _added(docs, T.ArrayType(T.IntegerType()), "ids")
 
@@ -69,8 +70,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 
 
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids") -> DataFrame:
-    """``docs`` and the column _decoded (the raw bytes of the ids)."""
+    """``docs`` and the column _decoded (the raw bytes of the ids), in place of an input column of this name."""
     prepare(docs.sparkSession)
+    docs = docs.drop("_decoded")
     at = docs.columns.index(ids_col)
     plain, schema = _added(docs, T.BinaryType(), "decoded")
 
@@ -85,8 +87,9 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "_ids")
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
     """encode and decode in one pass over the rows: ``docs`` without ``text_col``,
-    and the columns _ids and _decoded (one Python worker a task instead of two)."""
+    and the columns _ids and _decoded, in place of input columns of these names (one Python worker a task instead of two)."""
     prepare(docs.sparkSession)
+    docs = docs.drop("_ids", "_decoded")
     rest = [c for c in docs.columns if c != text_col]
     plain = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`")).toDF(*[f"c{i}" for i in range(len(docs.columns))])
     schema = T.StructType([*plain.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())),

@@ -155,7 +155,9 @@ def _scan(text: pa.Array, prefixes: dict) -> Iterator[tuple[int, list[tuple[int,
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "item_id",
                   item_text: str = "text", text_col: str = "text", block_windows: int = 500_000) -> DataFrame:
-    """``docs`` and the columns _n_words, _hits (array of word spans), _items (ids as sorted strings)."""
+    """``docs`` and the columns _n_words, _hits (array of word spans), _items (ids as sorted strings), in place of
+    input columns of these names."""
+    docs = docs.drop("_n_words", "_hits", "_items")
     spark = docs.sparkSession
     prepare(spark)
     n, at = len(docs.columns), docs.columns.index(text_col)

@@ -167,7 +167,8 @@ def infer(text: pa.Array, log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def predict(docs: DataFrame, languages: list[str], log_p: np.ndarray, text_col: str = "text") -> DataFrame:
-    """``docs`` and the columns _lang_pred and _score."""
+    """``docs`` and the columns _lang_pred and _score, in place of input columns of these names."""
+    docs = docs.drop("_lang_pred", "_score")
     spark = docs.sparkSession
     prepare(spark)
     n, at = len(docs.columns), docs.columns.index(text_col)
@@ -213,8 +214,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang", t
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", label_col: str = "lang",
                     text_col: str = "text") -> DataFrame:
-    """``docs`` without those that are ``und``; texts that mix languages stay, however even the mixture."""
+    """``docs`` without those that are ``und``, and with the predicted language in ``label_col``, so that what follows
+    reads a language for every text, labelled or not; texts that mix languages stay, however even the mixture."""
     plain, name = renamed(docs)
     found = identify(plain, name[id_col], name[label_col], name[text_col])
-    kept = found.where(F.col("_lang_pred") != UNKNOWN)
+    kept = found.where(F.col("_lang_pred") != UNKNOWN).withColumn(name[label_col], F.col("_lang_pred"))
     return kept.select(*plain.columns).toDF(*docs.columns)

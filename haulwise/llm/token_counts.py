@@ -104,7 +104,8 @@ def counter(path: str) -> Counter:
 
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` and the column _n_tokens."""
+    """``docs`` and the column _n_tokens, in place of an input column of this name."""
+    docs = docs.drop("_n_tokens")
     prepare(docs.sparkSession)
     n, at = len(docs.columns), docs.columns.index(text_col)
     plain = docs.toDF(*[f"c{i}" for i in range(n)])

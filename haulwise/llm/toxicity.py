@@ -184,7 +184,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` and the column _score, the probability of label 1."""
+    """``docs`` and the column _score, the probability of label 1, in place of an input column of this name."""
+    docs = docs.drop("_score")
     spark = docs.sparkSession
     prepare(spark)
     at = docs.columns.index(text_col)

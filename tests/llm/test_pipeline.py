@@ -18,15 +18,18 @@ def test_pipeline_is_the_chain_of_brute_force_stages(spark):
     read = lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet")
     docs = read("documents")
     rows = [(r.doc_id, r.text) for r in language_id.keep_identified(docs).collect()]
-    assert len(rows) == docs.count()  # none of these has no language
+    assert [d for d, _ in rows] == [r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()]
+    predicted = {r.doc_id: r._lang_pred for r in language_id.identify(docs).collect()}
     rows = [(d, t) for (d, t), (_, c) in zip(rows, brute.components(rows)) if d == c]
     rows = [(d, kept) for (d, _), (_, _, kept) in zip(rows, brute.without_repeats(rows))]
     items = [(r.item_id, r.text) for r in read("benchmark").collect()]
     rows = [(d, t) for (d, t), (_, hit, _) in zip(rows, brute.contamination([t for _, t in rows], items)) if not hit]
     enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     want = {d: (enc.encode_ordinary(t), brute.sha(t)) for d, t in rows}
-    got = {r.doc_id: (r.ids, r.decoded_sha256) for r in corpus_pipeline.run(spark, SMALL).collect()}
+    result = corpus_pipeline.run(spark, SMALL).collect()
+    got = {r.doc_id: (r.ids, r.decoded_sha256) for r in result}
     assert got == want
+    assert all(r.lang == predicted[r.doc_id] for r in result)
     assert 0 < len(got) < docs.count()
 
 
@@ -38,6 +41,16 @@ def test_stages_take_clashing_columns(tricky, spark):
         assert kept.count() > 0
 
 
+def test_language_stage_rejects_and_relabels(spark):
+    docs = spark.createDataFrame(
+        [(1, "the cat sat on the mat", "en"), (2, "le chat est sur la table", "fr"), (3, "the dog sat on the mat", None),
+         (4, "12 345 !?", "en"), (5, None, "fr"), (6, "", "en"), (7, " \t\n", None)],
+        "doc_id long, text string, lang string").selectExpr("*", "'s' AS source", "0L AS n_chars")
+    kept = corpus_pipeline.language_filter(spark, docs, SMALL).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2, 3]
+    assert all(r.lang in ("en", "fr") for r in kept)
+
+
 def test_stages_take_no_rows(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, SMALL).count() == 0
@@ -46,7 +59,7 @@ def test_stages_take_no_rows(spark, no_docs):
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
