@@ -16,7 +16,8 @@ from haulwise.llm.store import materialize
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents for which a language is found stay, as they are; ``und`` goes (no text or no letter)."""
+    """Documents for which a language is found stay, with the predicted one as their ``lang``; ``und`` goes (no text or
+    no letter)."""
     return language_id.keep_identified(docs)
 
 
