@@ -1,39 +1,31 @@
-"""Surrogate keys: dense numbering in id order.
+"""Surrogate keys: dense numbering in id order, one way at every size.
 
-Up to ``LOCAL_MAX_ROWS`` rows (a proven bound) the numbering is one
-``row_number()`` window over a single partition. Beyond that the rows are
-range-partitioned and sorted on the id, tagged with partition and position,
-and written to the shared checkpoint folder so that every later use sees one
-numbering; per-partition counts (one row per partition) give each partition
-its offset. Key = start + offset + position.
+Rows are range-partitioned and sorted on the id, tagged with their partition
+and place in it, and written to the shared folder, so that every later use sees
+one numbering. The rows in the partitions before (one count per partition)
+give each partition its offset. Key = start + offset + place. No task ever
+holds more than its range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+import uuid
 
-from haulwise.operators.joins import bounded_rows, mark_bounded
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-LOCAL_MAX_ROWS = 1_000_000
+from haulwise.sources.stage import stage
 
 
-def number_rows(df: DataFrame, order_cols: list[str], key_col: str, start: int | Column = 1) -> DataFrame:
-    """Add ``key_col`` = start, start+1, ... following ``order_cols`` (unique)."""
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    if bounded_rows(df, LOCAL_MAX_ROWS):
-        w = Window.orderBy(*order_cols)
-        out = df.withColumn(key_col, (start_col + F.row_number().over(w) - 1).cast("long"))
-        return mark_bounded(out, LOCAL_MAX_ROWS)
-    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
-              .checkpoint(eager=True))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+def number_rows(df: DataFrame, order_cols: list[str], key_col: str, start: int = 1) -> DataFrame:
+    """Add ``key_col`` = start, start + 1, ... following ``order_cols`` (unique)."""
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) \
+        .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    written = stage(df.sparkSession, ranged, uuid.uuid4().hex[:12], "numbered")
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: the window and the broadcast are bounded by the
-    # partition count, not by the data
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(key_col, (start_col + F.col("_off") + pos).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+    # a row per partition: window and broadcast are bounded by the partition count
+    offsets = written.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return written.join(F.broadcast(offsets), "_pid") \
+        .withColumn(key_col, (F.lit(start) + F.col("_off") + place).cast("long")).drop("_pid", "_mid", "_off")

@@ -1,10 +1,13 @@
 """Composable data-quality rules.
 
-A rule is a name, a description and a ``Column`` factory that is TRUE for a
-violating row. A ``Validator`` runs an ordered rule list over a DataFrame:
-every row-level rule is counted in ONE aggregate pass (``count_if`` per
-rule); a uniqueness rule is a grouped count with map-side pre-aggregation;
-a referential rule is a left-anti join. The report is itself a DataFrame.
+A rule is a name, a description and one of: a ``Column`` factory that is TRUE
+for a violating row, a function over Arrow batches, or a DataFrame of violating
+rows. A ``Validator`` counts all ``Column`` rules in ONE aggregate pass and all
+batch rules in one Python pass; a uniqueness rule is a grouped count with
+map-side pre-aggregation, a referential rule a left-anti join. A rule that
+cannot run, or fails while running, gets count -1 and the message, and the
+others their counts: the pass is repeated over halves of the rules until the
+failing one stands alone. Only rules that failed are asked for sample rows.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from haulwise.contracts import EVENT_TYPES, ORDER_STATUSES, ROW_SEQ
 from haulwise.functions.numbers import to_number
@@ -36,6 +39,8 @@ class Rule:
     description: str
     # row rules: df -> Column (TRUE = violation)
     mask: Callable[[DataFrame], Column] | None = None
+    # batch rules: Arrow batch -> one boolean per row (TRUE = violation, null passes)
+    batch: Callable[[pa.RecordBatch], object] | None = None
     # set rules: df -> DataFrame with one row per violating row
     violations: Callable[[DataFrame], DataFrame] | None = None
     # set rules with a cheaper count: df -> one-row DataFrame (violation_count)
@@ -44,9 +49,37 @@ class Rule:
     def violation_rows(self, df: DataFrame) -> DataFrame:
         if self.mask is not None:
             return df.where(self.mask(df))
+        if self.batch is not None:
+            return df.mapInArrow(lambda batches: (b.filter(_flags(self, b)) for b in batches), df.schema)
         return self.violations(df)
 
 
+def _flags(rule: Rule, batch: pa.RecordBatch) -> pa.Array:
+    flags = rule.batch(batch)
+    return flags if isinstance(flags, (pa.Array, pa.ChunkedArray)) else pa.array(flags, pa.bool_())
+
+
+def _count_batches(rules: list[Rule]):
+    """Per task: violations of every rule, and the message of the first error of a rule that fails."""
+    def run(batches):
+        counts, errors = dict.fromkeys((r.name for r in rules), 0), {}
+        for batch in batches:
+            for r in rules:
+                try:
+                    counts[r.name] += _flags(r, batch).true_count
+                except Exception as e:  # noqa: BLE001 - whatever the caller's function raises
+                    errors.setdefault(r.name, _message(e))
+        yield pa.RecordBatch.from_pydict({"rule": list(counts), "n": list(counts.values()),
+                                          "message": [errors.get(r) for r in counts]},
+                                         pa.schema({"rule": pa.string(), "n": pa.int64(), "message": pa.string()}))
+    return run
+
+
+def _message(error: Exception) -> str:
+    text = str(error).strip() or type(error).__name__
+    return next((line for line in text.splitlines() if "USER_RAISED" in line or "error" in line.lower()), text.splitlines()[0])[:500]
+
+
 # ------------------------------------------------------------ rule factories
 def not_null(column: str) -> Callable[[DataFrame], Column]:
     return lambda df: F.col(column).isNull()
@@ -96,7 +129,7 @@ def count_repeated(column: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def referential_integrity(column: str, dim: DataFrame, dim_key: str) -> Callable[[DataFrame], DataFrame]:
-    """Non-NULL values with no matching dimension key violate."""
+    """Non-NULL values with no matching dimension key violate. Rows without a value stay out of the join."""
     def rows(df: DataFrame) -> DataFrame:
         keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull())
         return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_k"), "left_anti")
@@ -112,79 +145,75 @@ class Validator:
         self.rules.append(rule)
         return self
 
-    def _sound(self, df: DataFrame) -> tuple[list[Rule], dict[str, str]]:
-        """Rules that can be analysed over ``df``, and the messages of the others."""
-        good, broken = [], {}
+    def _count_masks(self, df: DataFrame, rules: list[Rule]) -> dict[str, tuple[int, str | None]]:
+        """Counts of row rules in one pass; a pass that fails is repeated over halves."""
+        if not rules:
+            return {}
+        try:
+            row = df.agg(*[F.count_if(F.coalesce(r.mask(df), F.lit(False))).alias(f"r{i}") for i, r in enumerate(rules)]).first()
+            return {r.name: (row[i], None) for i, r in enumerate(rules)}
+        except Exception as e:  # noqa: BLE001 - a rule may raise anything, here or in a task
+            if len(rules) == 1:
+                return {rules[0].name: (-1, _message(e))}
+            half = len(rules) // 2
+            return self._count_masks(df, rules[:half]) | self._count_masks(df, rules[half:])
+
+    def counts(self, df: DataFrame) -> dict[str, tuple[int, str | None]]:
+        """Violations of every rule, or -1 and the message of one that cannot run or fails while running."""
+        found = self._count_masks(df, [r for r in self.rules if r.mask is not None])
+        batch_rules = [r for r in self.rules if r.batch is not None]
+        if batch_rules:
+            parts = df.mapInArrow(_count_batches(batch_rules), "rule string, n long, message string")
+            for r in parts.groupBy("rule").agg(F.sum("n").alias("n"), F.min("message").alias("message")).collect():
+                found[r.rule] = (r.n, None) if r.message is None else (-1, r.message)
+            found = {r.name: (0, None) for r in batch_rules} | found  # no batch at all
         for r in self.rules:
-            try:
-                (df.select(r.mask(df)) if r.mask is not None else r.violations(df)).schema  # noqa: B018 - analysis only
-                good.append(r)
-            except AnalysisException as e:
-                broken[r.name] = str(e).splitlines()[0]
-        return good, broken
-
-    def counts(self, df: DataFrame) -> DataFrame:
-        """(rule, violation_count, message) for every rule, one row per rule; a
-        rule that cannot be analysed over ``df`` has count -1 and the message."""
-        parts = []
-        good, broken = self._sound(df)
-        row_rules = [r for r in good if r.mask is not None]
-        if row_rules:
-            agg = df.agg(*[F.count_if(F.coalesce(r.mask(df), F.lit(False))).alias(f"r{i}")
-                           for i, r in enumerate(row_rules)])
-            stack = ", ".join(f"'{r.name}', r{i}" for i, r in enumerate(row_rules))
-            parts.append(agg.selectExpr(f"stack({len(row_rules)}, {stack}) AS (rule, violation_count)"))
-        for r in good:
-            if r.mask is None:
-                n = r.count(df) if r.count else r.violations(df).agg(F.count(F.lit(1)).alias("violation_count"))
-                parts.append(n.select(F.lit(r.name).alias("rule"), "violation_count"))
-        parts = [p.withColumn("message", F.lit(None).cast("string")) for p in parts]
-        if broken:
-            parts.append(df.sparkSession.createDataFrame([(r, -1, m) for r, m in broken.items()],
-                                                         "rule string, violation_count long, message string"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+            if r.mask is None and r.batch is None:
+                try:
+                    n = r.count(df) if r.count else r.violations(df).agg(F.count(F.lit(1)))
+                    found[r.name] = (n.first()[0], None)
+                except Exception as e:  # noqa: BLE001
+                    found[r.name] = (-1, _message(e))
+        return found
+
+    def _report(self, df: DataFrame, dataset: str, counts: dict, details: dict) -> DataFrame:
+        rows = [(dataset, r.name, r.description, counts[r.name][0] == 0, counts[r.name][0], i,
+                 details.get(r.name, counts[r.name][1])) for i, r in enumerate(self.rules)]
+        return df.sparkSession.createDataFrame(rows, f"{REPORT_SCHEMA}, rule_order int, message string")
 
     def report(self, df: DataFrame, dataset: str) -> DataFrame:
-        """dataset, rule, description, passed, violation_count (rule order kept).
-
-        Descriptions and order come from literal maps over the rule name, so
-        the report needs no join.
-        """
-        desc = F.create_map(*[x for r in self.rules for x in (F.lit(r.name), F.lit(r.description))])
-        order = F.create_map(*[x for i, r in enumerate(self.rules) for x in (F.lit(r.name), F.lit(i))])
-        return self.counts(df).select(
-            F.lit(dataset).alias("dataset"), "rule", desc[F.col("rule")].alias("description"),
-            (F.col("violation_count") == 0).alias("passed"),
-            F.col("violation_count").cast("long").alias("violation_count"),
-            order[F.col("rule")].alias("rule_order"), "message")
-
-    def first_violators(self, df: DataFrame, n: int = SAMPLES, order_col: str = ROW_SEQ) -> DataFrame:
-        """(rule, details): the places of the first ``n`` violating rows of every
-        rule that has any, in landing order. Row rules share one pass; a task
-        passes on at most ``n`` rows a rule."""
-        good, _ = self._sound(df)
-        broken_by = F.filter(F.array(*[F.when(r.mask(df), F.lit(r.name)) for r in good if r.mask is not None] or
-                                     [F.lit(None).cast("string")]), lambda x: x.isNotNull())
-        rows = df.select(order_col, F.explode(broken_by).alias("rule"))
-        for r in good:
+        """dataset, rule, description, passed, violation_count (rule order kept), message of a rule that could not run."""
+        return self._report(df, dataset, self.counts(df), {})
+
+    def first_violators(self, df: DataFrame, names: set[str], n: int = SAMPLES, order_col: str = ROW_SEQ) -> dict[str, str]:
+        """The first ``n`` violating rows (in landing order) of the named rules, as text. Row rules share one pass; a
+        task passes on at most ``n`` rows a rule."""
+        rules = [r for r in self.rules if r.name in names]
+        if not rules:
+            return {}
+        shown = [c for c in df.columns if not c.startswith("_")]
+        text = F.concat(F.lit("{"), F.concat_ws(", ", *[
+            F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in shown]), F.lit("}"))
+        masks = F.filter(F.array(F.lit(None).cast("string"), *[F.when(r.mask(df), F.lit(r.name)) for r in rules if r.mask is not None]),
+                         lambda x: x.isNotNull())
+        rows = df.withColumn("rule", F.explode(masks)).select("rule", order_col, text.alias("row"))
+        for r in rules:
             if r.mask is None:
-                rows = rows.unionByName(r.violations(df).select(order_col, F.lit(r.name).alias("rule")))
-        first = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("rule").orderBy(order_col))) \
-            .where(F.col("_rank") <= n)
-        places = F.sort_array(F.collect_list(F.struct("_rank", F.col(order_col).cast("string").alias("place"))))
-        return first.groupBy("rule").agg(
-            F.concat(F.lit("rows "), F.array_join(places["place"], ", ")).alias("details"))
+                rows = rows.unionByName(r.violation_rows(df).select(F.lit(r.name).alias("rule"), order_col, text.alias("row")))
+        first = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("rule").orderBy(order_col))).where(F.col("_rank") <= n)
+        out: dict[str, list[str]] = {}
+        for r in first.orderBy("rule", "_rank").collect():  # at most n rows a rule
+            out.setdefault(r.rule, []).append(r.row)
+        return {rule: "Sample violations: " + ", ".join(x) for rule, x in out.items()}
 
     def full_report(self, df: DataFrame, dataset: str, checked_at: dt.datetime, order_col: str = ROW_SEQ) -> DataFrame:
-        """The report with ``details`` (first violators, or why a rule could not
-        run) and ``checked_at``."""
-        found = self.report(df, dataset).join(F.broadcast(self.first_violators(df, order_col=order_col)), "rule", "left")
-        return found.select("dataset", "rule", "description", "passed", "violation_count",
-                            F.coalesce("message", "details").alias("details"),
-                            F.lit(checked_at.isoformat()).alias("checked_at"), "rule_order")
+        """The report with ``details`` (sample rows, or why a rule could not run) and ``checked_at``."""
+        counts = self.counts(df)
+        details = self.first_violators(df, {r for r, (n, _) in counts.items() if n > 0}, order_col=order_col)
+        details |= {r: f"Check failed with error: {m}" for r, (_, m) in counts.items() if m is not None}
+        return self._report(df, dataset, counts, details).select(
+            "dataset", "rule", "description", "passed", "violation_count", F.col("message").alias("details"),
+            F.lit(checked_at.isoformat()).alias("checked_at"), "rule_order")
 
     def samples(self, df: DataFrame, rule_name: str, n: int = 5, order_col: str = ROW_SEQ) -> DataFrame:
         """First ``n`` violating rows of one rule (in landing order)."""

@@ -1,8 +1,8 @@
 """Star schema: dimensions, calendar, keyed upserts, fact rows, watermark.
 
-Every table is a DataFrame; a load step is ``upsert(target, source, ...)``
-which returns the next version of the target (a full outer join on the
-natural key). Writing versions is the job of ``sources.warehouse``.
+Every table is a DataFrame. ``upsert(target, source, ...)`` returns the next
+content of a target as a DataFrame; ``upsert_table`` does the same to a written
+warehouse table and touches only the folders that hold changed rows.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import FACT_TABLE, INITIAL_WATERMARK, PARTNER_TYPE, WAREHOUSE_REGIONS
 from haulwise.functions.numbers import NUMERIC_TEXT
-from haulwise.operators.joins import known_bound, lookup_join, mark_bounded
+from haulwise.operators.joins import lookup_join, only_possible
 from haulwise.operators.keys import number_rows
+from haulwise.sources.stage import new_run_id, stage
+from haulwise.sources.warehouse import PLACE, WarehouseStore
 
 # ---------------------------------------------------------------- schemas
 DIM_WAREHOUSE = "warehouse_key long, warehouse_id string, warehouse_name string, region string, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -29,7 +31,7 @@ ETL_METADATA = "table_name string, last_watermark string, updated_at timestamp_n
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return mark_bounded(spark.createDataFrame([], schema), 0)
+    return spark.createDataFrame([], schema)
 
 
 def _suffix_number(id_col: str) -> Column:
@@ -38,52 +40,45 @@ def _suffix_number(id_col: str) -> Column:
 
 
 # ------------------------------------------------------------ dim members
-def _bounded_by(out: DataFrame, *inputs: DataFrame) -> DataFrame:
-    """``out`` has at most as many rows as its inputs together (filters,
-    distinct, unions, lookups on unique keys): carry a known bound over."""
-    bounds = [known_bound(d) for d in inputs]
-    return mark_bounded(out, sum(bounds)) if all(b is not None for b in bounds) else out
-
-
 def warehouse_members(orders: DataFrame | None, inventory: DataFrame | None) -> DataFrame:
     """Distinct warehouse ids of orders if present, else of inventory."""
     src = orders if orders is not None else inventory
-    return _bounded_by(src.select("warehouse_id").where(F.col("warehouse_id").isNotNull()).distinct(), src)
+    return src.select("warehouse_id").where(F.col("warehouse_id").isNotNull()).distinct()
 
 
 def partner_members(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    return _bounded_by(orders.select("partner_id").union(payments.select("partner_id"))
-                       .where(F.col("partner_id").isNotNull()).distinct(), orders, payments)
+    return orders.select("partner_id").union(payments.select("partner_id")) \
+        .where(F.col("partner_id").isNotNull()).distinct()
 
 
 def route_members(orders: DataFrame) -> DataFrame:
-    return _bounded_by(orders.select("route_id").where(F.col("route_id").isNotNull()).distinct(), orders)
+    return orders.select("route_id").where(F.col("route_id").isNotNull()).distinct()
 
 
 # --------------------------------------------------------- dim attributes
 def warehouse_attributes(members: DataFrame) -> DataFrame:
     n = _suffix_number("warehouse_id")
     regions = F.array(*[F.lit(r) for r in WAREHOUSE_REGIONS])
-    return _bounded_by(members.withColumns({
+    return members.withColumns({
         "warehouse_name": F.concat(F.lit("Warehouse "), F.split_part(F.col("warehouse_id"), F.lit("_"), F.lit(2))),
         "region": F.element_at(regions, (F.pmod(n, F.lit(len(WAREHOUSE_REGIONS))) + 1).cast("int")),
-    }), members)
+    })
 
 
 def partner_attributes(members: DataFrame) -> DataFrame:
-    return _bounded_by(members.withColumns({
+    return members.withColumns({
         "partner_name": F.concat(F.lit("Partner "), F.split_part(F.col("partner_id"), F.lit("_"), F.lit(2))),
         "partner_type": F.lit(PARTNER_TYPE),
-    }), members)
+    })
 
 
 def route_attributes(members: DataFrame) -> DataFrame:
     n = _suffix_number("route_id")
-    return _bounded_by(members.withColumns({
+    return members.withColumns({
         "origin": F.concat(F.lit("City_"), F.pmod(n, F.lit(10)).cast("string")),
         "destination": F.concat(F.lit("City_"), F.pmod(n + 5, F.lit(10)).cast("string")),
         "distance_km": (F.lit(100) + F.pmod(n * 10, F.lit(500))).cast("int"),
-    }), members)
+    })
 
 
 # ------------------------------------------------------------------ upsert
@@ -114,12 +109,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, key_col: str | None,
             return F.when(F.col("_s_hit"), stamp).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    if known_bound(target) == 0:
-        # first load into an empty table: everything is new
-        old, fresh = target, source
-    else:
-        old = target.join(s, on=key, how="left").select(*[keep(c) for c in cols])
-        fresh = source.join(target.select(key), on=key, how="left_anti")
+    old = target.join(s, on=key, how="left").select(*[keep(c) for c in cols])
+    fresh = source.join(target.select(key), on=key, how="left_anti")
     fill = {c: stamp for c in ts_cols if c in cols}
     fill.update({c: F.lit(None).cast(target.schema[c].dataType)
                  for c in cols if c not in source.columns and c not in fill and c != key_col})
@@ -127,11 +118,53 @@ def upsert(target: DataFrame, source: DataFrame, key: str, key_col: str | None,
     if key_col is not None:
         base = base_key if base_key is not None else (target.agg(F.max(key_col)).first()[0] or 0)
         fresh = number_rows(fresh, [key_order or key], key_col, start=int(base) + 1)
-    out = old.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType) for c in cols]))
-    tb, fb = known_bound(target), known_bound(fresh)
-    if tb is not None and fb is not None:
-        mark_bounded(out, tb + fb)
-    return out
+    return old.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType) for c in cols]))
+
+
+def upsert_table(store: WarehouseStore, table: str, schema: str, source: DataFrame, key: str, key_col: str | None,
+                 update_cols: list[str], as_of: dt.datetime, batch: str,
+                 ts_cols: tuple[str, ...] = ("created_at", "updated_at")) -> list[str]:
+    """``upsert`` into a written table. Returns the batches that hold rows of ``source`` (the new ones among them).
+
+    The target's keys and update columns meet the source's keys: other buckets are not read, and rows whose key is
+    not in the source's bitmap are not shuffled. Rows that differ are rewritten with their (batch, bucket) folders, new
+    ones are appended, with keys after the greatest (``key_col`` None: without). A table without ``updated_at`` is
+    rewritten only where a value changes.
+    """
+    spark = store.spark
+    fields = empty(spark, schema).schema
+    stamp = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    upd = [c for c in update_cols if c in source.columns]
+    run = new_run_id()
+    rows = stage(spark, source.withColumn("_bucket", store.bucket(table, key)), run, f"{table}_source")
+    target = store.placed(table)
+    fresh, base, batches = rows, 0, set()
+    if target is not None:
+        if key_col is not None:  # before any file of the target is replaced
+            base = target.agg(F.max(key_col)).first()[0] or 0
+        touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most store.buckets
+        there = target.where(F.col("_bucket").isin(touched)).select(key, "_batch", *[F.col(c).alias(f"_t_{c}") for c in upd])
+        there = only_possible(there, rows, key)
+        met = stage(spark, rows.join(there, key, "left"), run, f"{table}_met")
+        fresh = met.where(F.col("_batch").isNull())
+        differs = F.lit("updated_at" in ts_cols)
+        for c in upd:
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+        changed = met.where(F.col("_batch").isNotNull() & differs)
+        batches = {r[0] for r in met.where(F.col("_batch").isNotNull()).select("_batch").distinct().collect()}
+        folders = changed.select(*PLACE).distinct()
+        if pairs := [(r[0], r[1]) for r in folders.collect()]:  # batches times buckets at most
+            where = F.struct(*PLACE).isin([F.struct(F.lit(b), F.lit(n)) for b, n in pairs])
+            new = changed.select(key, *[F.col(c).alias(f"_s_{c}") for c in upd], F.lit(True).alias("_s_hit"))
+            joined = target.where(where).join(new, key, "left")
+            put = {c: F.when(F.col("_s_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)) for c in upd}
+            if "updated_at" in ts_cols:
+                put["updated_at"] = F.when(F.col("_s_hit"), stamp).otherwise(F.col("updated_at"))
+            store.replace(table, joined.withColumns(put).select(*target.columns))
+    numbered = fresh if key_col is None else number_rows(fresh, [key], key_col, start=int(base) + 1)
+    fill = {f.name: stamp if f.name in ts_cols else F.lit(None) for f in fields if f.name not in numbered.columns}
+    store.append(table, numbered.withColumns(fill).select(*[F.col(f.name).cast(f.dataType) for f in fields]), key, batch)
+    return sorted(batches | {batch})
 
 
 def load_dim_warehouse(target: DataFrame, members: DataFrame, as_of: dt.datetime,
@@ -156,13 +189,13 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     d0 = dt.date.fromisoformat(start)
     n = (dt.date.fromisoformat(end) - d0).days + 1
     day = F.date_add(F.lit(d0), F.col("id").cast("int"))
-    return mark_bounded(spark.range(max(n, 0)).select(day.alias("full_date"))
+    return (spark.range(max(n, 0)).select(day.alias("full_date"))
             .select(F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_key"),
                     "full_date",
                     F.year("full_date").alias("year"), F.quarter("full_date").alias("quarter"),
                     F.month("full_date").alias("month"), F.dayofmonth("full_date").alias("day"),
                     F.weekday("full_date").alias("day_of_week"),
-                    (F.weekday("full_date") >= 5).alias("is_weekend")), max(n, 0))
+                    (F.weekday("full_date") >= 5).alias("is_weekend")))
 
 
 def calendar_range(as_of: dt.datetime, back_days: int = 730, ahead_days: int = 365) -> tuple[str, str]:
@@ -172,9 +205,7 @@ def calendar_range(as_of: dt.datetime, back_days: int = 730, ahead_days: int = 3
 
 def load_dim_date(target: DataFrame, days: DataFrame) -> DataFrame:
     """Insert-if-absent: existing dates are never touched."""
-    out = target.unionByName(days.join(target.select("date_key"), "date_key", "left_anti"))
-    tb, db = known_bound(target), known_bound(days)
-    return mark_bounded(out, tb + db) if tb is not None and db is not None else out
+    return target.unionByName(days.join(target.select("date_key"), "date_key", "left_anti"))
 
 
 # --------------------------------------------------------------- watermark
@@ -198,7 +229,7 @@ def incremental_slice(orders: DataFrame, watermark: str | None, lookback_days: i
     bound = F.lit(watermark)
     if lookback_days:
         bound = F.date_format(F.date_sub(F.lit(watermark).cast("date"), lookback_days), "yyyy-MM-dd")
-    return _bounded_by(orders.where(F.col("order_date") > bound), orders)
+    return orders.where(F.col("order_date") > bound)
 
 
 def slice_max_date(slice_df: DataFrame) -> DataFrame:
@@ -221,22 +252,23 @@ def date_key(iso_text) -> Column:
     return F.date_format(c.try_cast("date"), "yyyyMMdd").cast("int")
 
 
-def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: DataFrame) -> DataFrame:
+def fact_rows(slice_df: DataFrame, dim_w: DataFrame | None = None, dim_p: DataFrame | None = None,
+              dim_r: DataFrame | None = None) -> DataFrame:
     """Orders slice -> fact columns (no delivery_key / created_at yet).
 
-    Surrogate keys come from three left lookups (unmatched -> NULL key); each
-    dimension is broadcast only when its row count is proven small.
+    Surrogate keys come from left lookups (unmatched -> NULL key), which never add rows as dimensions are unique on their
+    ids; the key of a dimension that is not given is left out.
     """
-    src = slice_df
     o = slice_df.select("order_id", "warehouse_id", "partner_id", "route_id", "order_date",
                         "promised_delivery_date", "actual_delivery_date", "order_value_usd",
                         "is_on_time", "days_late")
-    o = lookup_join(o, dim_w, "warehouse_id", cols=["warehouse_id", "warehouse_key"])
-    o = lookup_join(o, dim_p, "partner_id", cols=["partner_id", "partner_key"])
-    o = lookup_join(o, dim_r, "route_id", cols=["route_id", "route_key"])
-    # dimensions are unique on their ids: the lookups never add rows
-    return _bounded_by(o.select(
-        "order_id", "warehouse_key", "partner_key", "route_key",
+    keys = []
+    for dim, name in ((dim_w, "warehouse"), (dim_p, "partner"), (dim_r, "route")):
+        if dim is not None:
+            o = lookup_join(o, dim, f"{name}_id", cols=[f"{name}_id", f"{name}_key"])
+            keys.append(f"{name}_key")
+    return o.select(
+        "order_id", *keys,
         date_key("order_date").alias("order_date_key"),
         date_key("promised_delivery_date").alias("promised_date_key"),
         date_key("actual_delivery_date").alias("actual_date_key"),
@@ -244,7 +276,7 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: Da
         "is_on_time",
         F.col("days_late").cast("int").alias("days_late"),
         (F.col("days_late") * 24).try_cast("decimal(10,2)").alias("delivery_duration_hours"),
-    ), src)
+    )
 
 
 FACT_UPDATE_COLS = ["is_on_time", "days_late", "delivery_duration_hours"]
@@ -258,23 +290,16 @@ def load_fact(target: DataFrame, rows: DataFrame, as_of: dt.datetime, base_key:
 
 def fk_violations(fact: DataFrame, dim_w: DataFrame, dim_p: DataFrame, dim_r: DataFrame,
                   dim_d: DataFrame) -> DataFrame:
-    """Fact rows whose non-NULL foreign key has no dimension row.
+    """Fact rows whose non-NULL foreign key has no dimension row, found in one pass over the fact.
 
     One output row per (order_id, fk column) violation.
     """
-    checks = [("warehouse_key", dim_w, "warehouse_key"), ("partner_key", dim_p, "partner_key"),
-              ("route_key", dim_r, "route_key"), ("order_date_key", dim_d, "date_key"),
-              ("promised_date_key", dim_d, "date_key"), ("actual_date_key", dim_d, "date_key")]
-    parts = []
-    for col, dim, dkey in checks:
-        keys = dim.select(F.col(dkey).alias(col))
-        bad = fact.where(F.col(col).isNotNull()).select("order_id", col).join(keys, col, "left_anti")
-        parts.append(bad.select("order_id", F.lit(col).alias("fk_column"),
-                                F.col(col).cast("long").alias("fk_value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    dims = {"warehouse_key": (dim_w, "warehouse_key"), "partner_key": (dim_p, "partner_key"), "route_key": (dim_r, "route_key"),
+            **{c: (dim_d, "date_key") for c in DATE_KEYS}}
+    bad = with_missing_keys(fact.select("order_id", *dims), dims).where(F.size("_fk_columns") > 0)
+    value = F.create_map(*[x for c in dims for x in (F.lit(c), F.col(c).cast("long"))])
+    return bad.select("order_id", F.explode("_fk_columns").alias("fk_column"), value.alias("_value")) \
+        .select("order_id", "fk_column", F.col("_value")[F.col("fk_column")].alias("fk_value"))
 
 
 def split_by_amount(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -284,27 +309,29 @@ def split_by_amount(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     over = F.col("order_value").rlike(NUMERIC_TEXT) & F.col("order_value_usd").try_cast("decimal(12,2)").isNull()
     over = F.coalesce(over, F.lit(False))
-    return _bounded_by(orders.where(~over), orders), orders.where(over)
+    return orders.where(~over), orders.where(over)
 
 
 #: Keys of the fact that refer to the calendar.
 DATE_KEYS = ("order_date_key", "promised_date_key", "actual_date_key")
 
 
-def split_by_foreign_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose non-NULL keys all exist, the others with ``_fk_columns``).
+def with_missing_keys(rows: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``rows`` and ``_fk_columns``: the foreign keys that are not NULL and that their dimension lacks.
 
     ``dims`` maps a foreign-key column to the (table, key) it refers to. One pass: a flag per key from a lookup, no row
     is read twice.
     """
     out = rows
     for col, (dim, key) in dims.items():
-        known = dim.select(F.col(key).alias(col)).withColumn(f"_has_{col}", F.lit(True))
-        if known_bound(dim) is not None:
-            mark_bounded(known, known_bound(dim))
-        out = lookup_join(out, known, col)
+        out = lookup_join(out, dim.select(F.col(key).alias(col)).withColumn(f"_has_{col}", F.lit(True)), col)
     bad = F.filter(F.array(*[F.when(F.col(c).isNotNull() & F.col(f"_has_{c}").isNull(), F.lit(c)) for c in dims]),
                    lambda c: c.isNotNull())
-    flagged = out.withColumn("_fk_columns", bad).select(*rows.columns, "_fk_columns")
+    return out.withColumn("_fk_columns", bad).select(*rows.columns, "_fk_columns")
+
+
+def split_by_foreign_keys(rows: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose non-NULL keys all exist, the others with ``_fk_columns``)."""
+    flagged = with_missing_keys(rows, dims)
     good = flagged.where(F.size("_fk_columns") == 0).drop("_fk_columns")
     return good, flagged.where(F.size("_fk_columns") > 0)

@@ -92,6 +92,35 @@ def duplicate_members(df: DataFrame, key: str) -> DataFrame:
     return df.join(dup_keys, on=key, how="left_semi")
 
 
+#: Where a row of a feed goes: a NULL in a required column; the only row of its key; the first or a later row of a
+#: key that occurs again.
+NULL, SINGLE, FIRST, COPY = "null", "single", "first", "copy"
+
+
+def routed(df: DataFrame, contract: SourceContract, order_col: str = ROW_SEQ) -> DataFrame:
+    """Every row once, with ``_route``, ready for one partitioned write.
+
+    Keys that occur again are counted map-side (a key with a billion rows costs a row per task) with the place of their
+    first row; only they are joined back, so with few of them nothing else is shuffled, and AQE splits a skewed one.
+    """
+    bad = null_mask(contract)
+    if not contract.unique_key:
+        return df.withColumn("_route", F.when(bad, NULL).otherwise(SINGLE))
+    key = contract.unique_key
+    again = (df.where(~bad).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
+             .where(F.col("_n") > 1).select(key, "_first"))
+    found = df.join(again, key, "left")
+    route = (F.when(bad, NULL).when(F.col("_first").isNull(), SINGLE)
+             .when(F.col(order_col) == F.col("_first"), FIRST).otherwise(COPY))
+    return found.withColumn("_route", route).select(*df.columns, "_route")
+
+
+def routes(tagged: DataFrame) -> dict[str, DataFrame]:
+    """Views of a written ``routed`` table: valid (the first row of each key), invalid, duplicates (all rows of repeated keys)."""
+    pick = lambda *names: tagged.where(F.col("_route").isin(*names)).drop("_route")
+    return {"valid": pick(SINGLE, FIRST), "invalid": pick(NULL), "duplicates": pick(FIRST, COPY)}
+
+
 def validate_source(df: DataFrame, source: str) -> dict:
     """Full validation of one feed.
 

@@ -16,15 +16,20 @@ from haulwise.contracts import CONTRACTS, INITIAL_WATERMARK
 from haulwise.operators import star
 from haulwise.operators.standardize import transform_source
 from haulwise.operators.validation import validate_source
+from haulwise.plans.load import load_calendar, load_dimensions, load_fact
+from haulwise.session import scratch_path
 from haulwise.sources.feeds import derive_feed
 from haulwise.sources.lineage import with_lineage
 from haulwise.sources.stage import new_run_id, stage
+from haulwise.sources.warehouse import WarehouseStore
 
 # fixed job parameters used by the registered queries
 DS = "2001-08-02"
 AS_OF = dt.datetime(2001, 8, 2, 0, 0, 0)
 AS_OF_2 = dt.datetime(2001, 9, 2, 0, 0, 0)
 CALENDAR = ("1994-01-01", "2002-12-31")
+#: Wide enough that no date of the feeds dangles.
+LOAD_CALENDAR = ("1970-01-01", "2030-12-31")
 BATCH1_LAST_DATE = "2000-06-30"
 SOURCES = ("orders", "warehouse_inventory", "delivery_events", "partner_payments")
 
@@ -104,12 +109,12 @@ class Batch:
 
     # ------------------------------------------------------------ load
     def _table(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a (small) warehouse table once; later plans scan it."""
-        return stage(self.spark, df, self.run_id, name)  # its bound is the exact row count
+        """Write a warehouse table once; later plans scan it."""
+        return stage(self.spark, df, self.run_id, name)
 
     def _members(self, name: str, df: DataFrame) -> DataFrame:
-        """Distinct natural ids, written once: numbering them needs a size
-        check and a pass, and neither should recompute the feed."""
+        """Distinct natural ids, written once: numbering them samples and sorts
+        them, and neither should recompute the feed."""
         return stage(self.spark, df, self.run_id, f"{name}_members")
 
     @cached_property
@@ -164,10 +169,9 @@ class Batch:
     def fact(self) -> DataFrame:
         return star.load_fact(star.empty(self.spark, star.FACT), self.fact_rows, self.as_of, base_key=0)
 
-    @cached_property
-    def mart_fact(self) -> DataFrame:
-        """The rows of a first load without delivery_key, which no mart reads."""
-        return self.fact_rows
+    def mart_fact(self, *names: str) -> DataFrame:
+        """The rows of a first load without delivery_key, which no mart reads, with the keys of the named dimensions."""
+        return star.fact_rows(self.fact_slice, **{f"dim_{n[0]}": getattr(self, f"dim_{n}") for n in names})
 
     @cached_property
     def payments_clean(self) -> DataFrame:
@@ -200,38 +204,27 @@ class TwoBatchLoad:
         ids = self.b.valid("partner_payments").select("partner_id").where(F.col("partner_id").isNotNull()).distinct()
         return stage(self.spark, ids, self.b.run_id, "payment_partners")
 
-    def _load(self, orders: DataFrame, prev: dict | None, as_of: dt.datetime, tag: str) -> dict[str, DataFrame]:
-        """One load: dims from the full batch, fact from the slice after the
-        watermark, state advanced after the fact. Tables of the previous
-        load are read from where they were written."""
-        b, sp = self.b, self.spark
-        members = {
-            "w": star.warehouse_members(orders, None),
-            "p": b._members(f"partner{tag}", star.partner_members(orders, self._payment_partners)),
-            "r": star.route_members(orders),
-        }
-        if prev is None:
-            targets = {"dim_warehouse": star.empty(sp, star.DIM_WAREHOUSE), "dim_partner": star.empty(sp, star.DIM_PARTNER),
-                       "dim_route": star.empty(sp, star.DIM_ROUTE), "fact": star.empty(sp, star.FACT)}
-            state, base = star.initial_state(sp, as_of), 0
-        else:
-            targets, state, base = prev, prev["state"], None
-        dim_w = b._table(f"dim_warehouse{tag}", star.load_dim_warehouse(targets["dim_warehouse"], members["w"], as_of, base))
-        dim_p = b._table(f"dim_partner{tag}", star.load_dim_partner(targets["dim_partner"], members["p"], as_of, base))
-        dim_r = b._table(f"dim_route{tag}", star.load_dim_route(targets["dim_route"], members["r"], as_of, base))
-        sl = star.incremental_slice(orders, INITIAL_WATERMARK if prev is None else star.read_watermark(state))
-        fact = star.load_fact(targets["fact"], star.fact_rows(sl, dim_w, dim_p, dim_r), as_of, base)
-        mark = sl.agg(F.max("order_date")).first()[0]
-        state = star.advance_watermark(state, mark, as_of)
-        return {"dim_warehouse": dim_w, "dim_partner": dim_p, "dim_route": dim_r,
-                "fact": fact, "state": state, "slice": sl}
+    @cached_property
+    def store(self) -> WarehouseStore:
+        return WarehouseStore(self.spark, scratch_path(self.spark, "warehouse", self.b.run_id))
+
+    def _load(self, orders: DataFrame, as_of: dt.datetime, ds: str) -> dict[str, DataFrame]:
+        """One load into the written warehouse: dimensions from the full batch, the fact from the slice after the
+        watermark. Tables are read where the load left them."""
+        members = {"dim_warehouse": star.warehouse_members(orders, None),
+                   "dim_partner": star.partner_members(orders, self._payment_partners),
+                   "dim_route": star.route_members(orders)}
+        dims = load_dimensions(self.store, members, as_of, ds)
+        dims["dim_date"] = load_calendar(self.store, *LOAD_CALENDAR, ds)
+        found = load_fact(self.store, orders, dims, as_of, ds)
+        return {**{t: stage(self.spark, df, self.b.run_id, f"{t}_{ds}") for t, df in found.tables.items() if t != "dim_date"},
+                "slice": found.taken}
 
     @cached_property
     def load1(self) -> dict[str, DataFrame]:
-        out = self._load(self.orders1, None, self.b.as_of, "1")
-        out["fact"] = stage(self.spark, out["fact"], self.b.run_id, "fact1")
-        return out
+        return self._load(self.orders1, self.b.as_of, "2001-08-02")
 
     @cached_property
     def load2(self) -> dict[str, DataFrame]:
-        return self._load(self.orders2, self.load1, AS_OF_2, "2")
+        self.load1  # noqa: B018 - the second load comes on top of the first
+        return self._load(self.orders2, AS_OF_2, "2001-09-02")

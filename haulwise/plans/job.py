@@ -1,27 +1,27 @@
 """The daily batch job: extract -> validate -> standardize -> load -> quality.
 
 ``run_batch`` is the Spark re-expression of the reference's task chain. Each
-stage ends in a written table (stage Parquet, warehouse snapshot), so a lost
-executor only recomputes from the last written table, and a rerun of the
-same ``ds`` overwrites its own partitions instead of appending duplicates.
-Wall-clock values are job arguments (``as_of``), never read inside plans.
+stage ends in a written table, so a lost executor only recomputes from the last
+one, and a rerun of the same ``ds`` replaces its own partitions instead of
+adding to them. Wall-clock values are job arguments (``as_of``), never read
+inside plans.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from haulwise.contracts import CONTRACTS, FACT_TABLE
 from haulwise.operators import quality as dq
 from haulwise.operators import star
+from haulwise.operators import validation as val
 from haulwise.operators.standardize import transform_source
-from haulwise.operators.validation import null_mask, null_reason_text, validate_source, with_null_reasons
+from haulwise.plans import load
 from haulwise.sources import landing, sinks
 from haulwise.sources.lineage import with_lineage
 from haulwise.sources.warehouse import WarehouseStore
@@ -43,6 +43,25 @@ def _stage(df: DataFrame, root: str, stage: str, source: str, ds: str) -> DataFr
     return landing.write_date(df, f"{root}/stage/{stage}/{source}", ds)
 
 
+def _validate(raw: DataFrame, source: str, root: str, ds: str, as_of: dt.datetime) -> tuple[DataFrame | None, dict[str, int]]:
+    """Route the feed's rows, fill its sinks; (valid rows, counts of what was written)."""
+    contract = CONTRACTS[source]
+    if val.missing_columns(raw, contract):
+        whole = sinks.quarantine(val.validate_source(raw, source)["invalid"], root, source, None, as_of, ds)
+        n = whole.count()
+        return None, {"original": n, "quarantined": n, "kept": 0}
+    tagged = landing.write_date(val.routed(raw, contract), f"{root}/stage/routed/{source}", ds, by=("_route",))
+    found = val.routes(tagged)
+    invalid = found["invalid"]
+    reason = val.null_reason_text(val.batch_null_columns(invalid, contract))
+    sinks.quarantine(val.with_null_reasons(invalid, contract, reason).drop("_null_columns"), root, source, None, as_of, ds)
+    if contract.unique_key:
+        sinks.duplicate_report(found["duplicates"], root, source, ds)
+    n = {r["_route"]: r["count"] for r in tagged.groupBy("_route").count().collect()}
+    return found["valid"], {"original": sum(n.values()), "quarantined": n.get(val.NULL, 0),
+                            "kept": n.get(val.SINGLE, 0) + n.get(val.FIRST, 0)}
+
+
 def extract_sources(spark: SparkSession, landing_dir: str, root: str, ds: str, as_of: dt.datetime,
                     multiline: dict[str, bool] | None = None) -> dict[str, DataFrame]:
     """Scan every landed feed that exists; a missing file is skipped, any other
@@ -65,17 +84,18 @@ def extract_sources(spark: SparkSession, landing_dir: str, root: str, ds: str, a
 
 
 def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: str, as_of: dt.datetime,
-              calendar: tuple[str, str] | None = None, lookback_days: int = 0,
-              fail_on_error: bool = False) -> BatchResult:
+              calendar: tuple[str, str] | None = None, lookback_days: int = 0, late_rows: bool = False,
+              fail_on_error: bool = False, buckets: dict[str, int] | None = None) -> BatchResult:
     """Run one batch over already-scanned feeds (all-string + ``_row_seq``).
 
-    ``fail_on_error`` raises QualityError after the report is written if a rule failed.
+    ``lookback_days`` and ``late_rows``: see ``load.load_fact``. ``buckets``: see ``WarehouseStore``. ``fail_on_error``
+    raises QualityError after the report is written if a rule failed.
     """
     if not feeds:
         raise ValueError("no input feeds")
     root = root.rstrip("/")
     res = BatchResult()
-    store = WarehouseStore(spark, root)
+    store = WarehouseStore(spark, root, buckets)
 
     # ---- validate + standardize
     for source in SOURCE_ORDER:
@@ -86,94 +106,24 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
             raw = with_lineage(raw, CONTRACTS[source].file_name, ds, as_of)
         else:  # the run's date owns its partitions
             raw = raw.withColumn("_execution_date", F.lit(ds))
-        contract = CONTRACTS[source]
-        missing = [c for c in contract.required if c not in raw.columns]
-        if missing:
-            v = validate_source(raw, source)
-            sinks.quarantine(v["invalid"], root, source, None, as_of, ds)
-            n = raw.count()
-            res.counts[source] = {"original": n, "quarantined": n, "kept": 0}
-            continue
-        # batch counts and the null-column flags are observed while the
-        # validated stage is written: no extra pass over the feed
-        bad = null_mask(contract)
-        obs = Observation(f"validate_{source}_{uuid.uuid4().hex[:8]}")
-        seen = raw.observe(obs, F.count(F.lit(1)).alias("original"), F.count_if(bad).alias("null_rows"),
-                          *[F.max(bad & F.col(c).isNull()).alias(f"null_{c}") for c in contract.not_null])
-        valid = _stage(validate_source(seen, source)["valid"], root, "validated", source, ds)
-        v = validate_source(raw, source)  # not observed again by the sinks' own passes
-        m = obs.get
-        bad_cols = [c for c in contract.not_null if m.get(f"null_{c}")]
-        sinks.quarantine(with_null_reasons(v["invalid"], contract, null_reason_text(bad_cols))
-                         .drop("_null_columns"), root, source, None, as_of, ds)
-        if v["duplicates"] is not None:
-            sinks.duplicate_report(v["duplicates"], root, source, ds)
-        t = _stage(transform_source(valid, source), root, "transformed", source, ds)
-        res.transformed[source] = t
-        res.counts[source] = {"original": m["original"], "quarantined": m["null_rows"], "kept": valid.count()}
+        valid, res.counts[source] = _validate(raw, source, root, ds, as_of)
+        if valid is not None:
+            res.transformed[source] = _stage(transform_source(valid, source), root, "transformed", source, ds)
 
+    # ---- dimensions (full batch, not the incremental slice), calendar, incremental fact
     t = res.transformed
-    orders = t.get("orders")
-    # ---- dimensions (full batch, not the incremental slice)
-    dims = {}
-    members_w = star.warehouse_members(orders, None) if orders is not None else (
-        star.warehouse_members(None, t["warehouse_inventory"]) if "warehouse_inventory" in t else None)
-    specs = [
-        ("dim_warehouse", star.DIM_WAREHOUSE, star.load_dim_warehouse, members_w),
-        ("dim_partner", star.DIM_PARTNER, star.load_dim_partner,
-         star.partner_members(orders, t["partner_payments"]) if orders is not None and "partner_payments" in t else None),
-        ("dim_route", star.DIM_ROUTE, star.load_dim_route,
-         star.route_members(orders) if orders is not None else None),
-    ]
-    for name, schema, loader, members in specs:
-        current = store.read(name)
-        if members is None:
-            dims[name] = current if current is not None else star.empty(spark, schema)
-            continue
-        target = current if current is not None else star.empty(spark, schema)
-        base = 0 if current is None else None
-        dims[name] = store.commit(name, loader(target, members, as_of, base_key=base), as_of)
-
-    # ---- calendar: insert-if-absent
-    start, end = calendar or star.calendar_range(as_of)
-    cur_dates = store.read("dim_date")
-    days = star.calendar(spark, start, end)
-    if cur_dates is None:
-        dims["dim_date"] = store.commit("dim_date", days, as_of)
-    else:
-        fresh = days.join(cur_dates.select("date_key"), "date_key", "left_anti")
-        dims["dim_date"] = (store.commit("dim_date", cur_dates.unionByName(fresh), as_of)
-                            if fresh.limit(1).count() else cur_dates)
-
-    # ---- incremental fact: rows after the watermark, then advance it
-    state = store.read("etl_metadata")
-    if state is None:
-        state = star.initial_state(spark, as_of)
-    mark = star.read_watermark(state)
-    res.watermark = mark
+    orders, inventory, payments = t.get("orders"), t.get("warehouse_inventory"), t.get("partner_payments")
+    members = {"dim_warehouse": star.warehouse_members(orders, inventory) if orders is not None or inventory is not None else None,
+               "dim_partner": star.partner_members(orders, payments) if orders is not None and payments is not None else None,
+               "dim_route": star.route_members(orders) if orders is not None else None}
+    dims = load.load_dimensions(store, members, as_of, ds)
+    dims["dim_date"] = load.load_calendar(store, *(calendar or star.calendar_range(as_of)), ds)
     if orders is not None:
-        sl = star.incremental_slice(orders, mark, lookback_days)
-        new_mark = sl.agg(F.max("order_date")).first()[0]
-        nonempty = new_mark is not None or (mark is None and sl.limit(1).count() > 0)
-        if nonempty:
-            current = store.read(FACT_TABLE)
-            target = current if current is not None else star.empty(spark, star.FACT)
-            fits, over = star.split_by_amount(sl)
-            rows = star.fact_rows(fits, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"])
-            # the other keys come from the dimensions themselves: only dates can dangle
-            rows, bad = star.split_by_foreign_keys(rows, {c: (dims["dim_date"], "date_key") for c in star.DATE_KEYS})
-            reason = F.concat(F.lit("No row in the referenced dimension: "), F.array_join("_fk_columns", ", "))
-            held = bad.withColumn("_quarantine_reason", reason).select("order_id", "_quarantine_reason")
-            held = held.unionByName(over.select("order_id", F.lit("Order value out of range").alias("_quarantine_reason")))
-            sinks.quarantine(held, root, FACT_TABLE, None, as_of, ds)
-            fact = star.load_fact(target, rows, as_of, base_key=0 if current is None else None)
-            dims[FACT_TABLE] = store.commit(FACT_TABLE, fact, as_of)
-            # state after the fact snapshot: a crash in between reloads the
-            # same slice, which the upsert absorbs
-            if new_mark is not None:
-                state = store.commit("etl_metadata", star.advance_watermark(state, new_mark, as_of), as_of)
-                res.watermark = new_mark
-    res.tables = dims
+        loaded = load.load_fact(store, orders, dims, as_of, ds, lookback_days, late_rows)
+        res.tables, res.watermark = loaded.tables, loaded.watermark
+    else:
+        state = store.read("etl_metadata")
+        res.tables, res.watermark = dims, None if state is None else star.read_watermark(state)
 
     # ---- quality on the standardized data + orphan check on the warehouse
     reports = [dq.VALIDATORS[s]().full_report(t[s], s, as_of).drop("rule_order")
@@ -182,7 +132,7 @@ def run_batch(spark: SparkSession, feeds: dict[str, DataFrame], root: str, ds: s
         rep = reports[0]
         for r in reports[1:]:
             rep = rep.unionByName(r)
-        fact = dims.get(FACT_TABLE) or store.read(FACT_TABLE)
+        fact = store.read(FACT_TABLE)
         orphans = (dq.orphan_count(fact, dims["dim_warehouse"]) if fact is not None
                    else spark.createDataFrame([(0,)], "orphan_count long"))
         path = f"{root}/quality/_execution_date={ds}"

@@ -24,37 +24,37 @@ def query(name: str):
 @query("on_time_rate_by_warehouse")
 def q_on_time_rate_by_warehouse(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.on_time_rate_by_warehouse(b.mart_fact, b.dim_warehouse)
+    return marts.on_time_rate_by_warehouse(b.mart_fact("warehouse"), b.dim_warehouse)
 
 
 @query("delivery_time_by_route")
 def q_delivery_time_by_route(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.delivery_time_by_route(b.mart_fact, b.dim_route)
+    return marts.delivery_time_by_route(b.mart_fact("route"), b.dim_route)
 
 
 @query("partner_payment_reconciliation")
 def q_partner_payment_reconciliation(spark, sf_dir):
     b = Batch(spark, sf_dir)
     payments = b.payments_clean  # staged first: the partner dimension reuses it
-    return marts.partner_payment_reconciliation(b.mart_fact, b.dim_partner, payments)
+    return marts.partner_payment_reconciliation(b.mart_fact("partner"), b.dim_partner, payments)
 
 
 @query("monthly_order_trend")
 def q_monthly_order_trend(spark, sf_dir):
     b = Batch(spark, sf_dir)
-    return marts.monthly_order_trend(b.mart_fact, b.dim_date)
+    return marts.monthly_order_trend(b.mart_fact(), b.dim_date)
 
 
 @query("executive_kpis")
 def q_executive_kpis(spark, sf_dir):
-    return marts.executive_kpis(Batch(spark, sf_dir).mart_fact)
+    return marts.executive_kpis(Batch(spark, sf_dir).mart_fact("warehouse", "partner"))
 
 
 # ----------------------------------------------------------------- helpers
 from pyspark.sql import functions as F  # noqa: E402
 
-from haulwise.contracts import CONTRACTS  # noqa: E402
+from haulwise.contracts import CONTRACTS, FACT_TABLE  # noqa: E402
 from haulwise.functions import na_to_null, standardize_category, to_number, to_usd  # noqa: E402
 from haulwise.functions.dates import with_dates, with_timestamp_text  # noqa: E402
 from haulwise.operators import quality as dq  # noqa: E402
@@ -313,7 +313,7 @@ def q_fact_deliveries(spark, sf_dir):
 @query("watermark_read")
 def q_watermark_read(spark, sf_dir):
     """The fact watermark state after the first batch."""
-    return TwoBatchLoad(spark, sf_dir).load1["state"]
+    return TwoBatchLoad(spark, sf_dir).load1["etl_metadata"]
 
 
 @query("incremental_filter")
@@ -324,7 +324,7 @@ def q_incremental_filter(spark, sf_dir):
 
 @query("watermark_advance")
 def q_watermark_advance(spark, sf_dir):
-    return TwoBatchLoad(spark, sf_dir).load2["state"]
+    return TwoBatchLoad(spark, sf_dir).load2["etl_metadata"]
 
 
 @query("upsert_scd1")
@@ -336,18 +336,18 @@ def q_upsert_scd1(spark, sf_dir):
 @query("upsert_fact")
 def q_upsert_fact(spark, sf_dir):
     """The fact table after the second batch."""
-    return TwoBatchLoad(spark, sf_dir).load2["fact"]
+    return TwoBatchLoad(spark, sf_dir).load2[FACT_TABLE]
 
 
 @query("load_second_batch")
 def q_load_second_batch(spark, sf_dir):
     """Row count and maximum key of every table after the second batch."""
     l2 = TwoBatchLoad(spark, sf_dir).load2
-    specs = [("dim_warehouse", "warehouse_key"), ("dim_partner", "partner_key"),
-             ("dim_route", "route_key"), ("fact", "delivery_key")]
+    specs = [("dim_warehouse", "warehouse_key", "dim_warehouse"), ("dim_partner", "partner_key", "dim_partner"),
+             ("dim_route", "route_key", "dim_route"), ("fact", "delivery_key", FACT_TABLE)]
     out = None
-    for name, key in specs:
-        part = l2[name].agg(F.count(F.lit(1)).alias("row_count"), F.max(key).cast("long").alias("max_key")) \
+    for name, key, table in specs:
+        part = l2[table].agg(F.count(F.lit(1)).alias("row_count"), F.max(key).cast("long").alias("max_key")) \
             .select(F.lit(name).alias("table_name"), "row_count", "max_key")
         out = part if out is None else out.unionByName(part)
     return out
@@ -445,26 +445,118 @@ def q_dq_report(spark, sf_dir):
     b = Batch(spark, sf_dir)
     parts = [dq.VALIDATORS[s]().full_report(b.transformed[s], s, b.as_of).drop("rule_order")
              for s in ("orders", "warehouse_inventory", "delivery_events")]
-    orphans = dq.orphan_count(b.mart_fact, b.dim_warehouse)
+    orphans = dq.orphan_count(b.mart_fact("warehouse"), b.dim_warehouse)
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(dq.orphan_row(orphans, b.as_of))
 
 
+def _thinned(b: Batch):
+    """The warehouse dimension without every fourth member, so that there are orphans."""
+    return b.dim_warehouse.where(F.col("warehouse_key") % 4 != 3)
+
+
 @query("orphan_warehouse_keys")
 def q_orphan_warehouse_keys(spark, sf_dir):
+    """Fact rows whose warehouse a thinned dimension lacks."""
     b = Batch(spark, sf_dir)
-    return dq.orphan_count(b.fact, b.dim_warehouse)
+    return dq.orphan_count(b.mart_fact("warehouse"), _thinned(b))
 
 
 @query("dq_summary")
 def q_dq_summary(spark, sf_dir):
+    """Checks and failures, an orphan check that fails among them."""
     b = Batch(spark, sf_dir)
-    return dq.quality_summary(_dq_report(b), dq.orphan_count(b.fact, b.dim_warehouse))
+    return dq.quality_summary(_dq_report(b), dq.orphan_count(b.mart_fact("warehouse"), _thinned(b)))
 
 
-# ------------------------------------------------------------ landing CSV
+@query("dq_batch_rules")
+def q_dq_batch_rules(spark, sf_dir):
+    """The inventory's rules as functions over Arrow batches, beside their Column forms and a rule that fails while running."""
+    t = Batch(spark, sf_dir).transformed["warehouse_inventory"]
+    below = lambda column, limit: (lambda batch: pc.less(batch.column(column), limit))
+    rules = [dq.Rule("quantity_non_negative_batch", "Quantity on hand must be non-negative", batch=below("quantity_on_hand", 0)),
+             dq.Rule("reorder_level_positive_batch", "Reorder level must be positive", batch=below("reorder_level", 1)),
+             dq.Rule("broken_batch", "No such column", batch=below("no_such_column", 0)),
+             dq.Rule("broken_while_running", "Raises in a task", mask=lambda df: F.raise_error(F.lit("broken")).isNotNull()),
+             *dq.warehouse_validator().rules]
+    return dq.Validator(rules).report(t, "warehouse_inventory").drop("rule_order", "message")
+
+
+# ------------------------------------------------- loads that take rows up again
+import pyarrow.compute as pc  # noqa: E402
+
+from haulwise.operators.standardize import transform_source  # noqa: E402
+from haulwise.plans import load, mart_state  # noqa: E402
+from haulwise.plans.build import AS_OF_2, LOAD_CALENDAR  # noqa: E402
+from haulwise.plans.job import run_batch  # noqa: E402
 from haulwise.session import scratch_path  # noqa: E402
-from haulwise.sources import landing  # noqa: E402
 from haulwise.sources.stage import new_run_id  # noqa: E402
+from haulwise.sources.warehouse import WarehouseStore  # noqa: E402
+
+def _order_no():
+    """The number of the order a feed row was made from."""
+    return (F.col("_row_seq") / 2).cast("long")
+
+
+@query("fact_replay")
+def q_fact_replay(spark, sf_dir):
+    """Two jobs. The first one's calendar ends in 1999 and some orders are dated 9999, so it holds rows back; the second
+    gets a third of the orders again, half of them delivered later, and a calendar up to 2002. The fact and the mark then."""
+    b = Batch(spark, sf_dir)
+    root = scratch_path(spark, "warehouse", new_run_id())
+    first = b.raw("orders").withColumn("order_date", F.when(_order_no() % 97 == 11, "9999-12-31").otherwise(F.col("order_date")))
+    later = F.date_format(F.date_add(F.col("actual_delivery_date").try_cast("date"), 3), "yyyy-MM-dd")
+    second = first.where(_order_no() % 3 == 0).withColumn(
+        "actual_delivery_date", F.when(_order_no() % 6 == 0, later).otherwise(F.col("actual_delivery_date")))
+    run_batch(spark, {"orders": first}, root, b.ds, b.as_of, calendar=("1994-01-01", "1999-12-31"))
+    res = run_batch(spark, {"orders": second}, root, "2001-09-02", AS_OF_2, calendar=("1994-01-01", "2002-12-31"))
+    fact = res.tables[FACT_TABLE].select("delivery_key", "order_id", "order_date_key", "promised_date_key", "actual_date_key",
+                                         "order_value_usd", "is_on_time", "days_late", "created_at")
+    return fact.withColumn("watermark", F.lit(res.watermark))
+
+
+@query("late_rows")
+def q_late_rows(spark, sf_dir):
+    """Orders that a second load takes by content from the 400 days before the mark: those that were missing from the
+    first feed and those that say something else now; the unchanged ones stay out."""
+    b = Batch(spark, sf_dir)
+    store = WarehouseStore(spark, scratch_path(spark, "warehouse", new_run_id()))
+    first = b.transformed["orders"].where(_order_no() % 11 != 4)
+    raw = b.raw("orders").withColumn("status", F.when(_order_no() % 70 == 5, "cancelled").otherwise(F.col("status")))
+    second = transform_source(val.validate_source(raw, "orders")["valid"], "orders")
+    dims = load.load_dimensions(store, {"dim_warehouse": star.warehouse_members(first, None), "dim_route": star.route_members(first)},
+                                b.as_of, b.ds)
+    dims["dim_date"] = load.load_calendar(store, *LOAD_CALENDAR, b.ds)
+    load.load_fact(store, first, dims, b.as_of, b.ds, lookback_days=400, late_rows=True)
+    taken = load.load_fact(store, second, dims, AS_OF_2, "2001-09-02", lookback_days=400, late_rows=True)
+    loaded = taken.tables[FACT_TABLE].select("order_id", (F.col("created_at") == F.lit(AS_OF_2)).alias("is_new"))
+    return taken.taken.join(loaded, "order_id").select("order_id", "order_date", "status", "is_new")
+
+
+def _long(df, mart: str, key: str):
+    """A mart as (mart, id, measure, value)."""
+    measures = [c for c, kind in df.dtypes if c != key and kind != "string"]
+    pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in measures)
+    return df.selectExpr(f"'{mart}' AS mart", f"CAST({key} AS STRING) AS id", f"stack({len(measures)}, {pairs}) AS (measure, value)")
+
+
+@query("marts_from_state")
+def q_marts_from_state(spark, sf_dir):
+    """All five marts after the two loads, from the sums kept per batch: the fact is not read."""
+    two = TwoBatchLoad(spark, sf_dir)
+    tables, sums = two.load2, {t: mart_state.total(two.store, t) for t in mart_state.SUMS}
+    parts = [_long(marts.on_time_rates(sums["state_warehouse"], tables["dim_warehouse"]), "on_time", "warehouse_id"),
+             _long(marts.route_times(sums["state_route"], tables["dim_route"]), "route_times", "route_id"),
+             _long(marts.reconciliation(sums["state_partner"], tables["dim_partner"], two.b.payments_clean), "reconciliation", "partner_id"),
+             _long(marts.month_trend(sums["state_month"], two.store.read("dim_date")), "months", "year_month"),
+             _long(marts.kpis(sums["state_warehouse"], sums["state_partner"]).withColumn("name", F.lit("all")), "kpis", "name")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------ landing CSV
+from haulwise.sources import landing  # noqa: E402
 
 
 def _write_landing_csv(spark, df, path: str) -> None:
@@ -519,7 +611,6 @@ def q_malformed_kept(spark, sf_dir):
 
 
 # ------------------------------------------------------ end-to-end paths
-from haulwise.plans.job import run_batch  # noqa: E402
 from haulwise.streaming.landing_stream import process_landed  # noqa: E402
 
 

@@ -70,13 +70,13 @@ def malformed_lines(spark: SparkSession, path: str, columns: list[str], header:
             .where(F.col("fields") > len(columns)))
 
 
-def write_date(df: DataFrame, path: str, ds: str) -> DataFrame:
+def write_date(df: DataFrame, path: str, ds: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Replace the ``_execution_date=ds`` folder of ``path`` with ``df``, which
     may be empty, and read it back (an empty frame empties the folder: a rerun
-    never sees rows of the run before)."""
+    never sees rows of the run before). ``by``: columns that part the folder."""
     body = df.drop("_execution_date")
     out = f"{path.rstrip('/')}/_execution_date={ds}"
-    body.write.mode("overwrite").parquet(out)
+    body.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(out)
     return df.sparkSession.read.schema(body.schema).parquet(out).withColumn("_execution_date", F.lit(ds))
 
 

@@ -2,19 +2,16 @@
 
 A staged table lives under the shared checkpoint folder (``spark.checkpoint.dir``),
 so it survives executor loss, cuts the lineage, and later reads get column
-pruning and filter pushdown from the Parquet scan. Its row count is observed
-while it is written and recorded as a proven bound, so later size checks
-(broadcast, local numbering) need no counting job.
+pruning, filter pushdown and file sizes (for Spark's join choice) from the
+Parquet scan.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from haulwise.operators.joins import mark_bounded
 from haulwise.session import scratch_path
 
 
@@ -24,8 +21,5 @@ def new_run_id() -> str:
 
 def stage(spark: SparkSession, df: DataFrame, run_id: str, name: str) -> DataFrame:
     path = scratch_path(spark, "stage", run_id, name)
-    obs = Observation(f"stage_{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    # the schema is known: no footer read to infer it
-    out = spark.read.schema(df.schema).parquet(path)
-    return mark_bounded(out, int(obs.get["rows"]))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no footer read to infer it

@@ -1,65 +1,72 @@
-"""Versioned Parquet warehouse tables on a shared file system.
-
-Each table is a series of snapshots ``{root}/{table}/v={n}``. A snapshot is
-visible once a commit row (table, version) is appended to
-``{root}/_commits``; readers take the highest committed version. A new
-version is always written to a new folder, so a table is never read and
-overwritten at the same path, and a job that dies before its commit row
-leaves the previous version in force (the rerun writes the same version
-again). Plain Spark reads and writes only; no table format is assumed.
+"""Warehouse tables: plain Parquet folders, partitioned so that a load touches few files.
+
+A table lies under ``{root}/{table}/_batch={date}/_bucket={n}``: the batch that
+first loaded a row, and a hash of its natural key. New rows are appended to
+their batch; changed rows are rewritten together with the (batch, bucket)
+folders that hold them, and no other file is touched. Rewritten rows are staged
+before the folders are replaced, as a table is never read and overwritten at
+the same path in one job.
+
+There is no log beside the data. A load that dies half-way is repeated: rows it
+appended are found again by their keys, rows it rewrote no longer differ.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-COMMITS = "_commits"
-COMMIT_SCHEMA = "table_name string, version long, committed_at timestamp_ntz, row_count long"
+from haulwise.contracts import FACT_TABLE
+from haulwise.sources.stage import new_run_id, stage
+
+DIGESTS = "order_digests"
+PLACE = ("_batch", "_bucket")
 
 
 class WarehouseStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under ``root``. ``buckets`` (table: number, 1 if not named) must be the same for every load."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = {FACT_TABLE: 8, DIGESTS: 8} | (buckets or {})
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def bucket(self, table: str, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets.get(table, 1))).cast("int")
 
-    def _commits(self) -> DataFrame | None:
+    def placed(self, table: str) -> DataFrame | None:
+        """The table with ``_batch`` and ``_bucket``, or None if it was never written."""
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/{COMMITS}")
+            found = self.spark.read.parquet(self.path(table))
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
-
-    def version(self, table: str) -> int | None:
-        commits = self._commits()
-        if commits is None:
-            return None
-        row = commits.where(F.col("table_name") == table).agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        body = [f for f in found.schema.fields if f.name not in PLACE]
+        schema = T.StructType([*body, T.StructField("_batch", T.StringType()), T.StructField("_bucket", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame | None:
-        v = self.version(table)
-        if v is None:
-            return None
-        return self.spark.read.parquet(f"{self.root}/{table}/v={v}")
-
-    def read_or(self, table: str, empty: DataFrame) -> DataFrame:
-        df = self.read(table)
-        return empty if df is None else df.select(*empty.columns)
-
-    def commit(self, table: str, df: DataFrame, at: dt.datetime) -> DataFrame:
-        """Write ``df`` as the next version of ``table`` and make it current."""
-        v = (self.version(table) or 0) + 1
-        path = f"{self.root}/{table}/v={v}"
-        obs = Observation(f"commit_{table}_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        n = int(obs.get["rows"])
-        row = self.spark.createDataFrame([(table, v, at, n)], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/{COMMITS}")
-        return out
+        found = self.placed(table)
+        return None if found is None else found.drop(*PLACE)
+
+    def append(self, table: str, rows: DataFrame, key: str, batch: str) -> None:
+        """Add rows to their batch, one file per bucket."""
+        placed = rows.withColumns({"_batch": F.lit(batch), "_bucket": self.bucket(table, key)})
+        placed.repartition("_bucket").write.mode("append").partitionBy(*PLACE).parquet(self.path(table))
+
+    def replace(self, table: str, placed: DataFrame) -> None:
+        """Put whole (batch, bucket) folders in the place of those that ``placed`` has rows of."""
+        body = stage(self.spark, placed, new_run_id(), f"replace_{table}")
+        body.repartition(*PLACE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(*PLACE).parquet(self.path(table))
+
+    def put(self, table: str, rows: DataFrame) -> DataFrame:
+        """A small table, written whole (one batch, one bucket)."""
+        self.replace(table, rows.withColumns({"_batch": F.lit("all"), "_bucket": F.lit(0)}).coalesce(1))
+        return self.read(table)

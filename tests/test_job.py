@@ -36,7 +36,9 @@ def test_two_batches(spark, tmpdir_path):
     assert all(fact2[k].delivery_key == v.delivery_key and fact2[k].order_value_usd == v.order_value_usd
                and fact2[k].created_at == v.created_at for k, v in fact1.items())
     assert len(fact2) > len(fact1)
-    assert store.version("fact_deliveries") == 2 and store.version("etl_metadata") == 2
+    placed = store.placed("fact_deliveries").groupBy("_batch").count().collect()
+    assert {r["_batch"]: r["count"] for r in placed} == {"2001-08-02": len(fact1), "2001-09-02": len(fact2) - len(fact1)}
+    assert store.read("etl_metadata").count() == 1
     # quarantine and duplicate sinks exist for both dates
     q = spark.read.parquet(f"{tmpdir_path}/quarantine/source=orders")
     assert {str(r._execution_date) for r in q.select("_execution_date").distinct().collect()} == {"2001-08-02", "2001-09-02"}

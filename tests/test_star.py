@@ -30,10 +30,9 @@ def test_partner_upsert_only_touches_updated_at(spark):
     assert (r.partner_name, r.partner_key, r.created_at, r.updated_at) == ("Custom", 1, T1, T2)
 
 
-def test_number_rows_both_paths_dense_and_ordered(spark, monkeypatch):
+def test_number_rows_dense_and_ordered(spark):
     ids = spark.range(0, 500).select(F.format_string("ID_%05d", (F.col("id") * 7919) % 500).alias("i"))
     small = {r.i: r.k for r in keys.number_rows(ids, ["i"], "k", start=11).collect()}
-    monkeypatch.setattr(keys, "LOCAL_MAX_ROWS", 0)
     large = {r.i: r.k for r in keys.number_rows(ids.repartition(7), ["i"], "k", start=11).collect()}
     expect = {f"ID_{n:05d}": 11 + n for n in range(500)}
     assert small == expect and large == expect
