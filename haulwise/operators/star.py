@@ -129,31 +129,35 @@ def upsert_table(store: WarehouseStore, table: str, schema: str, source: DataFra
     The target's keys and update columns meet the source's keys: other buckets are not read, and rows whose key is
     not in the source's bitmap are not shuffled. Rows that differ are rewritten with their (batch, bucket) folders, new
     ones are appended, with keys after the greatest (``key_col`` None: without). A table without ``updated_at`` is
-    rewritten only where a value changes.
+    rewritten only where a value changes. ``source`` is read twice, so it should be a written table.
     """
     spark = store.spark
     fields = empty(spark, schema).schema
     stamp = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     upd = [c for c in update_cols if c in source.columns]
     run = new_run_id()
-    rows = stage(spark, source.withColumn("_bucket", store.bucket(table, key)), run, f"{table}_source")
+    rows = source.withColumn("_bucket", store.bucket(table, key))
     target = store.placed(table)
-    fresh, base, batches = rows, 0, set()
+    fresh, base, batches, n_fresh = rows, 0, set(), None
     if target is not None:
         if key_col is not None:  # before any file of the target is replaced
             base = target.agg(F.max(key_col)).first()[0] or 0
-        touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most store.buckets
-        there = target.where(F.col("_bucket").isin(touched)).select(key, "_batch", *[F.col(c).alias(f"_t_{c}") for c in upd])
-        there = only_possible(there, rows, key)
+        there = target
+        if store.buckets.get(table, 1) > 1:
+            touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most store.buckets
+            there = only_possible(target.where(F.col("_bucket").isin(touched)), rows, key)
+        there = there.select(key, "_batch", *[F.col(c).alias(f"_t_{c}") for c in upd])
         met = stage(spark, rows.join(there, key, "left"), run, f"{table}_met")
         fresh = met.where(F.col("_batch").isNull())
         differs = F.lit("updated_at" in ts_cols)
         for c in upd:
             differs = differs | ~F.col(c).eqNullSafe(F.col(f"_t_{c}"))
         changed = met.where(F.col("_batch").isNotNull() & differs)
-        batches = {r[0] for r in met.where(F.col("_batch").isNotNull()).select("_batch").distinct().collect()}
-        folders = changed.select(*PLACE).distinct()
-        if pairs := [(r[0], r[1]) for r in folders.collect()]:  # batches times buckets at most
+        # a row for each folder met, at most batches times buckets
+        folders = met.groupBy(*PLACE).agg(F.max(differs).alias("differs"), F.count(F.lit(1)).alias("n")).collect()
+        n_fresh = sum(r.n for r in folders if r["_batch"] is None)
+        batches = {r["_batch"] for r in folders if r["_batch"] is not None}
+        if pairs := [(r["_batch"], r["_bucket"]) for r in folders if r["_batch"] is not None and r.differs]:
             where = F.struct(*PLACE).isin([F.struct(F.lit(b), F.lit(n)) for b, n in pairs])
             new = changed.select(key, *[F.col(c).alias(f"_s_{c}") for c in upd], F.lit(True).alias("_s_hit"))
             joined = target.where(where).join(new, key, "left")
@@ -161,9 +165,10 @@ def upsert_table(store: WarehouseStore, table: str, schema: str, source: DataFra
             if "updated_at" in ts_cols:
                 put["updated_at"] = F.when(F.col("_s_hit"), stamp).otherwise(F.col("updated_at"))
             store.replace(table, joined.withColumns(put).select(*target.columns))
-    numbered = fresh if key_col is None else number_rows(fresh, [key], key_col, start=int(base) + 1)
-    fill = {f.name: stamp if f.name in ts_cols else F.lit(None) for f in fields if f.name not in numbered.columns}
-    store.append(table, numbered.withColumns(fill).select(*[F.col(f.name).cast(f.dataType) for f in fields]), key, batch)
+    if n_fresh != 0:
+        numbered = fresh if key_col is None else number_rows(fresh, [key], key_col, start=int(base) + 1)
+        fill = {f.name: stamp if f.name in ts_cols else F.lit(None) for f in fields if f.name not in numbered.columns}
+        store.append(table, numbered.withColumns(fill).select(*[F.col(f.name).cast(f.dataType) for f in fields]), key, batch)
     return sorted(batches | {batch})
 
 
@@ -253,15 +258,15 @@ def date_key(iso_text) -> Column:
 
 
 def fact_rows(slice_df: DataFrame, dim_w: DataFrame | None = None, dim_p: DataFrame | None = None,
-              dim_r: DataFrame | None = None) -> DataFrame:
-    """Orders slice -> fact columns (no delivery_key / created_at yet).
+              dim_r: DataFrame | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Orders slice -> fact columns (no delivery_key / created_at yet), and the ``kept`` columns of the slice.
 
     Surrogate keys come from left lookups (unmatched -> NULL key), which never add rows as dimensions are unique on their
     ids; the key of a dimension that is not given is left out.
     """
     o = slice_df.select("order_id", "warehouse_id", "partner_id", "route_id", "order_date",
                         "promised_delivery_date", "actual_delivery_date", "order_value_usd",
-                        "is_on_time", "days_late")
+                        "is_on_time", "days_late", *kept)
     keys = []
     for dim, name in ((dim_w, "warehouse"), (dim_p, "partner"), (dim_r, "route")):
         if dim is not None:
@@ -275,7 +280,7 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame | None = None, dim_p: DataFr
         F.col("order_value_usd").try_cast("decimal(12,2)").alias("order_value_usd"),
         "is_on_time",
         F.col("days_late").cast("int").alias("days_late"),
-        (F.col("days_late") * 24).try_cast("decimal(10,2)").alias("delivery_duration_hours"),
+        (F.col("days_late") * 24).try_cast("decimal(10,2)").alias("delivery_duration_hours"), *kept,
     )
 
 

@@ -217,8 +217,7 @@ class TwoBatchLoad:
         dims = load_dimensions(self.store, members, as_of, ds)
         dims["dim_date"] = load_calendar(self.store, *LOAD_CALENDAR, ds)
         found = load_fact(self.store, orders, dims, as_of, ds)
-        return {**{t: stage(self.spark, df, self.b.run_id, f"{t}_{ds}") for t, df in found.tables.items() if t != "dim_date"},
-                "slice": found.taken}
+        return {**found.tables, "slice": found.taken}
 
     @cached_property
     def load1(self) -> dict[str, DataFrame]:

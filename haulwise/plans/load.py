@@ -9,6 +9,7 @@ slice only, so a row that was held back cannot move it past orders to come.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -40,9 +41,13 @@ def load_dimensions(store: WarehouseStore, members: dict[str, DataFrame | None],
     specs = {"dim_warehouse": (star.DIM_WAREHOUSE, star.warehouse_attributes, "warehouse", ["warehouse_name", "region"]),
              "dim_partner": (star.DIM_PARTNER, star.partner_attributes, "partner", []),
              "dim_route": (star.DIM_ROUTE, star.route_attributes, "route", [])}
-    for table, (schema, attributes, name, update) in specs.items():
-        if members.get(table) is not None:
-            star.upsert_table(store, table, schema, attributes(members[table]), f"{name}_id", f"{name}_key", update, as_of, ds)
+
+    def one(table: str) -> None:
+        schema, attributes, name, update = specs[table]
+        star.upsert_table(store, table, schema, attributes(members[table]), f"{name}_id", f"{name}_key", update, as_of, ds)
+
+    with ThreadPoolExecutor(len(specs)) as pool:  # small jobs that wait for nothing of each other
+        list(pool.map(one, [t for t in specs if members.get(t) is not None]))
     found = {t: store.read(t) for t in specs}
     return {t: star.empty(spark, specs[t][0]) if df is None else df for t, df in found.items()}
 
@@ -51,7 +56,8 @@ def load_calendar(store: WarehouseStore, start: str, end: str, ds: str) -> DataF
     """Insert the days that are not there yet."""
     days, there = star.calendar(store.spark, start, end), store.read("dim_date")
     fresh = days if there is None else days.join(there.select("date_key"), "date_key", "left_anti")
-    store.append("dim_date", fresh, "date_key", ds)
+    if there is None or not fresh.isEmpty():
+        store.append("dim_date", fresh, "date_key", ds)
     return store.read("dim_date")
 
 
@@ -100,27 +106,27 @@ def load_fact(store: WarehouseStore, orders: DataFrame, dims: dict[str, DataFram
     orders = orders.select(*ORDER_COLS)
     taken = star.incremental_slice(orders, mark, lookback_days)
     if late_rows:
-        taken = unlike_loaded(taken, store.read(DIGESTS))
-    taken = out.taken = stage(spark, taken, run, "slice")
+        taken = stage(spark, unlike_loaded(taken, store.read(DIGESTS)), run, "taken")
+    out.taken = taken
     tried = taken.withColumn("_sliced", F.lit(True))
     before = held_before(store, ds)
     if before is not None:
         newest = orders.join(before.select("order_id"), "order_id", "left_semi").join(taken.select("order_id"), "order_id", "left_anti")
         older = before.join(orders.select("order_id"), "order_id", "left_anti")
         tried = tried.unionByName(newest.unionByName(older).withColumn("_sliced", F.lit(False)))
+        tried = stage(spark, tried, run, "tried")
     fits, over = star.split_by_amount(tried)
     keys = {c: (dims["dim_date"], "date_key") for c in star.DATE_KEYS}
     # the other keys come from the dimensions themselves: only dates can dangle
-    rows = star.fact_rows(fits, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"])
+    rows = star.fact_rows(fits, dims["dim_warehouse"], dims["dim_partner"], dims["dim_route"], kept=("_sliced",))
     rows = stage(spark, star.with_missing_keys(rows, keys), run, "fact_rows")
     bad = rows.where(F.size("_fk_columns") > 0).select("order_id", F.concat(
         F.lit("No row in the referenced dimension: "), F.array_join("_fk_columns", ", ")).alias("_quarantine_reason"))
     held = fits.join(bad, "order_id").unionByName(
         over.withColumn("_quarantine_reason", F.lit("Order value out of range"))).drop("_sliced")
-    held = stage(spark, held, run, "held")  # read before its sink, which the next load reads, is replaced
     good = rows.where(F.size("_fk_columns") == 0).drop("_fk_columns")
-    batches = star.upsert_table(store, FACT_TABLE, star.FACT, good, "order_id", "delivery_key", star.FACT_UPDATE_COLS, as_of, ds,
-                                ts_cols=("created_at",))
+    batches = star.upsert_table(store, FACT_TABLE, star.FACT, good.drop("_sliced"), "order_id", "delivery_key",
+                                star.FACT_UPDATE_COLS, as_of, ds, ts_cols=("created_at",))
     mart_state.refresh(store, batches)
     if late_rows:
         done = with_digest(tried.drop("_sliced")).join(good.select("order_id"), "order_id", "left_semi")
@@ -128,7 +134,8 @@ def load_fact(store: WarehouseStore, orders: DataFrame, dims: dict[str, DataFram
                           ["order_date", "digest"], as_of, ds, ts_cols=())
     out.held = sinks.quarantine(held, store.root, FACT_TABLE, None, as_of, ds)
     # the mark after the rows: a crash in between reloads the same slice, which the upsert absorbs
-    loaded = taken.join(good.select("order_id"), "order_id", "left_semi").agg(F.max("order_date")).first()[0]
+    last = good.where("_sliced").agg(F.date_format(F.to_date(F.max("order_date_key").cast("string"), "yyyyMMdd"), "yyyy-MM-dd"))
+    loaded = last.first()[0]
     if loaded is not None and (mark is None or loaded > mark):
         store.put("etl_metadata", star.advance_watermark(state, loaded, as_of))
         out.watermark = loaded

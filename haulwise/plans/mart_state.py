@@ -50,8 +50,10 @@ def month_sums(fact: DataFrame, *batch: str) -> DataFrame:
         F.count("order_id").alias("orders"), F.count("order_value_usd").alias("valued"), F.sum("order_value_usd").alias("value"))
 
 
-SUMS = {"state_warehouse": (warehouse_sums, "warehouse_key"), "state_route": (route_sums, "route_key"),
-        "state_partner": (partner_sums, "partner_key"), "state_month": (month_sums, "month_key")}
+#: The marts' sums and their keys.
+SUMS = {"warehouse": (warehouse_sums, "warehouse_key"), "route": (route_sums, "route_key"),
+        "partner": (partner_sums, "partner_key"), "month": (month_sums, "month_key")}
+TABLE = "mart_state"
 
 
 def refresh(store: WarehouseStore, batches: list[str]) -> None:
@@ -59,13 +61,16 @@ def refresh(store: WarehouseStore, batches: list[str]) -> None:
     fact = store.placed(FACT_TABLE)
     if fact is None:  # nothing was ever loaded
         return
-    fact = fact.where(F.col("_batch").isin(batches))
-    for table, (sums, _) in SUMS.items():
-        store.replace(table, sums(fact, "_batch").withColumn("_bucket", F.lit(0)))
-
-
-def total(store: WarehouseStore, table: str) -> DataFrame:
-    """The sums of one table over all batches, one row per key."""
-    key = SUMS[table][1]
-    kept = store.read(table)
-    return kept.groupBy(key).agg(*[F.sum(c).alias(c) for c in kept.columns if c != key])
+    fact, rows = fact.where(F.col("_batch").isin(batches)), None
+    for grain, (sums, key) in SUMS.items():
+        part = sums(fact, "_batch").withColumnRenamed(key, "key").withColumns({"grain": F.lit(grain), "key": F.col("key").cast("long")})
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    store.replace(TABLE, rows.withColumn("_bucket", F.lit(0)), reads_itself=False)
+
+
+def total(store: WarehouseStore, grain: str) -> DataFrame:
+    """The sums of one grain over all batches, one row per key."""
+    sums, key = SUMS[grain]
+    kept = store.read(TABLE).where(F.col("grain") == grain).withColumnRenamed("key", key)
+    wanted = [c for c in sums(store.read(FACT_TABLE)).columns if c != key]
+    return kept.groupBy(key).agg(*[F.sum(c).alias(c) for c in wanted])

@@ -544,11 +544,11 @@ def q_marts_from_state(spark, sf_dir):
     """All five marts after the two loads, from the sums kept per batch: the fact is not read."""
     two = TwoBatchLoad(spark, sf_dir)
     tables, sums = two.load2, {t: mart_state.total(two.store, t) for t in mart_state.SUMS}
-    parts = [_long(marts.on_time_rates(sums["state_warehouse"], tables["dim_warehouse"]), "on_time", "warehouse_id"),
-             _long(marts.route_times(sums["state_route"], tables["dim_route"]), "route_times", "route_id"),
-             _long(marts.reconciliation(sums["state_partner"], tables["dim_partner"], two.b.payments_clean), "reconciliation", "partner_id"),
-             _long(marts.month_trend(sums["state_month"], two.store.read("dim_date")), "months", "year_month"),
-             _long(marts.kpis(sums["state_warehouse"], sums["state_partner"]).withColumn("name", F.lit("all")), "kpis", "name")]
+    parts = [_long(marts.on_time_rates(sums["warehouse"], tables["dim_warehouse"]), "on_time", "warehouse_id"),
+             _long(marts.route_times(sums["route"], tables["dim_route"]), "route_times", "route_id"),
+             _long(marts.reconciliation(sums["partner"], tables["dim_partner"], two.b.payments_clean), "reconciliation", "partner_id"),
+             _long(marts.month_trend(sums["month"], two.store.read("dim_date")), "months", "year_month"),
+             _long(marts.kpis(sums["warehouse"], sums["partner"]).withColumn("name", F.lit("all")), "kpis", "name")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

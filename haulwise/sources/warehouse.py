@@ -32,6 +32,7 @@ class WarehouseStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = {FACT_TABLE: 8, DIGESTS: 8} | (buckets or {})
+        self._schemas: dict[str, T.StructType] = {}  # of tables written or read here: no footers are read to infer them
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -41,15 +42,20 @@ class WarehouseStore:
 
     def placed(self, table: str) -> DataFrame | None:
         """The table with ``_batch`` and ``_bucket``, or None if it was never written."""
+        if table in self._schemas:
+            return self.spark.read.schema(self._schemas[table]).parquet(self.path(table))
         try:
             found = self.spark.read.parquet(self.path(table))
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
-        body = [f for f in found.schema.fields if f.name not in PLACE]
-        schema = T.StructType([*body, T.StructField("_batch", T.StringType()), T.StructField("_bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        self._note(table, found)
+        return self.spark.read.schema(self._schemas[table]).parquet(self.path(table))
+
+    def _note(self, table: str, rows: DataFrame) -> None:
+        body = [f for f in rows.schema.fields if f.name not in PLACE]
+        self._schemas[table] = T.StructType([*body, T.StructField("_batch", T.StringType()), T.StructField("_bucket", T.IntegerType())])
 
     def read(self, table: str) -> DataFrame | None:
         found = self.placed(table)
@@ -58,15 +64,21 @@ class WarehouseStore:
     def append(self, table: str, rows: DataFrame, key: str, batch: str) -> None:
         """Add rows to their batch, one file per bucket."""
         placed = rows.withColumns({"_batch": F.lit(batch), "_bucket": self.bucket(table, key)})
-        placed.repartition("_bucket").write.mode("append").partitionBy(*PLACE).parquet(self.path(table))
-
-    def replace(self, table: str, placed: DataFrame) -> None:
-        """Put whole (batch, bucket) folders in the place of those that ``placed`` has rows of."""
-        body = stage(self.spark, placed, new_run_id(), f"replace_{table}")
+        if self.buckets.get(table, 1) > 1:
+            placed = placed.repartition("_bucket")
+        placed.write.mode("append").partitionBy(*PLACE).parquet(self.path(table))
+        self._note(table, placed)
+
+    def replace(self, table: str, placed: DataFrame, reads_itself: bool = True) -> None:
+        """Put whole (batch, bucket) folders in the place of those that ``placed`` has rows of. Rows made from the
+        table itself are staged first."""
+        body = stage(self.spark, placed, new_run_id(), f"replace_{table}") if reads_itself else placed
+        self._note(table, placed)
         body.repartition(*PLACE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*PLACE).parquet(self.path(table))
 
     def put(self, table: str, rows: DataFrame) -> DataFrame:
-        """A small table, written whole (one batch, one bucket)."""
-        self.replace(table, rows.withColumns({"_batch": F.lit("all"), "_bucket": F.lit(0)}).coalesce(1))
+        """A table of a few rows (the load's state), written whole: one batch, one bucket."""
+        kept = self.spark.createDataFrame(rows.collect(), rows.schema)
+        self.replace(table, kept.withColumns({"_batch": F.lit("all"), "_bucket": F.lit(0)}), reads_itself=False)
         return self.read(table)
