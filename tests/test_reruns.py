@@ -152,17 +152,25 @@ def test_numbers_follow_the_order(spark):
     assert got == {i: i + 1 for i in range(500)}
 
 
-def test_report_names_violators_and_broken_rules(spark):
-    df = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(20)], "_row_seq long, k string")
+def test_report_shows_violators_and_broken_rules(spark):
+    df = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(20)], "_row_seq long, k string").withColumn("n", F.col("_row_seq"))
     v = dq.Validator([dq.Rule("k_not_null", "k", mask=dq.not_null("k")),
                       dq.Rule("gone_not_null", "no such column", mask=dq.not_null("gone")),
+                      dq.Rule("raises", "fails in a task", mask=lambda d: F.raise_error(F.lit("no luck")).isNotNull()),
                       dq.Rule("k_unique", "k", violations=dq.unique_values("k"), count=dq.count_repeated("k")),
-                      dq.Rule("k_in_set", "k", mask=dq.in_set("k", ["x"]))])
+                      dq.Rule("k_in_set", "k", mask=dq.in_set("k", ["x"])),
+                      dq.Rule("odd", "batch rule", batch=lambda b: [n % 2 == 1 for n in b.column("n").to_pylist()]),
+                      dq.Rule("bad_batch", "batch rule", batch=lambda b: b.column("gone")),
+                      dq.Rule("set_raises", "set rule", violations=lambda d: d.where(F.raise_error(F.lit("never")).isNotNull()))])
     rows = {r.rule: r for r in v.full_report(df, "d", T).collect()}
-    assert rows["k_not_null"].details == "rows 0, 2, 4, 6, 8" and rows["k_not_null"].violation_count == 10
-    assert rows["k_unique"].details == "rows 0, 1, 2, 3, 4"
-    assert (rows["gone_not_null"].passed, rows["gone_not_null"].violation_count) == (False, -1)
-    assert "gone" in rows["gone_not_null"].details
+    assert len(rows) == 8
+    assert rows["k_not_null"].violation_count == 10
+    assert rows["k_not_null"].details == "Sample violations: " + ", ".join("{k: NULL, n: %d}" % i for i in (0, 2, 4, 6, 8))
+    assert rows["k_unique"].violation_count == 20 and rows["k_unique"].details.count("{k: ") == 5
+    assert rows["odd"].violation_count == 10 and rows["odd"].details.startswith("Sample violations: {k: x, n: 1}, {k: x, n: 3}")
+    for name, word in (("gone_not_null", "gone"), ("raises", "no luck"), ("bad_batch", "gone"), ("set_raises", "never")):
+        assert (rows[name].passed, rows[name].violation_count) == (False, -1), name
+        assert rows[name].details.startswith("Check failed with error: ") and word in rows[name].details, rows[name].details
     assert rows["k_in_set"].passed and rows["k_in_set"].details is None
     assert {r.checked_at for r in rows.values()} == {T.isoformat()}
 

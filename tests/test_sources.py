@@ -1,10 +1,9 @@
-"""Source registry (missing feeds are skipped) and warehouse versioning."""
+"""Source registry: missing feeds are skipped."""
 
 import datetime as dt
 import os
 
 from haulwise.plans.job import extract_sources
-from haulwise.sources.warehouse import WarehouseStore
 
 T = dt.datetime(2024, 1, 1)
 
@@ -18,15 +17,3 @@ def test_missing_feed_is_skipped(spark, tmpdir_path):
     assert list(feeds) == ["orders"]
     row = feeds["orders"].first()
     assert (row.order_id, row.status, row._source_file, row._execution_date) == ("O1", None, "orders.csv", "2024-01-01")
-
-
-def test_versions_commit_and_read_latest(spark, tmpdir_path):
-    store = WarehouseStore(spark, tmpdir_path)
-    assert store.read("t") is None
-    store.commit("t", spark.createDataFrame([(1,)], "x int"), T)
-    store.commit("t", spark.createDataFrame([(1,), (2,)], "x int"), T)
-    assert store.version("t") == 2
-    assert sorted(r.x for r in store.read("t").collect()) == [1, 2]
-    # an uncommitted write (crash before the commit row) stays invisible
-    spark.createDataFrame([(9,)], "x int").write.parquet(f"{tmpdir_path}/t/v=3")
-    assert store.version("t") == 2
