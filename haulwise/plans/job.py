@@ -77,9 +77,7 @@ def extract_sources(spark: SparkSession, landing_dir: str, root: str, ds: str, a
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        landing.keep_malformed(spark, path, source, cols, root, ds, multiline=wide)
-        out[source] = landing.extract(spark, path, source, c.file_name, ds, as_of, f"{root}/stage",
-                                      columns=cols, multiline=wide)
+        out[source] = landing.land(spark, path, source, c.file_name, ds, as_of, root, cols, multiline=wide)
     return out
 
 

@@ -487,7 +487,7 @@ import pyarrow.compute as pc  # noqa: E402
 from haulwise.operators.standardize import transform_source  # noqa: E402
 from haulwise.plans import load, mart_state  # noqa: E402
 from haulwise.plans.build import AS_OF_2, LOAD_CALENDAR  # noqa: E402
-from haulwise.plans.job import run_batch  # noqa: E402
+from haulwise.plans.job import extract_sources, run_batch  # noqa: E402
 from haulwise.session import scratch_path  # noqa: E402
 from haulwise.sources.stage import new_run_id  # noqa: E402
 from haulwise.sources.warehouse import WarehouseStore  # noqa: E402
@@ -610,6 +610,30 @@ def q_malformed_kept(spark, sf_dir):
     return kept.select("line", F.col("fields").cast("long").alias("fields"))
 
 
+@query("source_registry")
+def q_source_registry(spark, sf_dir):
+    """Every registered source with the rows read of it, when two of the four feeds have landed (a missing file is
+    skipped), surplus lines left out."""
+    b, run = Batch(spark, sf_dir), new_run_id()
+    land, root = scratch_path(spark, "landing", run), scratch_path(spark, "warehouse", run)
+    for s in ("orders", "warehouse_inventory"):
+        _write_landing_csv(spark, b.raw(s).select(*CONTRACTS[s].columns), f"{land}/{CONTRACTS[s].file_name}")
+    feeds = extract_sources(spark, land, root, b.ds, b.as_of)
+    out = None
+    for s in SOURCES:
+        n = feeds[s].agg(F.count(F.lit(1)).alias("row_count")) if s in feeds else spark.sql("SELECT CAST(NULL AS LONG) AS row_count")
+        part = n.select(F.lit(s).alias("source"), F.lit(CONTRACTS[s].file_name).alias("file_name"), F.lit(s in feeds).alias("landed"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("unknown_source")
+def q_unknown_source(spark, sf_dir):
+    """A source without a contract passes validation and standardization as it is."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return transform_source(val.validate_source(nation, "nation")["valid"], "nation")
+
+
 # ------------------------------------------------------ end-to-end paths
 from haulwise.streaming.landing_stream import process_landed  # noqa: E402
 

@@ -24,7 +24,7 @@ from haulwise.functions.text import na_to_null
 from haulwise.sources.lineage import with_lineage
 
 __all__ = ["extract", "field_count", "header_columns", "keep_malformed", "malformed_lines", "scan_feed",
-           "with_lineage", "write_date"]
+           "land", "with_lineage", "write_date"]
 
 BAD = "_bad"
 QUOTED = r'"([^"]|"")*"'
@@ -32,6 +32,7 @@ QUOTED = r'"([^"]|"")*"'
 
 def _reader(spark: SparkSession, header: bool, multiline: bool):
     return (spark.read.option("header", header).option("multiLine", multiline)
+            .option("enforceSchema", False)  # a file with other columns than the header read first fails, never by position
             .option("escape", '"').option("quote", '"').option("encoding", "UTF-8")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD))
 
@@ -93,6 +94,26 @@ def extract(spark: SparkSession, path: str, source: str, source_file: str, ds: s
     return write_date(df, f"{stage_root.rstrip('/')}/extracted/{source}", ds)
 
 
+def land(spark: SparkSession, path: str, source: str, source_file: str, ds: str, extracted_at: dt.datetime, root: str,
+         columns: list[str], header: bool = True, multiline: bool = False) -> DataFrame:
+    """``extract`` and ``keep_malformed`` from one read of the files: every line goes to its part of one written table,
+    and the surplus ones from there to their sink."""
+    schema = ", ".join(f"`{c}` string" for c in columns) + f", {BAD} string"
+    df = _reader(spark, header, multiline).schema(schema).csv(path)
+    fields = F.when(F.col(BAD).isNotNull(), field_count(F.col(BAD)))
+    seq = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("pos"))
+    surplus = F.coalesce(fields > len(columns), F.lit(False))
+    rows = df.select(seq.alias(ROW_SEQ), *[na_to_null(F.col(f"`{c}`")).alias(c) for c in columns],
+                     F.when(surplus, F.struct(F.col(BAD).alias("line"), fields.alias("fields"),
+                                              F.array(*[F.col(f"`{c}`") for c in columns]).alias("values"),
+                                              F.col("_metadata.file_path").alias("file"))).alias("_surplus"),
+                     surplus.alias("_malformed"))
+    both = write_date(with_lineage(rows, source_file, ds, extracted_at), f"{root.rstrip('/')}/stage/landed/{source}", ds, by=("_malformed",))
+    write_date(both.where("_malformed").select("_surplus.*"), f"{root.rstrip('/')}/malformed/source={source}", ds)
+    return both.where("NOT _malformed").drop("_surplus", "_malformed")
+
+
 def keep_malformed(spark: SparkSession, path: str, source: str, columns: list[str], root: str, ds: str,
                    header: bool = True, multiline: bool = False) -> DataFrame:
     """The surplus lines that the scan leaves out, kept under ``malformed/`` for the date."""

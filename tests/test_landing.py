@@ -2,7 +2,9 @@
 
 import os
 
-from haulwise.sources.landing import scan_feed
+import pytest
+
+from haulwise.sources.landing import header_columns, scan_feed
 
 
 def _write(path, text):
@@ -29,3 +31,13 @@ def test_row_seq_follows_file_order(spark, tmpdir_path):
     _write(p, "k\n" + "\n".join(str(i) for i in range(50, 0, -1)) + "\n")
     got = [r.k for r in scan_feed(spark, p, multiline=False).orderBy("_row_seq").collect()]
     assert got == [str(i) for i in range(50, 0, -1)]
+
+
+def test_a_folder_with_other_headers_fails(spark, tmpdir_path):
+    """Columns are never taken by position from a file whose header differs."""
+    _write(os.path.join(tmpdir_path, "a.csv"), "a,b\n1,2\n")
+    assert len(scan_feed(spark, tmpdir_path).collect()) == 1
+    _write(os.path.join(tmpdir_path, "b.csv"), "b,a\n3,4\n")
+    cols = header_columns(spark, os.path.join(tmpdir_path, "a.csv"))
+    with pytest.raises(Exception, match="header|HEADER"):
+        scan_feed(spark, tmpdir_path, cols).collect()
