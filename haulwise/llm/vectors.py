@@ -6,11 +6,13 @@ vectors. Unit vectors are turned to their principal directions (fitted on at
 most ``FIT_ROWS`` of them: any rotation keeps distances, so the fit decides
 only how much is skipped) and sorted by their grid cells of width eps on the
 leading ``CELL_DIMS`` directions. Runs of that order become intervals of at
-most ``INTERVAL`` vectors with the box of cells they touch.
+most ``interval`` vectors with the box of cells they touch and the box of
+their coordinates in the ``BOX_DIMS`` leading directions.
 
-Intervals whose boxes are more than a cell apart in some direction are
-provably distant: first runs of intervals (one per task) are joined by their
-boxes, then the intervals inside the pairs that remain. Every pair of
+Intervals whose cells are more than one apart in some direction, or whose
+boxes are further apart than eps, are provably distant: first runs of intervals (one
+per task) are joined by their cells, then the intervals inside the pairs that
+remain by cells and boxes, before any vector moves. Every pair of
 intervals left is one row for one task, which halves both sides again and
 again, skips halves whose boxes lie further apart than eps, and compares small
 ones in double precision. A pair returns, for each vector, its number of links
@@ -99,8 +101,9 @@ def _turn(x: np.ndarray, rotations: dict[int, np.ndarray]) -> np.ndarray:
     return x @ basis if basis is not None else x[:, :BOX_DIMS]
 
 
-def _intervals(nodes: DataFrame, rotations, eps: float) -> DataFrame:
-    """Runs of the grid order: part, block, label, size, box of cells, nodes, copies and units as bytes."""
+def _intervals(nodes: DataFrame, rotations, eps: float, interval: int) -> DataFrame:
+    """Runs of the grid order: part, block, label, size, box of cells, box of coordinates (low, high), nodes, copies and
+    units as bytes."""
     cells = [f"g{i}" for i in range(CELL_DIMS)]
 
     def grid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,13 +123,13 @@ def _intervals(nodes: DataFrame, rotations, eps: float) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            while held.num_rows > INTERVAL:
-                n = _run_length(held)
-                yield _interval(held.slice(0, n), part, block)
+            while held.num_rows > interval:
+                n = _run_length(held, interval)
+                yield _interval(held.slice(0, n), part, block, rotations.value)
                 held, block = held.slice(n), block + 1
         while held is not None and held.num_rows:
-            n = _run_length(held)
-            yield _interval(held.slice(0, n), part, block)
+            n = _run_length(held, interval)
+            yield _interval(held.slice(0, n), part, block, rotations.value)
             held, block = held.slice(n), block + 1
 
     kinds = "node long, label string, size int, unit binary, copies long"
@@ -135,27 +138,37 @@ def _intervals(nodes: DataFrame, rotations, eps: float) -> DataFrame:
     order = [*_GROUP, *cells, "node"]
     box = ", ".join(f"{c} int" for c in [*_LO, *_HI])
     return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        cut, f"part int, block long, label string, size int, {box}, nodes binary, copies binary, units binary")
+        cut, f"part int, block long, label string, size int, {box}, low array<double>, high array<double>, "
+             "nodes binary, copies binary, units binary")
 
 
-def _run_length(held: pa.Table) -> int:
-    """Rows of the first interval: one group, at most INTERVAL rows."""
-    head = held.slice(0, INTERVAL)
+def _run_length(held: pa.Table, interval: int) -> int:
+    """Rows of the first interval: one group, at most ``interval`` rows, cut (past a quarter of that) where the order
+    moves furthest in its leading directions, so that boxes span fewer clusters."""
+    head = held.slice(0, interval + 1)
     label, size = (head[c].to_pylist() for c in _GROUP)
     n = 1
     while n < len(label) and label[n] == label[0] and size[n] == size[0]:
         n += 1
-    return n
+    if n <= interval:
+        return n
+    cell = np.stack([head[f"g{i}"].to_numpy() for i in range(CELL_DIMS)]).astype(np.int64)
+    moves = (np.diff(cell, axis=1) ** 2).sum(axis=0)  # moves[i]: between rows i and i + 1
+    least = max(interval // 4, 1)
+    late = moves[least - 1:interval]
+    return least + int(len(late) - 1 - np.argmax(late[::-1]))
 
 
-def _interval(rows: pa.Table, part: int, block: int) -> pa.RecordBatch:
+def _interval(rows: pa.Table, part: int, block: int, rotations: dict[int, np.ndarray]) -> pa.RecordBatch:
+    y = _turn(np.stack([np.frombuffer(u) for u in rows["unit"].to_pylist()]), rotations)
     cell = np.stack([rows[f"g{i}"].to_numpy() for i in range(CELL_DIMS)])
     values = [part, (part << 32) | block, rows["label"][0].as_py(), rows["size"][0].as_py(),
-              *cell.min(axis=1).tolist(), *cell.max(axis=1).tolist(),
+              *cell.min(axis=1).tolist(), *cell.max(axis=1).tolist(), y.min(axis=0).tolist(), y.max(axis=0).tolist(),
               rows["node"].to_numpy().tobytes(), rows["copies"].to_numpy().tobytes(),
               b"".join(rows["unit"].to_pylist())]
-    kinds = [pa.int32(), pa.int64(), pa.string(), *[pa.int32()] * (1 + 2 * CELL_DIMS), *[pa.binary()] * 3]
-    names = ["part", "block", *_GROUP, *_LO, *_HI, "nodes", "copies", "units"]
+    kinds = [pa.int32(), pa.int64(), pa.string(), *[pa.int32()] * (1 + 2 * CELL_DIMS), *[pa.list_(pa.float64())] * 2,
+             *[pa.binary()] * 3]
+    names = ["part", "block", *_GROUP, *_LO, *_HI, "low", "high", "nodes", "copies", "units"]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
 
@@ -167,7 +180,14 @@ def _near(a: str, b: str) -> F.Column:
     return out
 
 
-def _pairs(boxes: DataFrame) -> DataFrame:
+def _gap(a: str, b: str) -> F.Column:
+    """Squared distance between the boxes of the aliased rows, a lower bound for all their vectors."""
+    beyond = lambda x, y: F.zip_with(F.col(f"{x}.low"), F.col(f"{y}.high"), lambda lo, hi: F.greatest(lo - hi, F.lit(0.0)))
+    apart = F.zip_with(beyond(a, b), beyond(b, a), lambda u, v: F.greatest(u, v))
+    return F.aggregate(apart, F.lit(0.0), lambda total, d: total + d * d)
+
+
+def _pairs(boxes: DataFrame, eps: float) -> DataFrame:
     """Pairs of intervals (a <= b) of one group that are not provably distant: a, b."""
     runs = boxes.groupBy("part", *_GROUP).agg(*[F.min(c).alias(c) for c in _LO], *[F.max(c).alias(c) for c in _HI])
     # each run stands in its first-direction cells; the pair is met in the first cell that both reach
@@ -183,7 +203,7 @@ def _pairs(boxes: DataFrame) -> DataFrame:
                                  + [F.col("p.pa") == F.col("x.part")])
     return inner.join(boxes.alias("y"), [F.col(f"p.{c}") == F.col(f"y.{c}") for c in _GROUP]
                       + [F.col("p.pb") == F.col("y.part"), F.col("x.block") <= F.col("y.block"), _near("x", "y")]) \
-        .select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
+        .where(_gap("x", "y") <= (eps + SLACK) ** 2).select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
 
 
 def close_pairs(xa: np.ndarray, xb: np.ndarray, ya: np.ndarray, yb: np.ndarray, same: bool, threshold: float,
@@ -263,8 +283,9 @@ def _compare(pairs: DataFrame, blocks: DataFrame, rotations, threshold: float, e
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
-                    vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id (smallest id reachable), kept."""
+                    vector_col: str = "embedding", label_col: str = "label", interval: int = INTERVAL) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id (smallest id reachable), kept. ``interval``: the most vectors
+    of an interval."""
     spark = vectors.sparkSession
     prepare(spark)
     eps = math.sqrt(2 - 2 * threshold)
@@ -274,8 +295,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "vectors-nodes")
     rotations = spark.sparkContext.broadcast(_rotations(nodes))
-    blocks = materialize(_intervals(nodes, rotations, eps), "vectors-intervals")
-    pairs = materialize(_pairs(blocks.select("part", "block", *_GROUP, *_LO, *_HI)), "vectors-pairs")
+    blocks = materialize(_intervals(nodes, rotations, eps, interval), "vectors-intervals")
+    pairs = materialize(_pairs(blocks.select("part", "block", *_GROUP, *_LO, *_HI, "low", "high"), eps), "vectors-pairs")
     found = materialize(_compare(pairs.repartition("a", "b"), blocks, rotations, threshold, eps), "vectors-links")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vectors")
     links = found.groupBy("node").agg(F.sum("n").alias("n"))

@@ -1,5 +1,6 @@
 """Embedding links, license scans, toxicity and language ID."""
 
+import math
 import random
 
 import numpy as np
@@ -37,8 +38,7 @@ def links_by_hand(rows, threshold):
 
 
 @pytest.mark.parametrize("interval", [4096, 16])
-def test_vector_links(spark, monkeypatch, interval):
-    monkeypatch.setattr(vectors, "INTERVAL", interval)
+def test_vector_links(spark, interval):
     rng = np.random.default_rng(interval)
     centres = rng.normal(size=(9, 6))
     rows = [(i, (centres[rng.integers(9)] + rng.normal(size=6) * 0.12).tolist(), int(rng.integers(2))) for i in range(160)]
@@ -48,10 +48,40 @@ def test_vector_links(spark, monkeypatch, interval):
              (3005, [None] + same[1:], 0), (3006, same, None), (None, same, 0), (3007, same[:3], 0), (3008, same[:3], 0),
              (3009, [1e-200, 0.0], 1), (3010, [1e200, 0.0], 1), (3010, [1e200, 0.0], 1)]
     table = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, label int, node int")
-    found = vectors.near_duplicates(table.repartition(4), 0.98)
+    found = vectors.near_duplicates(table.repartition(4), 0.98, interval=interval)
     assert by_row(found, "vec_id", "n_links", "component_id", "kept") == sorted(links_by_hand(rows, 0.98), key=repr)
 
 
+def test_distant_intervals_are_never_paired(spark):
+    """One label, clustered vectors, ranges cut into many intervals: few pairs are kept, and all that hold links."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(150, 64))
+    x = centres[rng.integers(150, size=4000)] + rng.normal(size=(4000, 64)) * 0.08
+    table = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    eps = math.sqrt(0.04)
+    nodes = vectors.unit_rows(table, "vec_id", "embedding", "label").selectExpr(
+        "vec_id AS node", "label", "size", "unit", "1L AS copies").repartition(4)
+    nodes = nodes.checkpoint()
+    rotations = spark.sparkContext.broadcast(vectors._rotations(nodes))
+    blocks = vectors._intervals(nodes, rotations, eps, 40).checkpoint()
+    held = {r.block: np.frombuffer(r.nodes, np.int64).tolist() for r in blocks.collect()}
+    assert len(held) >= 100 and max(map(len, held.values())) <= 40 and sum(map(len, held.values())) == 4000
+    per_part = blocks.groupBy("part").count().agg({"count": "max"}).first()[0]
+    assert per_part > 5  # a range holds many intervals
+    kept = {(r.a, r.b) for r in vectors._pairs(blocks, eps).collect()}
+    of = {n: b for b, nodes_ in held.items() for n in nodes_}
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = np.argwhere(np.triu(units @ units.T, 1) >= 0.98)
+    assert len(linked) > 1000
+    assert {tuple(sorted((of[int(i)], of[int(j)]))) for i, j in linked} <= kept
+    every = len(held) * (len(held) + 1) // 2
+    by_cells = vectors._pairs(blocks, 1e9).count()
+    print("interval pairs", every, by_cells, len(kept))
+    assert len(kept) < every / 2 and len(kept) < by_cells * 0.75
+    found = vectors.near_duplicates(table, 0.98, interval=40).agg({"n_links": "sum"}).first()[0]
+    assert found == 2 * len(linked)
+
+
 def test_vectors_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(none).count() == 0
