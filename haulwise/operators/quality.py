@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import EVENT_TYPES, ORDER_STATUSES, ROW_SEQ
 from haulwise.functions.numbers import to_number
+from haulwise.operators.joins import spread_lookup
 
 REPORT_SCHEMA = "dataset string, rule string, description string, passed boolean, violation_count long"
 
@@ -128,10 +129,15 @@ def count_repeated(column: str) -> Callable[[DataFrame], DataFrame]:
     return count
 
 
-def referential_integrity(column: str, dim: DataFrame, dim_key: str) -> Callable[[DataFrame], DataFrame]:
-    """Non-NULL values with no matching dimension key violate. Rows without a value stay out of the join."""
+def referential_integrity(column: str, dim: DataFrame, dim_key: str,
+                          row_id: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Non-NULL values with no matching dimension key violate. Rows without a value stay out of the join. ``row_id``: for
+    a dimension (unique on its key) too large to broadcast, rows of a hot value are dealt out by it."""
     def rows(df: DataFrame) -> DataFrame:
         keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull())
+        if row_id is not None:
+            return spread_lookup(df.where(F.col(column).isNotNull()), keys.withColumnRenamed("_k", column), column, row_id,
+                                 how="left_anti").select(*df.columns)
         return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_k"), "left_anti")
     return rows
 

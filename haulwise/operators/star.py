@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from haulwise.contracts import FACT_TABLE, INITIAL_WATERMARK, PARTNER_TYPE, WAREHOUSE_REGIONS
 from haulwise.functions.numbers import NUMERIC_TEXT
-from haulwise.operators.joins import lookup_join, only_possible
+from haulwise.operators.joins import lookup_join, only_possible, spread_lookup
 from haulwise.operators.keys import number_rows
 from haulwise.sources.stage import new_run_id, stage
 from haulwise.sources.warehouse import PLACE, WarehouseStore
@@ -258,11 +258,12 @@ def date_key(iso_text) -> Column:
 
 
 def fact_rows(slice_df: DataFrame, dim_w: DataFrame | None = None, dim_p: DataFrame | None = None,
-              dim_r: DataFrame | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
+              dim_r: DataFrame | None = None, kept: tuple[str, ...] = (), spread: tuple[str, ...] = ()) -> DataFrame:
     """Orders slice -> fact columns (no delivery_key / created_at yet), and the ``kept`` columns of the slice.
 
     Surrogate keys come from left lookups (unmatched -> NULL key), which never add rows as dimensions are unique on their
-    ids; the key of a dimension that is not given is left out.
+    ids; the key of a dimension that is not given is left out. ``spread`` names dimensions (warehouse, partner, route) too
+    large to broadcast: their hot members are dealt out.
     """
     o = slice_df.select("order_id", "warehouse_id", "partner_id", "route_id", "order_date",
                         "promised_delivery_date", "actual_delivery_date", "order_value_usd",
@@ -270,7 +271,8 @@ def fact_rows(slice_df: DataFrame, dim_w: DataFrame | None = None, dim_p: DataFr
     keys = []
     for dim, name in ((dim_w, "warehouse"), (dim_p, "partner"), (dim_r, "route")):
         if dim is not None:
-            o = lookup_join(o, dim, f"{name}_id", cols=[f"{name}_id", f"{name}_key"])
+            pair = dim.select(f"{name}_id", f"{name}_key")
+            o = spread_lookup(o, pair, f"{name}_id", "order_id") if name in spread else lookup_join(o, pair, f"{name}_id")
             keys.append(f"{name}_key")
     return o.select(
         "order_id", *keys,

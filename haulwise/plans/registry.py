@@ -292,6 +292,14 @@ def q_fact_key_lookup(spark, sf_dir):
     return Batch(spark, sf_dir).fact_rows.select("order_id", "warehouse_key", "partner_key", "route_key")
 
 
+@query("fact_key_lookup_spread")
+def q_fact_key_lookup_spread(spark, sf_dir):
+    """The same lookups as for dimensions too large to broadcast, hot members dealt out."""
+    b = Batch(spark, sf_dir)
+    rows = star.fact_rows(b.fact_slice, b.dim_warehouse, b.dim_partner, b.dim_route, spread=("warehouse", "partner", "route"))
+    return rows.select("order_id", "warehouse_key", "partner_key", "route_key")
+
+
 @query("fact_date_keys")
 def q_fact_date_keys(spark, sf_dir):
     return Batch(spark, sf_dir).fact_rows.select("order_id", "order_date_key", "promised_date_key", "actual_date_key")
@@ -404,6 +412,15 @@ def q_dq_referential(spark, sf_dir):
     return _single_rule(b.transformed["delivery_events"], "delivery_events", rule)
 
 
+@query("dq_referential_spread")
+def q_dq_referential_spread(spark, sf_dir):
+    """The same rule as for a dimension too large to broadcast, events of a hot order dealt out."""
+    b = Batch(spark, sf_dir)
+    rule = dq.Rule("order_id_exists", "Event order must exist",
+                   violations=dq.referential_integrity("order_id", b.transformed["orders"], "order_id", row_id="event_id"))
+    return _single_rule(b.transformed["delivery_events"], "delivery_events", rule)
+
+
 @query("dq_custom")
 def q_dq_custom(spark, sf_dir):
     t = Batch(spark, sf_dir).transformed["warehouse_inventory"]
