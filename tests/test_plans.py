@@ -26,3 +26,12 @@ def test_dedupe_limits_before_shuffle(spark):
     b = Batch(spark, SF_SMALL)
     p = _plan(b.valid("orders"))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_marts_sum_before_they_join(spark):
+    b = Batch(spark, SF_SMALL)
+    fact = b.mart_fact("warehouse")
+    plan = marts.on_time_rate_by_warehouse(fact, b.dim_warehouse)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join Inner" in line]
+    sums = [i for i, line in enumerate(plan.splitlines()) if "Aggregate [warehouse_key" in line]
+    assert joins and sums and joins[0] < sums[0]  # the tree prints the join above the sums it takes
