@@ -198,7 +198,7 @@ taken AS (
   FROM streams JOIN targets ON streams.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
   CASE WHEN taken > 0 THEN least(1.0, CASE turn
-    WHEN 0 THEN (sqrt(greatest(2.25 + -2.0 * (x / target), 0.0)) - 1.5) / -1.0
+    WHEN 0 THEN 0.0 + (sqrt(greatest(2.25 + -2.0 * (x / target), 0.0)) - 1.5) / -1.0
     WHEN 1 THEN x / target
     ELSE (sqrt(greatest(0.25 + 2.0 * (x / target), 0.0)) - 0.5) / 1.0 END) END AS position
 FROM taken"""
