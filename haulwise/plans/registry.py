@@ -686,10 +686,11 @@ def q_job_rerun(spark, sf_dir):
     run_batch(spark, {"orders": orders}, root, b.ds, b.as_of)
     run_batch(spark, {"orders": orders.withColumn("order_id", F.lit(None).cast("string"))}, root, b.ds, b.as_of)
     at = f"_execution_date={b.ds}"
-    parts = [("validated", f"{root}/stage/validated/orders/{at}"), ("transformed", f"{root}/stage/transformed/orders/{at}"),
+    valid = val.routes(spark.read.parquet(f"{root}/stage/routed/orders/{at}"))["valid"]
+    parts = [("transformed", f"{root}/stage/transformed/orders/{at}"),
              ("quarantined", f"{root}/quarantine/source=orders/{at}"), ("duplicates", f"{root}/duplicates/source=orders/{at}")]
-    out = [spark.read.parquet(path).agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("row_count"))
-           for name, path in parts]
+    sinks = [("validated", valid), *[(name, spark.read.parquet(path)) for name, path in parts]]
+    out = [df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("row_count")) for name, df in sinks]
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
