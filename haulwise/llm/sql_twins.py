@@ -103,24 +103,44 @@ notice_words AS (SELECT i, label, len(ws) AS size, unnest(ws) AS word, unnest(ra
 grams AS (
   SELECT *, lead(word) OVER here AS second, lead(word, 2) OVER here AS third FROM notice_words
   WINDOW here AS (PARTITION BY i ORDER BY slot)),
-diagonals AS (
-  SELECT doc_id, i, label, size, p - slot AS diagonal, list(DISTINCT slot) AS met, min(p) AS low, max(p) AS high
+matched AS (
+  SELECT DISTINCT doc_id, i, label, size, p, slot, true AS whole
   FROM runs JOIN grams ON runs.word = grams.word AND runs.second = grams.second AND runs.third = grams.third
-  GROUP BY ALL HAVING count(DISTINCT slot) >= 3),
+  UNION ALL
+  SELECT DISTINCT doc_id, i, label, size, p, slot, false
+  FROM runs JOIN grams ON runs.word = grams.word AND runs.second = grams.second
+  WHERE (size - 4) / (size - 2) < 0.8 AND (slot = 0 OR slot = size - 2)),
 marked AS (
-  SELECT *, CASE WHEN abs(diagonal - lag(diagonal) OVER d) <= 4 AND low - lag(high) OVER d <= size THEN 0 ELSE 1 END AS new
-  FROM diagonals WINDOW d AS (PARTITION BY doc_id, i ORDER BY low, diagonal)),
-spans AS (
-  SELECT *, sum(new) OVER (PARTITION BY doc_id, i ORDER BY low, diagonal RANGE UNBOUNDED PRECEDING) AS span FROM marked),
+  SELECT *, CASE WHEN p - slot - lag(p - slot) OVER d <= greatest(4, size // 16) THEN 0 ELSE 1 END AS new
+  FROM matched WINDOW d AS (PARTITION BY doc_id, i ORDER BY p - slot)),
+chained AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, i ORDER BY p - slot RANGE UNBOUNDED PRECEDING) AS chain FROM marked),
+single AS (
+  SELECT DISTINCT doc_id, i, chain, size, unnest([p, p + 1, CASE WHEN whole THEN p + 2 ELSE p END]) AS p,
+    unnest([slot, slot + 1, CASE WHEN whole THEN slot + 2 ELSE slot END]) AS slot
+  FROM chained WHERE (size - 4) / (size - 2) < 0.8),
+starts AS (
+  SELECT a.doc_id, a.i, a.chain, a.p, count(DISTINCT b.slot) AS held
+  FROM chained a JOIN chained b ON a.doc_id = b.doc_id AND a.i = b.i AND a.chain = b.chain
+    AND b.p BETWEEN a.p AND a.p + floor(a.size * 1.3) - 3
+  WHERE a.whole AND b.whole GROUP BY a.doc_id, a.i, a.chain, a.p),
+single_starts AS (
+  SELECT a.doc_id, a.i, a.chain, a.p, count(DISTINCT b.slot) AS held
+  FROM single a JOIN single b ON a.doc_id = b.doc_id AND a.i = b.i AND a.chain = b.chain
+    AND b.p BETWEEN a.p AND a.p + floor(a.size * 1.3) - 1
+  GROUP BY a.doc_id, a.i, a.chain, a.p),
+fullest AS (SELECT doc_id, i, chain, max(held) AS held FROM starts GROUP BY ALL),
+fullest_words AS (SELECT doc_id, i, chain, max(held) AS held FROM single_starts GROUP BY ALL),
 merged AS (
-  SELECT doc_id, label, size, len(list_distinct(flatten(list(met)))) / (size - 2) AS cover,
-    max(high) + 3 - min(low) <= size * 1.3 AS fits
-  FROM spans GROUP BY doc_id, i, label, size, span),
+  SELECT c.doc_id, any_value(c.label) AS label, count(DISTINCT slot) / (any_value(size) - 2) AS met,
+    any_value(f.held) / (any_value(size) - 2) AS cover,
+    any_value(f.held) / (any_value(size) - 2) >= 0.8 OR coalesce(any_value(w.held) = any_value(size), false) AS sure
+  FROM chained c JOIN fullest f USING (doc_id, i, chain) LEFT JOIN fullest_words w USING (doc_id, i, chain)
+  WHERE whole GROUP BY c.doc_id, i, chain HAVING count(DISTINCT slot) >= 3),
 found AS (
   SELECT doc_id, label, true AS base, true AS sure, 1.0::DOUBLE AS score, p FROM places
   UNION ALL
-  SELECT doc_id, label, false, fits AND cover >= 0.8, CASE WHEN fits AND cover >= 0.8 THEN cover ELSE cover * 0.5 END, NULL
-  FROM merged),
+  SELECT doc_id, label, false, sure, CASE WHEN sure THEN cover ELSE met * 0.5 END, NULL FROM merged),
 summed AS (
   SELECT doc_id, count(*) FILTER (base) AS n_base, min(p) AS first_word, max(p) AS last_word, max(score) AS score,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,

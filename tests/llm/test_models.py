@@ -125,7 +125,6 @@ def test_license_phrases(spark, no_docs):
 def test_license_notices(spark):
     for text, label in license_scan.NOTICES:
         words = text.split()
-        assert len(words) <= 62
         cut = words[:9] + ["one", "two"] + words[9:]
         rows = [(1, "Before. " + text.upper() + " after"), (2, " ".join(cut)), (3, " ".join(words[:len(words) // 2])),
                 (4, " ".join(reversed(words))), (5, " ".join(w + " filler words here" for w in words))]
@@ -157,6 +156,69 @@ def test_license_weak_diagonals_alone_are_noise(spark):
     assert [(r.labels, r.score) for r in license_scan.scan(docs).collect()] == [("", 0.0)] * 3
 
 
+def notice_by_hand(words, notice):
+    """Share of the notice's 3-grams in the fullest stretch of 1.3 of its length (one chain of diagonals), or None."""
+    grams = [tuple(notice[i:i + 3]) for i in range(len(notice) - 2)]
+    found = [(p, at) for p in range(len(words) - 2) for at, g in enumerate(grams) if g == tuple(words[p:p + 3])]
+    drift, chains = max(4, len(notice) // 16), []
+    for p, at in sorted(found, key=lambda m: m[0] - m[1]):
+        if chains and p - at - (chains[-1][-1][0] - chains[-1][-1][1]) <= drift:
+            chains[-1].append((p, at))
+        else:
+            chains.append([(p, at)])
+    reach = math.floor(len(notice) * 1.3) - 3
+    best = [max(len({at for q, at in c if p <= q <= p + reach}) for p, _ in c) / len(grams) for c in chains
+            if len({at for _, at in c}) >= 3]
+    return max(best, default=None)
+
+
+def test_license_notices_of_any_length(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    lengths = {"short": 12, "page": 150, "whole": 1500}
+    notices = {name: [rng.choice(vocabulary) for _ in range(n)] for name, n in lengths.items()}
+    table = spark.createDataFrame([(" ".join(w).upper(), name) for name, w in notices.items()]
+                                  + [(" ".join(notices["page"]), "page"), (None, "none"), ("one two", "small"), ("", "empty"),
+                                     (" ".join(notices["page"]), None)], "text string, label string")
+    rows = []
+    for name, words in notices.items():
+        n = len(words)
+        noise = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+        rows += [noise(30) + words + noise(30), words[:n // 3] + noise(n // 20) + words[n // 3:], words[:n // 2],
+                 words[n // 2:] + words[:n // 2], words[:n // 10] + words[n // 4:], [x for w in words for x in (w, "of")],
+                 words + noise(5) + words, words[:n // 2] + noise(n // 3) + words[n // 2:], noise(200),
+                 [w if rng.random() > 0.04 else "changed" for w in words]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in license_scan.scan(docs, notices=table).collect()}
+    assert len(got) == len(rows)
+    hits = 0
+    for i, words in enumerate(rows):
+        cover = {name: notice_by_hand(words, notice) for name, notice in notices.items() if name != "short"}
+        sure = {name for name, c in cover.items() if c is not None and c >= 0.8}
+        assert {x for x in got[i].labels.split(",") if x} - {"short"} == sure, i
+        hits += len(sure)
+        if sure:
+            assert got[i].score == max(cover[name] for name in sure)
+    assert hits == 8  # whole, with words put in, twice, and with words changed: each of both
+    for name, at in (("short", 0), ("page", 10), ("whole", 20)):
+        assert [name in got[at + j].labels for j in (0, 2, 5, 6, 8)] == [True, False, False, True, False]
+    low = {(r.id, r.label): r.low for r in license_scan.notice_spans(license_scan.votes(
+        docs.select(docs.doc_id.alias("id"), F.lit(0).alias("text_hash"), license_scan.words_of(docs.text).alias("words")),
+        license_scan.templates(spark, table))).where("verified").collect()}
+    assert low[10, "page"] == 30 and low[20, "whole"] == 30
+
+
+def test_license_templates_that_are_no_notices(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "MIT License and more words"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "body string, name string")
+    found = license_scan.scan(docs, notices=none, notice_col="body", label_col="name")
+    assert by_row(found, "doc_id", "labels", "n_base") == [(1, "mit", 1), (2, "", 0)]
+    monkeypatch.setattr(license_scan, "BROADCAST_POSITIONS", 0)  # joined by gram, whatever the plan
+    table = spark.createDataFrame([("and more words stand here", "own")], "text string, label string")
+    more = spark.createDataFrame([(3, "x And more words\nstand here.")], docs.schema).union(docs)
+    assert by_row(license_scan.scan(more, notices=table), "doc_id", "labels") == [(1, "mit"), (2, ""), (3, "own")]
+
+
 def test_license_plan_has_no_python(spark, tricky):
     plan = license_scan.scan(tricky[1])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

@@ -2,6 +2,7 @@
 
 import importlib.util
 import os
+import random
 
 import public_tokenizers
 
@@ -67,11 +68,14 @@ def test_license_twin_agrees_on_notices(spark):
     import duckdb
 
     from haulwise.llm import license_scan, sql_twins
-    texts = [license_scan.PHRASES[0][0] * 2, "", None]
+    rng, texts = random.Random(8), [license_scan.PHRASES[0][0] * 2, "", None]
     for text, _ in license_scan.NOTICES:
         words = text.split()
         texts += [text, text.upper() + " x " + text, " ".join(words[:8]), " ".join(words[:9] + ["one", "two"] + words[9:]),
                   " ".join(words[4:] + words[:4]), " ".join(w + " a b" for w in words), "GNU general public license " + text]
+        texts += [" ".join(words[:i] + ["inserted"] + words[i:] + words[-5:]) for i in range(0, len(words), 2)]
+        texts += [" ".join(words[:i] + ["one", "and", "more", "words", "put", "in"][:2 + i % 5] + words[i:]) for i in range(1, len(words), 3)]
+        texts += [" ".join(rng.choice(words[:6] + words[-3:]) for _ in range(60)) for _ in range(4)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     con = duckdb.connect()
     con.register("documents", docs.toArrow())
