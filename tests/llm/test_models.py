@@ -158,8 +158,10 @@ def test_license_weak_diagonals_alone_are_noise(spark):
 
 def notice_by_hand(words, notice):
     """Share of the notice's 3-grams in the fullest stretch of 1.3 of its length (one chain of diagonals), or None."""
-    grams = [tuple(notice[i:i + 3]) for i in range(len(notice) - 2)]
-    found = [(p, at) for p in range(len(words) - 2) for at, g in enumerate(grams) if g == tuple(words[p:p + 3])]
+    grams, places = [tuple(notice[i:i + 3]) for i in range(len(notice) - 2)], {}
+    for at, g in enumerate(grams):
+        places.setdefault(g, []).append(at)
+    found = [(p, at) for p in range(len(words) - 2) for at in places.get(tuple(words[p:p + 3]), ())]
     drift, chains = max(4, len(notice) // 16), []
     for p, at in sorted(found, key=lambda m: m[0] - m[1]):
         if chains and p - at - (chains[-1][-1][0] - chains[-1][-1][1]) <= drift:
@@ -248,6 +250,56 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(held) > 150 and sum(a == b for a, b in held) / len(held) > 0.97
 
 
+def cells_by_hand(text):
+    """Cells of the distinct 3-5-grams of a text, each n-gram hashed alone."""
+    low = "".join(c if ord(c) >= 0x250 else c.lower() if len(c.lower()) == 1 and c.lower().isalnum() else " "
+                  for c in f" {text or ''} ")
+    cells = set()
+    for size in (3, 4, 5):
+        for gram in {low[i:i + size] for i in range(len(low) - size + 1)}:
+            h = 0
+            for c in gram:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            h = ((h ^ h >> 15) * 0x85EBCA6B + size) % 2**32
+            cells.add((h ^ h >> 13) >> 14)
+    return cells
+
+
+def test_toxicity_by_hand(spark):
+    """Ratios and selection counted anew; the fit is checked by the slope of its loss; scores are summed anew."""
+    rng = random.Random(21)
+    rows = [(i, made_up(rng, i % 4 == 0) + rng.choice(["", " Straße", " 漢字!", "É"]), int(i % 4 == 0)) for i in range(160)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, None), (901, ""), (902, "grobbish")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.learn(docs.repartition(4), labels)
+    have = [cells_by_hand(t) for _, t, _ in rows]
+    toxic = np.array([y for _, _, y in rows])
+    total = [int((toxic == 0).sum()), int((toxic == 1).sum())]
+    count = {}
+    for cells, y in zip(have, toxic):
+        for c in cells:
+            count.setdefault(c, [0, 0])[y] += 1
+    z = {}
+    for c, n in count.items():
+        has, lacks = [x + 0.5 for x in n], [t - x + 0.5 for t, x in zip(total, n)]
+        odds = math.log(has[1] / lacks[1]) - math.log(has[0] / lacks[0])
+        z[c] = abs(odds) / math.sqrt(sum(1 / x for x in has + lacks))
+    kept = {c for c in z if z[c] >= toxicity.LEAST_Z}
+    assert 20 < len(kept) < toxicity.FEATURES and set(model.cells.tolist()) == kept
+    mass = [sum(n[y] + 1 for n in count.values()) + toxicity.CELLS - len(count) for y in (0, 1)]
+    ratio = {c: math.log((count[c][1] + 1) / mass[1]) - math.log((count[c][0] + 1) / mass[0]) for c in kept}
+    weight = dict(zip(model.cells.tolist(), model.weights.tolist()))
+    chance = lambda cells: 1 / (1 + math.exp(-(model.intercept + sum(weight[c] for c in cells if c in kept))))
+    error = [chance(cells) - y for cells, y in zip(have, toxic)]
+    slope = {c: sum(e for e, cells in zip(error, have) if c in cells) * ratio[c] + toxicity.RIDGE * weight[c] / ratio[c]
+             for c in kept}
+    at_zero = {c: sum(total[1] / len(rows) - y for y, cells in zip(toxic, have) if c in cells) * ratio[c] for c in kept}
+    norm = lambda s: math.sqrt(sum(x * x for x in s.values()))
+    assert norm(slope) < norm(at_zero) / 1000 and abs(sum(error)) / len(rows) < 0.002  # the intercept has no ridge
+    for r in toxicity.score(docs, model).collect():
+        assert r._score == pytest.approx(chance(cells_by_hand(r.text)), abs=1e-9)
+
+
 def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
     rng = random.Random(9)
     fit, sizes = toxicity._fit, []
@@ -309,6 +361,88 @@ def test_language_id_on_held_out_rows(spark, no_docs):
     assert not {500, 501, 502} & set(relabelled) and relabelled[503] == "aa" and relabelled[None] == "bb"
 
 
+def byte_words(text):
+    """Trigram cells of each word of a text."""
+    normal = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode())
+    out = []
+    for word in normal.split(b" "):
+        padded = b" " + word + b" "
+        if word:
+            out.append([((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) * 0x9E3779B1 % 2**32) >> 17
+                        for i in range(len(word))])
+    return out
+
+
+def em_by_hand(likely):
+    """Proportions for words of the given likelihoods, and the log-likelihood they reach."""
+    n = len(likely[0])
+    share = [1 / n] * n
+    for _ in range(language_id.ROUNDS):
+        new = [0.0] * n
+        for word in likely:
+            whole = sum(s * x for s, x in zip(share, word))
+            for k in range(n):
+                new[k] += share[k] * word[k] / whole / len(likely)
+        moved, share = max(abs(a - b) for a, b in zip(new, share)), new
+        if moved <= 1e-3:
+            break
+    return share, sum(math.log(sum(s * x for s, x in zip(share, word)) + 1e-30) for word in likely)
+
+
+def language_by_hand(text, names, counts):
+    """Language and score of a text by the docstring's method, word by word."""
+    log_p = [[math.log((counts[k].get(c, 0) + language_id.SMOOTHING)
+                       / (sum(counts[k].values()) + language_id.SMOOTHING * language_id.GRAMS)) for k in names]
+             for c in sorted({c for w in byte_words(text) for c in w})]
+    log_p = dict(zip(sorted({c for w in byte_words(text) for c in w}), log_p))
+    words = [[sum(log_p[c][k] for c in cells) for k in range(len(names))] for cells in byte_words(text)]
+    words = [[x - max(w) for x in w] for w in words]
+    likely = [[math.exp(max(x, -60)) for x in w] for w in words]
+    alone = [sum(w[k] for w in words) for k in range(len(names))]
+    best = alone.index(max(alone))
+    penalty = language_id.PENALTY * math.log(len(words) + 1)
+    share, mixed = em_by_hand(likely)
+    if mixed - max(alone) <= penalty:
+        return names[best], 1.0
+    chosen, value = {best: 1.0}, alone[best]
+    left = [k for k in range(len(names)) if share[k] > 0.5 / len(words)]
+    while len(left) > 1:
+        part, reached = em_by_hand([[w[k] for k in left] for w in likely])
+        if reached - penalty * (len(left) - 1) > value:
+            chosen, value = dict(zip(left, part)), reached - penalty * (len(left) - 1)
+        left.pop(part.index(min(part)))
+    top = max(chosen, key=chosen.get)
+    return names[top], chosen[top]
+
+
+def test_language_mixtures_by_hand(spark):
+    rng = random.Random(33)
+    near = {**LANGUAGES, "dd": ["ba", "be", "ki", "dan", "xi"]}  # shares syllables with two others
+    draw = lambda name, n: " ".join("".join(rng.choice(near[name]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    rows = [(i, draw(name := sorted(near)[i % 4], rng.randint(3, 50)), name) for i in range(120)]
+    learning = [r for r in rows]
+    for i in range(60):
+        parts = rng.sample(sorted(near), rng.randint(1, 3))
+        mixed = " ".join(draw(name, rng.randint(2, 40)) for name in parts).split()
+        rng.shuffle(mixed)
+        rows.append((1000 + i, rng.choice([" ", ", ", "\n"]).join(mixed).capitalize(), None))
+    rows += [(2000, "Zebra qqq", None), (2001, "漢字", None), (2002, None, None)]
+    names = sorted(near)
+    counts = {name: {} for name in names}
+    for _, text, name in learning:
+        for c in (c for w in byte_words(text) for c in w):
+            counts[name][c] = counts[name].get(c, 0) + 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.learn(spark.createDataFrame(learning, docs.schema).repartition(3))
+    assert model[0] == names
+    mixtures = 0
+    for r in language_id.predict(docs, *model).collect():
+        lang, score = language_by_hand(r.text, names, counts) if r.text else ("und", 0.0)
+        assert r._lang_pred == lang and r._score == pytest.approx(score, abs=0.01), r.text
+        mixtures += score not in (0.0, 1.0)
+    assert mixtures > 20
+
+
 def test_only_und_is_rejected(spark):
     rng = random.Random(6)
     names = "abcdefgh"
