@@ -9,10 +9,12 @@ gives the only place where the window can start; the length and positional
 bounds drop starts outside the document, and the words of the window-sized
 span are compared exactly.
 
-The benchmark is the stated query set and is taken in blocks of at most
-``block_windows`` windows, each broadcast to scan all documents (twice: shingle
-counts, then matches), so memory does not grow with it. Documents are never
-shuffled; a passage that a third of them share stays in its own rows.
+The benchmark is the stated query set and is taken in blocks of about
+``block_windows`` pairs of a window and an item and ``block_bytes`` of their
+text at most, each broadcast to scan all documents (twice: shingle counts, then
+matches), so memory does not grow with it. A sentence that many items share is
+many pairs, dealt over the blocks. Documents are never shuffled; a passage that
+a third of them share stays in its own rows.
 
 Cases: null and empty texts have no words and no hits; an item without words
 is ignored; repeated items count once per item id, a null item id is ignored;
@@ -45,7 +47,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def windows(items: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct windows: window (words joined by a space), n, items (ids as strings)."""
+    """Distinct pairs of a window and an item: item (id as string), window (words joined by a space), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,8 +63,7 @@ def windows(items: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                                               pa.array(sizes, pa.int32())], names=["item", "window", "n"])
 
     return items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col) \
-        .mapInArrow(run, "item string, window string, n int") \
-        .groupBy("window", "n").agg(F.sort_array(F.collect_set("item")).alias("items"))
+        .mapInArrow(run, "item string, window string, n int").distinct()
 
 
 def _shingle_hashes(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -112,7 +113,7 @@ def _prefixes(found: pa.Table, counts: dict[int, dict[int, int]]) -> dict:
     texts = found["window"].to_pylist()
     shingles, lengths = _shingle_hashes(texts)
     out: dict[int, dict[int, list]] = {}
-    for text, items, n, grams, k in zip(texts, found["items"].to_pylist(), found["n"].to_pylist(), shingles,
+    for text, items, n, grams, k in zip(texts, found["item_list"].to_pylist(), found["n"].to_pylist(), shingles,
                                         lengths.tolist()):
         offset = min(range(len(grams)), key=lambda o: (counts[k].get(int(grams[o]), 0), o))
         out.setdefault(k, {}).setdefault(int(grams[offset]), []).append((text.encode("utf-8"), offset, n, items))
@@ -154,7 +155,8 @@ def _scan(text: pa.Array, prefixes: dict) -> Iterator[tuple[int, list[tuple[int,
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "item_id",
-                  item_text: str = "text", text_col: str = "text", block_windows: int = 500_000) -> DataFrame:
+                  item_text: str = "text", text_col: str = "text", block_windows: int = 500_000,
+                  block_bytes: int = 128 << 20) -> DataFrame:
     """``docs`` and the columns _n_words, _hits (array of word spans), _items (ids as sorted strings), in place of
     input columns of these names."""
     docs = docs.drop("_n_words", "_hits", "_items")
@@ -167,11 +169,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
              T.StructField("items", T.ArrayType(T.StringType()))]
     schema = T.StructType([*plain.schema.fields, *added])
     found = materialize(windows(items, width, id_col, item_text), "decontaminate-windows")
-    blocks = max(1, -(-found.count() // block_windows))
+    size = F.octet_length("window") + F.octet_length("item")
+    pairs, volume = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    blocks = max(1, -(-pairs // block_windows), -(-volume // block_bytes))
     out = plain.select("*", F.lit(None).cast("long").alias("n_words"), F.lit(None).cast(hit).alias("hits"),
                        F.lit(None).cast("array<string>").alias("items"))
     for block in range(blocks):
-        part = found.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).toArrow()  # at most about block_windows
+        part = found.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == block).toArrow()  # about block_windows
+        part = part.group_by(["window", "n"]).aggregate([("item", "list")])
         shingles, lengths = _shingle_hashes(part["window"].to_pylist())
         wanted = {int(k): np.unique(np.concatenate([g for g, x in zip(shingles, lengths) if x == k]))
                   for k in np.unique(lengths)}

@@ -41,6 +41,23 @@ def test_contamination_odd_rows(spark, tricky, block):
     assert clean.columns == docs.columns and clean.count() == sum(n == 0 for _, _, n, _ in want)
 
 
+@pytest.mark.parametrize("limit", [{"block_windows": 150}, {"block_bytes": 8000}])
+def test_contamination_sentence_of_all_items(spark, monkeypatch, limit):
+    """A window that all items share is dealt over blocks; no block's broadcast holds all its items."""
+    prefixes, held = decontaminate._prefixes, []
+    monkeypatch.setattr(decontaminate, "_prefixes", lambda found, counts: held.append(
+        sum(map(len, found["item_list"].to_pylist()))) or prefixes(found, counts))
+    shared = "which of these ten words stands in every item here"
+    items = [(i, f"{shared} number {i}" if i % 3 else shared) for i in range(300)]
+    texts = [f"Before. {shared.upper()} after", f"{shared} number 7", "number 7", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    table = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    found = decontaminate.contamination(docs, table, **limit).orderBy("doc_id").collect()
+    got = [(r._n_words, sum(s.end - s.start for s in r._hits), r._items) for r in found]
+    assert got == brute.contamination(texts, items)
+    assert len(held) > 3 and sum(held) == 300 + 2 * 200 and max(held) < 300
+
+
 def test_contamination_empty_tables(spark, no_docs, tricky):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(no_docs, none).count() == 0
