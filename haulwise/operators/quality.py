@@ -164,7 +164,13 @@ class Validator:
             half = len(rules) // 2
             return self._count_masks(df, rules[:half]) | self._count_masks(df, rules[half:])
 
-    def counts(self, df: DataFrame) -> dict[str, tuple[int, str | None]]:
+    def counts(self, df: DataFrame) -> DataFrame:
+        """(rule, violation_count, message) for every rule, one row per rule."""
+        found = self._counted(df)
+        return df.sparkSession.createDataFrame([(r.name, *found[r.name]) for r in self.rules],
+                                               "rule string, violation_count long, message string")
+
+    def _counted(self, df: DataFrame) -> dict[str, tuple[int, str | None]]:
         """Violations of every rule, or -1 and the message of one that cannot run or fails while running."""
         found = self._count_masks(df, [r for r in self.rules if r.mask is not None])
         batch_rules = [r for r in self.rules if r.batch is not None]
@@ -189,7 +195,7 @@ class Validator:
 
     def report(self, df: DataFrame, dataset: str) -> DataFrame:
         """dataset, rule, description, passed, violation_count (rule order kept), message of a rule that could not run."""
-        return self._report(df, dataset, self.counts(df), {})
+        return self._report(df, dataset, self._counted(df), {})
 
     def first_violators(self, df: DataFrame, names: set[str], n: int = SAMPLES, order_col: str = ROW_SEQ) -> dict[str, str]:
         """The first ``n`` violating rows (in landing order) of the named rules, as text. Row rules share one pass; a
@@ -214,7 +220,7 @@ class Validator:
 
     def full_report(self, df: DataFrame, dataset: str, checked_at: dt.datetime, order_col: str = ROW_SEQ) -> DataFrame:
         """The report with ``details`` (sample rows, or why a rule could not run) and ``checked_at``."""
-        counts = self.counts(df)
+        counts = self._counted(df)
         details = self.first_violators(df, {r for r, (n, _) in counts.items() if n > 0}, order_col=order_col)
         details |= {r: f"Check failed with error: {m}" for r, (_, m) in counts.items() if m is not None}
         return self._report(df, dataset, counts, details).select(
